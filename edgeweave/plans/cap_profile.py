@@ -18,7 +18,7 @@ def cap_profile(edges: DataFrame, caps: list[int | Column], floor: int = HEAVY_F
     per cap, and two-hop paths are counted (walks less returns) instead of listed.
     """
     k = len(caps)
-    ordered = F.array_sort(F.array(*[as_column(c) for c in caps]))
+    ordered = F.sort_array(F.array(*[as_column(c) for c in caps]))
 
     def level(largest: Column) -> Column:
         return sum((F.when(as_column(cap) < largest, 1).otherwise(0) for cap in caps), F.lit(0))
