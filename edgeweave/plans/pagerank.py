@@ -38,10 +38,6 @@ from edgeweave.sources.generate import copy_chains, one_chain
 TELEPORT = 0.15
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def node_table(links: DataFrame, sink_id: int | None = None, floor: int = HEAVY_FLOOR) -> DataFrame:
     """Nodes ``(id, outw, leak, parts)``.
 
@@ -82,6 +78,25 @@ def initial_ranks(edges: DataFrame, sink_id: int | None = None, per: str = "node
     return nodes.select("id", (F.lit(1.0) / total).alias("rank"))
 
 
+def node_layout(links: DataFrame, sink_id: int | None = None, floor: int = HEAVY_FLOOR) -> DataFrame:
+    """The node table by id, sorted, for joins that move only the other side."""
+    partitions = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return node_table(links, sink_id, floor).repartition(partitions, "id").sortWithinPartitions("id")
+
+
+def _in_cells(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links with their cell; the broadcast holds hubs only, at most ``sqrt(2 * links)`` rows."""
+    hubs = F.broadcast(nodes.filter(F.col("parts") > 1).select(F.col("id").alias("src"), "parts"))
+    cell = cell_of(F.coalesce("parts", F.lit(1).cast("long")), F.col("dst")).alias("cell")
+    return links.join(hubs, "src", "left").select("src", cell, "dst", "n")
+
+
+def link_layout(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The links by source and cell, sorted: shuffled once, joined in place by every iteration."""
+    partitions = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _in_cells(links, nodes).repartition(partitions, "src", "cell").sortWithinPartitions("src", "cell")
+
+
 def _contributions(state: DataFrame, layout: DataFrame, small: bool) -> DataFrame:
     """``(dst, c)`` from ranks and links; the sum is combined before it is shuffled."""
     share = state.filter(F.col("outw") > 0)
@@ -90,7 +105,7 @@ def _contributions(state: DataFrame, layout: DataFrame, small: bool) -> DataFram
         moved = share.select(F.col("id").alias("src"), per_copy).join(F.broadcast(layout), "src")
     else:
         copies = share.select(F.col("id").alias("src"), per_copy, every_cell(F.col("parts")).alias("cell"))
-        moved = layout.join(copies, ["src", "cell"])
+        moved = layout.join(copies.hint("merge"), ["src", "cell"])
     return moved.groupBy("dst").agg(F.sum(F.col("share") * F.col("n")).alias("c"))
 
 
@@ -117,31 +132,16 @@ def pagerank_with_mass(
     ``strategy='broadcast'`` ships the links to the ranks if they are counted to be at most
     ``max_broadcast_rows``. With ``chain_copies = k`` the edges stand for k equal components.
     """
+    if iterations < 1:
+        raise ValueError("iterations must be at least 1")
     if strategy not in ("auto", "broadcast"):
         raise ValueError("strategy must be 'auto' or 'broadcast'")
     links = cut_lineage(link_counts(edges))
-    partitions = _partitions(edges)
-    nodes = (
-        cut_lineage(node_table(links, sink_id, floor))
-        .repartition(partitions, "id")
-        .sortWithinPartitions("id")
-        .persist()
-    )
+    nodes = node_layout(links, sink_id, floor).persist()
     n_nodes = nodes.count() * chain_copies
     inside = links if sink_id is None else links.filter(F.col("dst") != sink_id)
     small = strategy == "broadcast" and fits_broadcast(inside, max_broadcast_rows)
-    if small:
-        layout = inside
-    else:
-        hubs = F.broadcast(nodes.filter(F.col("parts") > 1).select(F.col("id").alias("src"), "parts"))
-        cell = cell_of(F.coalesce("parts", F.lit(1).cast("long")), F.col("dst")).alias("cell")
-        layout = (
-            inside.join(hubs, "src", "left")
-            .select("src", cell, "dst", "n")
-            .repartition(partitions, "src", "cell")
-            .sortWithinPartitions("src", "cell")
-            .persist()
-        )
+    layout = inside if small else link_layout(inside, nodes).persist()
 
     state = nodes.withColumn("rank", F.lit(1.0 / max(n_nodes, 1)))
     masses = []
@@ -151,15 +151,12 @@ def pagerank_with_mass(
         sums = _contributions(state, layout, small).withColumnRenamed("dst", "id")
         new = _next_rank(F.coalesce("c", F.lit(0.0)), mass.scalar(), n_nodes, alpha)
         state = cut_lineage(
-            nodes.join(sums, "id", "left").select("id", "outw", "leak", "parts", new.alias("rank"))
+            nodes.join(sums.hint("merge"), "id", "left").select("id", "outw", "leak", "parts", new.alias("rank"))
         )
-    ranks, log = state.select("id", "rank"), reduce(DataFrame.unionByName, masses) if masses else None
-    if iterations:
-        log = cut_lineage(log)
-        nodes.unpersist()
-        if not small:
-            layout.unpersist()
-    return ranks, log
+    nodes.unpersist()
+    if not small:
+        layout.unpersist()
+    return state.select("id", "rank"), reduce(DataFrame.unionByName, masses)
 
 
 def pagerank(edges: DataFrame, iterations: int = 10, **options) -> DataFrame:
@@ -186,9 +183,7 @@ def first_contributions(edges: DataFrame, sink_id: int | None = None, floor: int
     nodes = node_table(links, sink_id, floor)
     start = F.lit(1.0) / nodes.agg(F.count(F.lit(1))).scalar()
     state = nodes.withColumn("rank", start)
-    hubs = F.broadcast(nodes.filter(F.col("parts") > 1).select(F.col("id").alias("src"), "parts"))
-    cell = cell_of(F.coalesce("parts", F.lit(1).cast("long")), F.col("dst")).alias("cell")
-    layout = links.join(hubs, "src", "left").select("src", cell, "dst", "n")
+    layout = _in_cells(links, nodes)
     sums = _contributions(state, layout, small=False).withColumnRenamed("dst", "id")
     return nodes.join(sums, "id", "left").select("id", F.coalesce("c", F.lit(0.0)).alias("contribution"))
 

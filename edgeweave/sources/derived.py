@@ -15,16 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def successor_edges(rows: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
     """Edges from each ``id`` to the next one of its ``grp``, in the order ``(pos, id)``.
 
-    Groups of ordinary size take one window over one shuffle. Heavy groups, found by a combined
-    count, would put a window on one task each, so they go through ``_split_successors``. The
-    heavy list is checkpointed first: the usual empty one leaves the plain window as the plan.
+    Groups of ordinary size take one window over one shuffle. A heavy group would put a window on
+    one task, so it goes through ``_split_successors``. One combined count, taken when the edges
+    are defined, tells whether there is any; the usual answer leaves the plain window as the plan.
     """
-    heavy = cut_lineage(heavy_keys(rows, "grp", floor).select("grp"))
-    if heavy.isEmpty():
+    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("rows"))
+    total, largest = sizes.agg(F.sum("rows"), F.max("rows")).first()
+    if total is None or largest < max(floor, (2.0 * total) ** 0.5):
         return _window_successors(rows)
-    small = F.broadcast(heavy)
-    usual = _window_successors(rows.join(small, "grp", "left_anti"))
-    return usual.unionByName(_split_successors(rows.join(small, "grp", "left_semi")))
+    heavy = F.broadcast(cut_lineage(heavy_keys(rows, "grp", floor).select("grp")))
+    usual = _window_successors(rows.join(heavy, "grp", "left_anti"))
+    return usual.unionByName(_split_successors(rows.join(heavy, "grp", "left_semi")))
 
 
 def _window_successors(rows: DataFrame) -> DataFrame:

@@ -1,0 +1,220 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from edgeweave.functions.skew import heavy_keys, join_unique, repeat_rows
+from edgeweave.operators import degrees as dg, edges as ed, paths as pa, triangles as tr
+from edgeweave.operators.paths import hub_nodes
+from edgeweave.plans.cap_profile import cap_profile
+
+GRAPHS = {
+    "cycle": [(1, 2), (2, 3), (3, 1)],
+    "transitive": [(1, 2), (2, 3), (1, 3)],
+    "two_cycle": [(1, 2), (2, 1)],
+    "loop": [(1, 1), (1, 2), (2, 1)],
+    "copies": [(1, 2), (1, 2), (2, 3), (3, 1)],
+    "both_ways": [(1, 2), (2, 3), (3, 1), (2, 1), (3, 2), (1, 3)],
+    "random": brute.random_graph(1),
+    "dense": brute.random_graph(2, nodes=7, edges=80),
+    "hubs": brute.hub_graph(),
+}
+FLOOR = 3
+
+
+def weighted(df):
+    return Counter({tuple(r[c] for c in "abc"): r["copies"] for r in df.collect()})
+
+
+def plain(df):
+    return Counter(tuple(r[c] for c in "abc") for r in df.collect())
+
+
+@pytest.fixture(params=list(GRAPHS))
+def graph(request, edges):
+    pairs = GRAPHS[request.param]
+    return pairs, edges(pairs)
+
+
+def test_hubs_are_found_and_bounded(edges):
+    pairs = GRAPHS["hubs"]
+    hubs = {r["node"]: r for r in hub_nodes(ed.link_counts(edges(pairs)), FLOOR).collect()}
+    assert set(hubs) == {5, 50}
+    assert all(r["parts"] > 1 for r in hubs.values())
+    assert len(hubs) <= (2 * len(set(pairs))) ** 0.5
+
+
+@pytest.mark.parametrize("strategy", pa.STRATEGIES)
+def test_two_paths(graph, strategy):
+    pairs, df = graph
+    assert weighted(pa.two_paths(df, strategy, floor=FLOOR)) == brute.two_paths(pairs)
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "adjacency"])
+def test_two_paths_beyond_the_broadcast_bound(edges, strategy):
+    pairs = GRAPHS["hubs"]
+    df = pa.two_paths(edges(pairs), strategy, floor=FLOOR, max_broadcast_rows=10)
+    assert weighted(df) == brute.two_paths(pairs)
+
+
+def test_two_path_forms(graph):
+    pairs, df = graph
+    want = brute.two_paths(pairs)
+    assert plain(pa.two_paths(df, distinct=True, floor=FLOOR)) == Counter(set(want))
+    assert plain(pa.path_rows(pa.two_paths(df, floor=FLOOR))) == want
+    assert pa.two_paths_count(df).first()["n"] == sum(want.values())
+
+
+@pytest.mark.parametrize("strategy", tr.STRATEGIES)
+def test_triangles(graph, strategy):
+    pairs, df = graph
+    assert weighted(tr.triangles(df, "multi", strategy, FLOOR)) == brute.triangles(pairs)
+
+
+@pytest.mark.parametrize("kind", ["distinct", "semi"])
+def test_triangle_kinds(graph, kind):
+    pairs, df = graph
+    if kind == "semi":
+        assert weighted(tr.triangles(df, "semi", "broadcast", FLOOR)) == brute.semi_triangles(pairs)
+    else:
+        assert plain(tr.triangles(df, "distinct", floor=FLOOR)) == Counter(set(brute.triangles(pairs)))
+
+
+def test_triangles_beyond_the_broadcast_bound(edges):
+    pairs = GRAPHS["hubs"]
+    df = tr.triangles(edges(pairs), "multi", "broadcast", FLOOR, max_broadcast_rows=10)
+    assert weighted(df) == brute.triangles(pairs)
+
+
+def test_triangle_counts(graph):
+    pairs, df = graph
+    want = {
+        "multi": sum(brute.triangles(pairs).values()),
+        "distinct": len(brute.triangles(pairs)),
+        "semi": sum(brute.semi_triangles(pairs).values()),
+    }
+    for kind, rows in want.items():
+        got = tr.triangle_count(df, kind, floor=FLOOR).first()
+        assert (got["rows"], got["triangles"]) == (rows, rows // 3)
+
+
+def test_canonical(graph):
+    pairs, df = graph
+    assert plain(tr.triangles_canonical(df, floor=FLOOR)) == Counter(brute.canonical(pairs))
+
+
+def test_triangle_rows(edges):
+    pairs = GRAPHS["dense"]
+    assert plain(pa.path_rows(tr.triangles(edges(pairs)))) == brute.triangles(pairs)
+
+
+def test_counts_of_the_hand_made_graphs(edges):
+    def count(name):
+        row = tr.triangle_count(edges(GRAPHS[name])).first()
+        return row["rows"], row["triangles"]
+
+    assert count("cycle") == (3, 1)
+    assert count("transitive") == (0, 0)
+    assert count("loop") == (2, 0)
+    assert count("copies") == (6, 2)
+    assert count("both_ways") == (6, 2)
+    assert dg.two_path_total(edges(GRAPHS["two_cycle"])).first()["total"] == 2
+    assert pa.two_paths_count(edges(GRAPHS["two_cycle"])).first()["n"] == 0
+
+
+def test_cap_profile(graph):
+    pairs, df = graph
+    caps = [2, 5, 50, 120]
+    got = {r["cap"]: r for r in cap_profile(df, caps, FLOOR).collect()}
+    assert sorted(got) == caps
+    for cap in caps:
+        kept = [(a, b) for a, b in pairs if a <= cap and b <= cap]
+        assert got[cap]["kept"] == len(kept)
+        assert got[cap]["beyond"] == len(pairs) - len(kept)
+        assert got[cap]["two_paths"] == sum(brute.two_paths(kept).values())
+        assert got[cap]["triangle_rows"] == sum(brute.triangles(kept).values())
+
+
+def test_cap_and_complement(edges):
+    df = edges([(1, 2), (2, 3), (3, 1)])
+    assert [tuple(r) for r in ed.cap_edges(df, 2).collect()] == [(1, 2)]
+    assert ed.edges_beyond_cap(df, 2).count() == 2
+    assert dg.edges_beyond_cap_total(df, 2).first()["n"] == 2
+
+
+def test_degree_invariants(graph):
+    pairs, df = graph
+    rows = dg.degrees(df).collect()
+    assert sum(r["m"] for r in rows) == sum(r["n"] for r in rows) == len(pairs)
+
+
+def test_follower_variants_agree(graph):
+    pairs, df = graph
+    for modulus in (1, 5):
+        want = Counter(b for _, b in pairs if b % modulus == 0)
+        for name in ("", "_aggregate", "_fold", "_grouped", "_reduce"):
+            got = getattr(dg, f"follower_count{name}")(df, modulus)
+            assert Counter({r["id"]: r["followers"] for r in got.collect()}) == want
+
+
+def test_wide_products_do_not_overflow(spark):
+    df = spark.createDataFrame([(3_000_000_000,)], "m long").withColumn("n", F.col("m") * 2)
+    kind = "decimal(19,0)"
+    product = df.select((F.col("m").cast(kind) * F.col("n").cast(kind)).alias("p")).first()["p"]
+    assert int(product) == 18_000_000_000_000_000_000
+
+
+def test_wide_cardinality_matches(graph):
+    _, df = graph
+    narrow = dg.two_path_total(df).first()["total"]
+    wide = dg.two_path_total(df, wide=True).first()["total"]
+    assert (narrow or 0) == int(wide or 0)
+
+
+def test_running_total(graph):
+    pairs, df = graph
+    rows = sorted(dg.two_path_running_total(df).collect())
+    total = 0
+    for r in rows:
+        total += r["paths"]
+        assert r["running"] == total
+
+
+def test_adjacency_blocks(edges):
+    pairs = GRAPHS["hubs"]
+    links = Counter(pairs)
+    rows = dg.adjacency_list(edges(pairs), floor=FLOOR, width=16).collect()
+    got = Counter()
+    for r in rows:
+        assert list(r["neighbours"]) == sorted(r["neighbours"])
+        assert len(r["neighbours"]) <= max(16, (2 * len(links)) ** 0.5)
+        for v, n in zip(r["neighbours"], r["copies"]):
+            got[(r["node"], v)] += n
+    assert got == links
+    assert len({r["block"] for r in rows if r["node"] == 5}) > 1
+    flat = Counter((r["node"], v) for r in dg.adjacency_set(edges(pairs), FLOOR, 16).collect() for v in r["neighbours"])
+    assert flat == Counter(set(pairs))
+
+
+def test_in_links_are_ordered(edges):
+    pairs = GRAPHS["hubs"]
+    rows = [tuple(r) for r in ed.in_links_sorted(edges(pairs)).collect()]
+    assert rows == sorted((b, a, n) for (a, b), n in Counter(pairs).items())
+
+
+def test_repeat_rows(spark):
+    counts = {1: 1, 2: 0, 3: 4095, 4: 4096, 5: 4097, 6: 20_000_000}
+    df = spark.createDataFrame(list(counts.items()), "k long, copies long")
+    for spread in (False, True):
+        got = {r["k"]: r["count"] for r in repeat_rows(df, "copies", spread).groupBy("k").count().collect()}
+        assert got == {k: n for k, n in counts.items() if n}
+
+
+def test_join_unique_splits_a_hot_key(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"), "id")
+    assert [r["k"] for r in heavy_keys(rows, "k", 100).collect()] == [7]
+    lookup = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("x"))
+    got = join_unique(rows, lookup, "k", ["id"], floor=100)
+    assert got.count() == 3000
+    assert got.filter(F.col("x") != F.col("k") * 10).count() == 0
