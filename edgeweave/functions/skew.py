@@ -24,9 +24,13 @@ def heavy_line(total: Column, floor: int) -> Column:
     return F.greatest(F.lit(float(floor)), F.sqrt(2.0 * total))
 
 
-def heavy_keys(df: DataFrame, key: str, floor: int = HEAVY_FLOOR) -> DataFrame:
-    """Heavy values of ``key`` as ``(key, rows, parts)``; sizes come from one combined aggregate."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+def heavy_keys(df: DataFrame, key: str, floor: int = HEAVY_FLOOR, rows: Column | None = None) -> DataFrame:
+    """Heavy values of ``key`` as ``(key, rows, parts)``; sizes come from one combined aggregate.
+
+    ``rows`` may replace the plain row count by an equal aggregate over a column that the other
+    uses of ``df`` read: with the same columns they share one exchange.
+    """
+    sizes = df.groupBy(key).agg((F.count(F.lit(1)) if rows is None else rows).alias("rows"))
     line = heavy_line(sizes.agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar(), floor)
     return sizes.filter(F.col("rows") >= line).withColumn("parts", F.ceil(F.col("rows") / line))
 
@@ -41,17 +45,27 @@ def every_cell(parts: Column) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
 
 
-def join_unique(
-    rows: DataFrame, lookup: DataFrame, key: str, spread_on: list[str], floor: int = HEAVY_FLOOR
+def join_in_cells(
+    rows: DataFrame, lookup: DataFrame, key: str, spread_on: list[str], heavy: DataFrame
 ) -> DataFrame:
-    """Inner join of ``rows`` to ``lookup``, whose ``key`` is unique, with heavy keys split into cells."""
-    parts = F.broadcast(heavy_keys(rows, key, floor).select(key, "parts"))
+    """Inner join of ``rows`` to ``lookup``, whose ``key`` is unique, with heavy keys split into cells.
+
+    ``heavy`` holds ``(key, parts)`` for at least all heavy keys of ``rows`` and is broadcast.
+    """
+    parts = F.broadcast(heavy.select(key, "parts"))
     one = F.coalesce(F.col("parts"), F.lit(1).cast("long"))
     left = rows.join(parts, key, "left").withColumn("cell", cell_of(one, *map(F.col, spread_on)))
     right = lookup.join(parts, key, "left").withColumn("cell", every_cell(one))
     return left.drop("parts").join(right.drop("parts"), [key, "cell"]).drop("cell")
 
 
+def join_unique(
+    rows: DataFrame, lookup: DataFrame, key: str, spread_on: list[str], floor: int = HEAVY_FLOOR
+) -> DataFrame:
+    """``join_in_cells`` with the heavy keys found from ``rows``."""
+    return join_in_cells(rows, lookup, key, spread_on, heavy_keys(rows, key, floor))
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` (a few long columns) is small enough to broadcast; counted, not estimated."""
     return df.count() <= max_rows

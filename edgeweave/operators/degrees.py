@@ -54,6 +54,20 @@ def degrees(edges: DataFrame) -> DataFrame:
     return ends.groupBy("node").agg(F.count_if(tag == "I").alias("m"), F.count_if(tag == "O").alias("n"))
 
 
+def link_degrees(links: DataFrame) -> DataFrame:
+    """The degrees from counted links, for plans that have these at hand."""
+    n, zero = F.col("n"), F.lit(0).cast("long")
+    ends = links.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("src").alias("node"), zero.alias("m"), n.alias("n")),
+                F.struct(F.col("dst").alias("node"), n.alias("m"), zero.alias("n")),
+            )
+        ).alias("end")
+    ).select("end.*")
+    return ends.groupBy("node").agg(F.sum("m").alias("m"), F.sum("n").alias("n"))
+
+
 def out_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("out_degree"))
 
@@ -106,7 +120,7 @@ def _blocks(edges: DataFrame, floor: int, width: int) -> DataFrame:
     A block then holds at most ``max(floor, sqrt(2 * links), width)`` neighbours.
     """
     links = link_counts(edges)
-    hubs = F.broadcast(heavy_keys(links, "src", floor).select("src", "parts"))
+    hubs = F.broadcast(heavy_keys(links, "src", floor, F.count_if(F.col("n") > 0)).select("src", "parts"))
     block = F.when(F.col("parts").isNotNull(), F.floor(F.col("dst") / F.lit(width))).otherwise(0).cast("long")
     return links.join(hubs, "src", "left").select(F.col("src").alias("node"), block.alias("block"), "dst", "n")
 

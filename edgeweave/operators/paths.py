@@ -13,17 +13,17 @@ from edgeweave.functions.skew import (
     heavy_line,
     repeat_rows,
 )
-from edgeweave.operators.degrees import adjacency_list, two_path_total
+from edgeweave.operators.degrees import adjacency_list, link_degrees
 from edgeweave.operators.edges import link_counts
 
 STRATEGIES = ("auto", "merge", "shuffle_hash", "broadcast", "adjacency", "salted")
 
 
-def hub_nodes(links: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
-    """Nodes heavy by distinct degree: ``(node, degree, parts, in_parts, out_parts)``.
+def node_degrees(links: DataFrame) -> DataFrame:
+    """Distinct in- and out-links per node, ``(node, ins, outs)``.
 
-    At most ``sqrt(2 * links)`` rows, so it may be broadcast. The copy count is read although it is
-    always positive: with the same columns the scan of ``links`` shares the exchange of its other uses.
+    The copy count is read although it is always positive: with the same columns this use of
+    ``links`` shares the exchange of the others.
     """
     one = F.when(F.col("n") > 0, 1).cast("long")
     zero = F.lit(0).cast("long")
@@ -35,19 +35,33 @@ def hub_nodes(links: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
             )
         ).alias("end")
     ).select("end.*")
-    sizes = ends.groupBy("node").agg(F.sum("ins").alias("ins"), F.sum("outs").alias("outs"))
-    line = heavy_line(sizes.agg(F.coalesce(F.sum("outs"), zero)).scalar(), floor)
+    ends = ends.filter(F.col("node").isNotNull())  # joins add it anyway, but not to every use
+    return ends.groupBy("node").agg(F.sum("ins").alias("ins"), F.sum("outs").alias("outs"))
+
+
+def degree_line(sizes: DataFrame, floor: int) -> Column:
+    """Degree from which a node is a hub."""
+    both_ends = sizes.agg(F.coalesce(F.sum(F.col("ins") + F.col("outs")), F.lit(0))).scalar()
+    return heavy_line(both_ends / 2, floor)
+
+
+def parts_of(rows: Column, line: Column) -> Column:
+    return F.greatest(F.ceil(rows / line), F.lit(1).cast("long"))
 
-    def parts(rows: Column) -> Column:
-        return F.greatest(F.ceil(rows / line), F.lit(1).cast("long"))
 
+def hub_nodes(links: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
+    """Nodes heavy by distinct degree: ``(node, parts, in_parts, out_parts)``.
+
+    At most ``sqrt(2 * links)`` rows, so it may be broadcast.
+    """
+    sizes = node_degrees(links)
+    line = degree_line(sizes, floor)
     degree = F.col("ins") + F.col("outs")
     return sizes.filter(degree >= line).select(
         "node",
-        degree.alias("degree"),
-        parts(degree).alias("parts"),
-        parts(F.col("ins")).alias("in_parts"),
-        parts(F.col("outs")).alias("out_parts"),
+        parts_of(degree, line).alias("parts"),
+        parts_of(F.col("ins"), line).alias("in_parts"),
+        parts_of(F.col("outs"), line).alias("out_parts"),
     )
 
 
@@ -140,10 +154,9 @@ def two_paths_count(edges: DataFrame) -> DataFrame:
     """Number of two-hop paths with a != c, by counting instead of listing.
 
     All walks of two edges (the sum of m * n) less those that return to their start. The work
-    grows with the edges, not with the paths.
+    grows with the edges, not with the paths, and both parts read one exchange of counted links.
     """
-    returns = round_trips(link_counts(edges)).agg(
-        F.coalesce(F.sum(F.col("n") * F.col("back")), F.lit(0)).alias("returns")
-    )
-    walks = two_path_total(edges)
-    return walks.select((F.coalesce("total", F.lit(0)) - returns.scalar()).alias("n"))
+    links = link_counts(edges)
+    returns = round_trips(links).agg(F.coalesce(F.sum(F.col("n") * F.col("back")), F.lit(0)).alias("returns"))
+    walks = link_degrees(links).agg(F.coalesce(F.sum(F.col("m") * F.col("n")), F.lit(0)).alias("walks"))
+    return walks.select((F.col("walks") - returns.scalar()).alias("n"))

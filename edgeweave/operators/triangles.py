@@ -1,19 +1,26 @@
 """Directed three-cycles a -> b -> c -> a.
 
-The cycles are found once each, from their lowest node. Nodes are ordered by hub degree (0 for
-all but the hubs), then by id, so a hub comes after every ordinary node and the two-hop paths
-that start the search are centred on nodes with at most about ``sqrt(2 * links)`` higher
-neighbours. That bounds the search by ``links ** 1.5`` paths where the plain self-join lists
-in-degree times out-degree paths for each hub. The rotations are added to the finished cycles.
+The cycles are found once each, from their lowest node in the order of degree, then id. A node of
+a graph with E links has at most ``sqrt(2 * E)`` neighbours above it in that order, so the two-hop
+paths that start the search stay below ``2 * E ** 1.5``, and a hub, however large, centres only
+paths among still larger hubs. The plain self-join lists in-degree times out-degree paths for
+each hub instead. The rotations are added to the finished cycles.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from edgeweave.functions.skew import BROADCAST_ROWS, HEAVY_FLOOR, cell_of, every_cell, fits_broadcast
+from edgeweave.functions.skew import (
+    BROADCAST_ROWS,
+    HEAVY_FLOOR,
+    cell_of,
+    every_cell,
+    fits_broadcast,
+    join_in_cells,
+)
 from edgeweave.operators.edges import link_counts
-from edgeweave.operators.paths import hub_nodes
+from edgeweave.operators.paths import degree_line, hub_nodes, node_degrees, parts_of
 
 STRATEGIES = ("auto", "merge", "shuffle_hash", "broadcast")
 KINDS = ("multi", "distinct", "semi")
@@ -32,24 +39,19 @@ def _settle(links: DataFrame, strategy: str, max_rows: int) -> str:
 
 
 def _ranked(links: DataFrame, floor: int) -> DataFrame:
-    """Links with the hub degree and cell count of both ends (0 and 1 for ordinary nodes)."""
-    hubs = hub_nodes(links, floor).select("node", "degree", "parts")
+    """Links with the degree of both ends.
+
+    Each end is one join to the table of degrees; the links of a hub are spread over cells for it.
+    """
+    sizes = node_degrees(links)
+    hubs = hub_nodes(links, floor)
+    degree = F.col("ins") + F.col("outs")
     out = links
-    for end in ("src", "dst"):
-        side = hubs.select(
-            F.col("node").alias(end), F.col("degree").alias(f"{end}_degree"), F.col("parts").alias(f"{end}_parts")
-        )
-        out = out.join(F.broadcast(side), end, "left")
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    return out.select(
-        "src",
-        "dst",
-        "n",
-        F.coalesce("src_degree", zero).alias("src_degree"),
-        F.coalesce("dst_degree", zero).alias("dst_degree"),
-        F.coalesce("src_parts", one).alias("src_parts"),
-        F.coalesce("dst_parts", one).alias("dst_parts"),
-    )
+    for end, other in (("src", "dst"), ("dst", "src")):
+        degrees = sizes.select(F.col("node").alias(end), degree.alias(f"{end}_degree"))
+        out = join_in_cells(out, degrees, end, [other], hubs.withColumnRenamed("node", end))
+    line = degree_line(sizes, floor)
+    return out.withColumns({f"{end}_parts": parts_of(F.col(f"{end}_degree"), line) for end in ("src", "dst")})
 
 
 def _wedges(ranked: DataFrame, strategy: str) -> DataFrame:

@@ -60,7 +60,7 @@ def node_table(links: DataFrame, sink_id: int | None = None, floor: int = HEAVY_
         ).alias("end")
     ).select("end.*")
     sums = ends.groupBy("id").agg(*[F.sum(c).alias(c) for c in ("outw", "sinkw", "links")])
-    line = heavy_line(sums.agg(F.coalesce(F.sum("links"), zero)).scalar(), floor)
+    line = heavy_line(links.agg(F.count_if(n > 0)).scalar(), floor)
     nodes = sums if sink_id is None else sums.filter(F.col("id") != sink_id)
     leak = F.when(F.col("outw") == 0, 1.0).otherwise(F.col("sinkw") / F.col("outw"))
     parts = F.when(F.col("links") >= line, F.ceil(F.col("links") / line)).otherwise(1).cast("long")
@@ -179,8 +179,8 @@ def chain_pagerank(
 
 def first_contributions(edges: DataFrame, sink_id: int | None = None, floor: int = HEAVY_FLOOR) -> DataFrame:
     """``(id, contribution)`` of the first step from uniform ranks; 0.0 for nodes without in-links."""
-    links = link_counts(edges)
-    nodes = node_table(links, sink_id, floor)
+    links = cut_lineage(link_counts(edges))
+    nodes = cut_lineage(node_table(links, sink_id, floor))
     start = F.lit(1.0) / nodes.agg(F.count(F.lit(1))).scalar()
     state = nodes.withColumn("rank", start)
     layout = _in_cells(links, nodes)

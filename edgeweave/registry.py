@@ -25,8 +25,8 @@ def _on_parts(operator: Callable[..., DataFrame], **options) -> Query:
 
 def _cap(spark: SparkSession, sf_dir: str, quarters: int = 2) -> Column:
     """An id cap that grows with the tables: so many quarters of the largest part id."""
-    top = table(spark, sf_dir, "lineitem").agg(F.max("l_partkey").alias("top"))
-    return top.select(F.floor(F.col("top") * quarters / 4).alias("cap")).scalar()
+    top = table(spark, sf_dir, "lineitem").agg(F.max("l_partkey")).scalar()
+    return F.floor(top * quarters / 4)
 
 
 def _on_capped(operator: Callable[..., DataFrame]) -> Query:

@@ -44,6 +44,7 @@ def local_session(cores: int | str = 8, name: str = "edgeweave", **conf: str) ->
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")  # few partitions already
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")

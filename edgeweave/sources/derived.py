@@ -12,6 +12,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _whole(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows without nulls, said so that joins need not add the same filters again."""
+    for c in columns or df.columns:
+        df = df.filter(F.col(c).isNotNull())
+    return df
+
+
 def successor_edges(rows: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
     """Edges from each ``id`` to the next one of its ``grp``, in the order ``(pos, id)``.
 
@@ -70,7 +77,7 @@ def part_sequence_edges(spark: SparkSession, sf_dir: str, floor: int = HEAVY_FLO
     rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("grp"), F.col("l_linenumber").alias("pos"), F.col("l_partkey").alias("id")
     )
-    return successor_edges(rows.filter(F.col("id").isNotNull() & F.col("grp").isNotNull()), floor)
+    return successor_edges(_whole(rows, "id", "grp"), floor)
 
 
 def supplier_customer_edges(spark: SparkSession, sf_dir: str, floor: int = HEAVY_FLOOR) -> DataFrame:
@@ -78,9 +85,9 @@ def supplier_customer_edges(spark: SparkSession, sf_dir: str, floor: int = HEAVY
 
     Suppliers get even ids and customers odd ones, so the two sets never meet at any scale.
     """
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").dropna().distinct()
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").dropna()
-    served = join_unique(lines, orders, "l_orderkey", ["l_suppkey"], floor)
+    lines = _whole(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey"))
+    orders = _whole(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"))
+    served = join_unique(lines.distinct(), orders, "l_orderkey", ["l_suppkey"], floor)
     return served.select(
         (F.col("l_suppkey") * 2).alias("src"), (F.col("o_custkey") * 2 + 1).alias("dst")
     ).distinct()

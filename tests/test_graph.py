@@ -221,3 +221,38 @@ def test_join_unique_splits_a_hot_key(spark):
     got = join_unique(rows, lookup, "k", ["id"], floor=100)
     assert got.count() == 3000
     assert got.filter(F.col("x") != F.col("k") * 10).count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_strategies_name_the_join(edges):
+    df = edges(GRAPHS["hubs"])
+    for build in (pa.two_paths, lambda e, s: tr.triangles(e, "multi", s)):
+        assert "SortMergeJoin" in plan_of(build(df, "merge"))
+        assert "ShuffledHashJoin" in plan_of(build(df, "shuffle_hash"))
+    with pytest.raises(ValueError):
+        pa.two_paths(df, "other")
+    with pytest.raises(ValueError):
+        tr.triangles(df, "multi", "other")
+
+
+def test_counted_links_are_exchanged_once(spark):
+    """All uses of the counted links in one triangle count read the same exchange and one scan."""
+    from edgeweave.sources.derived import part_sequence_edges
+
+    df = tr.triangle_count(part_sequence_edges(spark, "/root/testdata/sf0.001"))
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1
+    assert "ReusedExchange" in final
+
+
+def test_a_hub_centres_few_wedges(edges):
+    """The hubs of the star graph are searched from their small neighbours."""
+    links = ed.link_counts(edges(GRAPHS["hubs"]))
+    wedges = tr._wedges(tr._ranked(links, FLOOR), "auto").collect()
+    walks = sum(brute.two_paths(set(GRAPHS["hubs"])).values())
+    assert len(wedges) < walks / 4
+    assert sum(r["v"] in (5, 50) for r in wedges) < 10
