@@ -114,13 +114,17 @@ def edges_beyond_cap_total(edges: DataFrame, cap: int | Column) -> DataFrame:
     return edges_beyond_cap(edges, cap).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _blocks(edges: DataFrame, floor: int, width: int) -> DataFrame:
+def heavy_sources(links: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
+    """Sources with heavy distinct out-degree, ``(src, rows, parts)``."""
+    return heavy_keys(links, "src", floor, F.count_if(F.col("n") > 0))
+
+
+def _blocks(links: DataFrame, floor: int, width: int) -> DataFrame:
     """Links with a block number: 0 for most nodes, target id ranges for nodes with heavy out-degree.
 
     A block then holds at most ``max(floor, sqrt(2 * links), width)`` neighbours.
     """
-    links = link_counts(edges)
-    hubs = F.broadcast(heavy_keys(links, "src", floor, F.count_if(F.col("n") > 0)).select("src", "parts"))
+    hubs = F.broadcast(heavy_sources(links, floor).select("src", "parts"))
     block = F.when(F.col("parts").isNotNull(), F.floor(F.col("dst") / F.lit(width))).otherwise(0).cast("long")
     return links.join(hubs, "src", "left").select(F.col("src").alias("node"), block.alias("block"), "dst", "n")
 
@@ -131,14 +135,19 @@ def adjacency_list(edges: DataFrame, floor: int = HEAVY_FLOOR, width: int = BLOC
     One row per node, or per block of a node with very many successors.
     """
     pairs = F.array_sort(F.collect_list(F.struct("dst", "n")))
-    grouped = _blocks(edges, floor, width).groupBy("node", "block").agg(pairs.alias("pairs"))
+    grouped = _blocks(link_counts(edges), floor, width).groupBy("node", "block").agg(pairs.alias("pairs"))
     return grouped.select("node", "block", F.col("pairs.dst").alias("neighbours"), F.col("pairs.n").alias("copies"))
 
 
 def adjacency_set(edges: DataFrame, floor: int = HEAVY_FLOOR, width: int = BLOCK_WIDTH) -> DataFrame:
     """Distinct successors of each node in order, in the same blocks."""
+    return link_blocks(link_counts(edges), floor, width)
+
+
+def link_blocks(links: DataFrame, floor: int = HEAVY_FLOOR, width: int = BLOCK_WIDTH) -> DataFrame:
+    """``adjacency_set`` from counted links."""
     nodes = F.array_sort(F.collect_list("dst"))
-    return _blocks(edges, floor, width).groupBy("node", "block").agg(nodes.alias("neighbours"))
+    return _blocks(links, floor, width).groupBy("node", "block").agg(nodes.alias("neighbours"))
 
 
 def top_two_path_nodes(edges: DataFrame, k: int = 20) -> DataFrame:

@@ -25,27 +25,24 @@ def cap_profile(edges: DataFrame, caps: list[int | Column], floor: int = HEAVY_F
 
     links = link_counts(edges)
 
-    def tally(df: DataFrame, at: Column, **sums: Column) -> DataFrame:
-        cols = [sums.get(c, F.lit(0).cast("long")).alias(c) for c in ("edges", "walks", "returns", "rows")]
-        out = df.select(at.alias("level"), *cols).groupBy("level")
-        return out.agg(*[F.sum(c).alias(c) for c in ("edges", "walks", "returns", "rows")])
+    measures = ("edges", "walks", "returns", "rows")
+
+    def at(df: DataFrame, when: Column, **values: Column) -> DataFrame:
+        return df.select(
+            when.alias("level"), *[values.get(m, F.lit(0)).cast("long").alias(m) for m in measures]
+        )
 
-    by_edge = tally(links, level(F.greatest(F.col("src"), F.col("dst"))), edges=F.col("n"))
-    trips = tally(round_trips(links), level(F.greatest(F.col("src"), F.col("dst"))), returns=F.col("n") * F.col("back"))
-    walks = closed_walks(edges, floor=floor)
     proper = (F.col("v") != F.col("u")) & (F.col("w") != F.col("u"))
     rows = F.col("n_vw") * F.col("n_wu") * F.col("n_uv") * F.when(proper, 3).otherwise(2)
-    cycles = tally(walks, level(F.greatest("v", "w", "u")), rows=rows)
+    by_edge = at(links, level(F.greatest("src", "dst")), edges=F.col("n"))
+    trips = at(round_trips(links), level(F.greatest("src", "dst")), returns=F.col("n") * F.col("back"))
+    cycles = at(closed_walks(edges, floor=floor), level(F.greatest("v", "w", "u")), rows=rows)
+    hops = at(_hops(links, level, k), F.col("level"), walks=F.col("walks"))
+    every_cap = at(edges.sparkSession.range(k), F.col("id").cast("int"))
 
-    by_level = by_edge.unionByName(trips).unionByName(cycles).unionByName(_hops(links, level, k))
-    caps_seen = edges.sparkSession.range(k).select(
-        F.col("id").cast("int").alias("level"),
-        *[F.lit(0).cast("long").alias(c) for c in ("edges", "walks", "returns", "rows")],
-    )
+    together = by_edge.unionByName(trips).unionByName(cycles).unionByName(hops).unionByName(every_cap)
+    sums = together.groupBy("level").agg(*[F.sum(m).alias(m) for m in measures])
     # at most k + 1 levels from here on
-    sums = by_level.unionByName(caps_seen).groupBy("level").agg(
-        *[F.sum(c).alias(c) for c in ("edges", "walks", "returns", "rows")]
-    )
     up_to = Window.orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
     every = Window.orderBy("level").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     running = sums.select(
@@ -78,6 +75,4 @@ def _hops(links: DataFrame, level, k: int) -> DataFrame:
     )
     totals = per_node.agg(*[F.sum(F.col(f"m{i}") * F.col(f"n{i}")).alias(f"w{i}") for i in range(k)])
     per_cap = F.array(*[F.coalesce(f"w{i}", zero) for i in range(k)])
-    return totals.select(F.posexplode(per_cap).alias("level", "walks")).select(
-        "level", zero.alias("edges"), "walks", zero.alias("returns"), zero.alias("rows")
-    )
+    return totals.select(F.posexplode(per_cap).alias("level", "walks"))

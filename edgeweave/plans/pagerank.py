@@ -28,10 +28,11 @@ from edgeweave.functions.skew import (
     every_cell,
     fits_broadcast,
     heavy_line,
+    join_in_cells,
 )
-from edgeweave.operators.degrees import adjacency_set
+from edgeweave.operators.degrees import heavy_sources, link_blocks
 from edgeweave.operators.edges import link_counts
-from edgeweave.session import cut_lineage
+from edgeweave.session import cut_lineage, drop_table, written_table
 from edgeweave.sources.generate import copy_chains, one_chain
 
 # Fixed value: probability of a random jump.
@@ -78,10 +79,10 @@ def initial_ranks(edges: DataFrame, sink_id: int | None = None, per: str = "node
     return nodes.select("id", (F.lit(1.0) / total).alias("rank"))
 
 
-def node_layout(links: DataFrame, sink_id: int | None = None, floor: int = HEAVY_FLOOR) -> DataFrame:
+def node_layout(nodes: DataFrame) -> DataFrame:
     """The node table by id, sorted, for joins that move only the other side."""
-    partitions = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return node_table(links, sink_id, floor).repartition(partitions, "id").sortWithinPartitions("id")
+    partitions = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return nodes.repartition(partitions, "id").sortWithinPartitions("id")
 
 
 def _in_cells(links: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -136,26 +137,29 @@ def pagerank_with_mass(
         raise ValueError("iterations must be at least 1")
     if strategy not in ("auto", "broadcast"):
         raise ValueError("strategy must be 'auto' or 'broadcast'")
-    links = cut_lineage(link_counts(edges))
-    nodes = node_layout(links, sink_id, floor).persist()
+    links, links_path = written_table(link_counts(edges), "links")
+    nodes_kept = cut_lineage(node_table(links, sink_id, floor))
+    nodes = node_layout(nodes_kept).persist()
     n_nodes = nodes.count() * chain_copies
     inside = links if sink_id is None else links.filter(F.col("dst") != sink_id)
     small = strategy == "broadcast" and fits_broadcast(inside, max_broadcast_rows)
     layout = inside if small else link_layout(inside, nodes).persist()
 
-    state = nodes.withColumn("rank", F.lit(1.0 / max(n_nodes, 1)))
+    state = nodes_kept.withColumn("rank", F.lit(1.0 / max(n_nodes, 1)))
     masses = []
-    for step in range(1, iterations + 1):
-        mass = _mass(state, chain_copies)
-        masses.append(mass.select(F.lit(step).alias("iteration"), "mass"))
-        sums = _contributions(state, layout, small).withColumnRenamed("dst", "id")
-        new = _next_rank(F.coalesce("c", F.lit(0.0)), mass.scalar(), n_nodes, alpha)
-        state = cut_lineage(
-            nodes.join(sums.hint("merge"), "id", "left").select("id", "outw", "leak", "parts", new.alias("rank"))
-        )
-    nodes.unpersist()
-    if not small:
-        layout.unpersist()
+    try:
+        for step in range(1, iterations + 1):
+            mass = _mass(state, chain_copies)
+            masses.append(mass.select(F.lit(step).alias("iteration"), "mass"))
+            sums = _contributions(state, layout, small).withColumnRenamed("dst", "id")
+            new = _next_rank(F.coalesce("c", F.lit(0.0)), mass.scalar(), n_nodes, alpha)
+            moved = nodes.join(sums.hint("merge"), "id", "left")
+            state = cut_lineage(moved.select("id", "outw", "leak", "parts", new.alias("rank")))
+    finally:
+        nodes.unpersist()
+        if not small:
+            layout.unpersist()
+        drop_table(edges.sparkSession, links_path)  # ranks and log rest on checkpoints of their own
     return state.select("id", "rank"), reduce(DataFrame.unionByName, masses)
 
 
@@ -177,15 +181,19 @@ def chain_pagerank(
     return copy_chains(ranks, k), log
 
 
-def first_contributions(edges: DataFrame, sink_id: int | None = None, floor: int = HEAVY_FLOOR) -> DataFrame:
-    """``(id, contribution)`` of the first step from uniform ranks; 0.0 for nodes without in-links."""
-    links = cut_lineage(link_counts(edges))
+def _first_step(links: DataFrame, sink_id: int | None, floor: int) -> DataFrame:
+    """``(id, outw, contribution)`` of the first step from uniform ranks."""
     nodes = cut_lineage(node_table(links, sink_id, floor))
     start = F.lit(1.0) / nodes.agg(F.count(F.lit(1))).scalar()
-    state = nodes.withColumn("rank", start)
-    layout = _in_cells(links, nodes)
-    sums = _contributions(state, layout, small=False).withColumnRenamed("dst", "id")
-    return nodes.join(sums, "id", "left").select("id", F.coalesce("c", F.lit(0.0)).alias("contribution"))
+    sums = _contributions(nodes.withColumn("rank", start), _in_cells(links, nodes), small=False)
+    joined = nodes.join(sums.withColumnRenamed("dst", "id"), "id", "left")
+    return joined.select("id", "outw", F.coalesce("c", F.lit(0.0)).alias("contribution"))
+
+
+def first_contributions(edges: DataFrame, sink_id: int | None = None, floor: int = HEAVY_FLOOR) -> DataFrame:
+    """``(id, contribution)`` of the first step; 0.0 for nodes without in-links."""
+    links, _ = written_table(link_counts(edges), "links")
+    return _first_step(links, sink_id, floor).select("id", "contribution")
 
 
 def nodes_without_in_links(edges: DataFrame, sink_id: int | None = None) -> DataFrame:
@@ -195,11 +203,15 @@ def nodes_without_in_links(edges: DataFrame, sink_id: int | None = None) -> Data
 
 def step_records(edges: DataFrame, sink_id: int | None = None, floor: int = HEAVY_FLOOR) -> DataFrame:
     """One PageRank step with the out-links carried along: ``(node, contribution, block, adjacency)``."""
-    lists = adjacency_set(edges, floor).withColumnRenamed("neighbours", "adjacency")
-    sums = first_contributions(edges, sink_id, floor).withColumnRenamed("id", "node")
-    return sums.join(lists, "node", "left").select(
-        "node", "contribution", F.coalesce("block", F.lit(0).cast("long")).alias("block"), "adjacency"
+    links, _ = written_table(link_counts(edges), "links")
+    step = _first_step(links, sink_id, floor).withColumnRenamed("id", "node")
+    lists = link_blocks(links, floor).withColumnRenamed("neighbours", "adjacency")
+    hubs = heavy_sources(links, floor).withColumnRenamed("src", "node")
+    linked = join_in_cells(lists, step.select("node", "contribution"), "node", ["block"], hubs)
+    without = step.filter(F.col("outw") == 0).select(
+        "node", "contribution", F.lit(0).cast("long").alias("block"), F.lit(None).cast("array<long>").alias("adjacency")
     )
+    return linked.select("node", "contribution", "block", "adjacency").unionByName(without)
 
 
 def record_text(records: DataFrame) -> DataFrame:

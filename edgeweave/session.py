@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,12 +31,25 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives the loss of any executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def written_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The same for link tables: columnar files in the shared folder, a fraction of a checkpoint's size."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Remove a table that ``written_table`` made."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def local_session(cores: int | str = 8, name: str = "edgeweave", **conf: str) -> SparkSession:
     """Session for tests and ``bench.py``; a cluster brings its own."""
     builder = (

@@ -1,9 +1,11 @@
+from collections import Counter
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import brute
+from edgeweave.operators.degrees import link_blocks
 from edgeweave.operators.edges import link_counts
 from edgeweave.plans import pagerank as pr
 from edgeweave.session import cut_lineage
@@ -101,6 +103,21 @@ def test_step_records(spark):
     assert sorted(r["value"] for r in pr.record_text(records).collect()) == STEP_RECORDS
 
 
+def test_step_records_in_blocks(edges, monkeypatch):
+    """A hub's successors come in several rows, each with the contribution of the hub."""
+    pairs = brute.hub_graph() + [(7, 8)]
+    monkeypatch.setattr(pr, "link_blocks", lambda links, floor: link_blocks(links, floor, width=16))
+    rows = pr.step_records(edges(pairs), floor=3).collect()
+    nodes = {x for p in pairs for x in p}
+    out = Counter(a for a, _ in pairs)
+    for v in nodes:
+        got = sum(1 / len(nodes) / out[a] for a, b in pairs if b == v)
+        mine = [r for r in rows if r["node"] == v]
+        assert all(r["contribution"] == pytest.approx(got) for r in mine)
+        assert sorted(x for r in mine for x in r["adjacency"] or []) == sorted({b for a, b in pairs if a == v})
+        assert (len(mine) > 1) == (v in (5, 50))
+
+
 def test_chain_heads(spark):
     heads = pr.nodes_without_in_links(generate.chains_with_sink(spark, 5), sink_id=0)
     assert sorted(r["id"] for r in heads.collect()) == [1, 6, 11, 16, 21]
@@ -112,6 +129,16 @@ def test_initial_ranks(edges):
     assert as_dict(pr.initial_ranks(df, sink_id=0, per="edge")) == pytest.approx({1: 1 / 3, 2: 1 / 3, 3: 1 / 3})
 
 
+def test_results_outlive_the_links(spark, edges):
+    """Nothing lazy in the ranks or the mass log reads the dropped link table."""
+    pairs = [(1, 2), (2, 3), (4, 2)]
+    ranks, log = pr.pagerank_with_mass(edges(pairs), 2)
+    spark.catalog.clearCache()
+    want, masses = brute.pagerank(pairs, 2)
+    assert as_dict(ranks) == pytest.approx(want)
+    assert [r["mass"] for r in log.orderBy("iteration").collect()] == pytest.approx(masses)
+
+
 def test_top_ranked(edges):
     ranks = edges([(1, 2)]).sparkSession.createDataFrame([(1, 0.2), (2, 0.5), (3, 0.2)], "id long, rank double")
     assert [r["id"] for r in pr.top_ranked(ranks, 2).collect()] == [2, 1]
@@ -120,7 +147,7 @@ def test_top_ranked(edges):
 def test_links_stay_where_they_are(edges):
     """An iteration shuffles ranks and contributions; the persisted links are read in place."""
     links = cut_lineage(link_counts(edges(brute.hub_graph())))
-    nodes = pr.node_layout(links, floor=3).persist()
+    nodes = pr.node_layout(pr.node_table(links, floor=3)).persist()
     layout = pr.link_layout(links, nodes).persist()
     layout.count()
     state = nodes.withColumn("rank", F.lit(0.5))
