@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from edgeweave.functions.skew import HEAVY_FLOOR, heavy_keys
-from edgeweave.operators.edges import cap_edges, edge_endpoints, edges_beyond_cap, link_counts
+from edgeweave.operators.edges import cap_edges, edges_beyond_cap, link_counts
 from edgeweave.session import cut_lineage
 
 BLOCK_WIDTH = 65_536
@@ -49,9 +49,7 @@ def follower_count_reduce(edges: DataFrame, modulus: int = 100) -> DataFrame:
 
 def degrees(edges: DataFrame) -> DataFrame:
     """In-degree ``m`` and out-degree ``n`` of every node, in one pass and one combined shuffle."""
-    tag = F.col("tag")
-    ends = edge_endpoints(edges).filter(F.col("node").isNotNull())
-    return ends.groupBy("node").agg(F.count_if(tag == "I").alias("m"), F.count_if(tag == "O").alias("n"))
+    return link_degrees(edges.select("src", "dst", F.lit(1).cast("long").alias("n")))
 
 
 def link_degrees(links: DataFrame) -> DataFrame:
@@ -65,6 +63,7 @@ def link_degrees(links: DataFrame) -> DataFrame:
             )
         ).alias("end")
     ).select("end.*")
+    ends = ends.filter(F.col("node").isNotNull())
     return ends.groupBy("node").agg(F.sum("m").alias("m"), F.sum("n").alias("n"))
 
 
@@ -72,13 +71,18 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("out_degree"))
 
 
+def product_type(wide: bool) -> str:
+    """Type of a degree that is to be multiplied: the product of two has up to 38 digits if wide."""
+    return "decimal(19,0)" if wide else "long"
+
+
 def two_path_cardinality(edges: DataFrame, cap: int | Column | None = None, wide: bool = False) -> DataFrame:
     """Two-hop paths through each node, ``m * n``, without listing them; X-Y-X paths count.
 
     A product beyond 63 bits raises; ``wide`` switches to a 38-digit decimal.
     """
     kept = edges if cap is None else cap_edges(edges, cap)
-    kind = "decimal(19,0)" if wide else "long"
+    kind = product_type(wide)
     both = degrees(kept).filter((F.col("m") != 0) & (F.col("n") != 0))
     return both.withColumn("paths", F.col("m").cast(kind) * F.col("n").cast(kind))
 
@@ -88,14 +92,14 @@ def two_path_total(edges: DataFrame, cap: int | Column | None = None, wide: bool
     return two_path_cardinality(edges, cap, wide).agg(total.alias("total"))
 
 
-def two_path_running_total(edges: DataFrame) -> DataFrame:
+def two_path_running_total(edges: DataFrame, wide: bool = False) -> DataFrame:
     """Running sum of the two-hop paths in node order.
 
     One ordered window would hold all nodes in one task. The nodes are range partitioned instead
     (the checkpoint fixes the ranges), each range gets its own window, and the totals of the
     ranges before it, one row per partition, come in by a broadcast of that bounded size.
     """
-    sizes = two_path_cardinality(edges).select("node", "paths")
+    sizes = two_path_cardinality(edges, wide=wide).select("node", "paths")
     ranged = cut_lineage(sizes.repartitionByRange("node").withColumn("cell", F.spark_partition_id()))
     before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("cell").agg(F.sum("paths").alias("paths"))
@@ -134,8 +138,13 @@ def adjacency_list(edges: DataFrame, floor: int = HEAVY_FLOOR, width: int = BLOC
 
     One row per node, or per block of a node with very many successors.
     """
+    return link_lists(link_counts(edges), floor, width)
+
+
+def link_lists(links: DataFrame, floor: int = HEAVY_FLOOR, width: int = BLOCK_WIDTH) -> DataFrame:
+    """``adjacency_list`` from counted links."""
     pairs = F.array_sort(F.collect_list(F.struct("dst", "n")))
-    grouped = _blocks(link_counts(edges), floor, width).groupBy("node", "block").agg(pairs.alias("pairs"))
+    grouped = _blocks(links, floor, width).groupBy("node", "block").agg(pairs.alias("pairs"))
     return grouped.select("node", "block", F.col("pairs.dst").alias("neighbours"), F.col("pairs.n").alias("copies"))
 
 

@@ -13,8 +13,9 @@ from edgeweave.functions.skew import (
     heavy_line,
     repeat_rows,
 )
-from edgeweave.operators.degrees import adjacency_list, link_degrees
+from edgeweave.operators.degrees import link_degrees, link_lists, product_type
 from edgeweave.operators.edges import link_counts
+from edgeweave.session import written_table
 
 STRATEGIES = ("auto", "merge", "shuffle_hash", "broadcast", "adjacency", "salted")
 
@@ -89,9 +90,9 @@ def _broadcast_join(links: DataFrame) -> DataFrame:
     return first.join(F.broadcast(links.select(F.col("src").alias("b"), F.col("dst").alias("c"), F.col("n").alias("n2"))), "b")
 
 
-def _adjacency_join(edges: DataFrame, links: DataFrame) -> DataFrame:
+def _adjacency_join(links: DataFrame) -> DataFrame:
     first = links.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("n").alias("n1"))
-    lists = adjacency_list(edges).select(F.col("node").alias("b"), F.arrays_zip("neighbours", "copies").alias("pairs"))
+    lists = link_lists(links).select(F.col("node").alias("b"), F.arrays_zip("neighbours", "copies").alias("pairs"))
     hops = first.join(F.broadcast(lists), "b").select("a", "b", "n1", F.explode("pairs").alias("hop"))
     return hops.select("a", "b", "n1", F.col("hop.neighbours").alias("c"), F.col("hop.copies").alias("n2"))
 
@@ -124,9 +125,11 @@ def two_paths(
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    links = link_counts(edges)
-    if strategy in ("broadcast", "adjacency") and fits_broadcast(links, max_broadcast_rows):
-        pairs = _broadcast_join(links) if strategy == "broadcast" else _adjacency_join(edges, links)
+    links, shipped = link_counts(edges), {"broadcast": _broadcast_join, "adjacency": _adjacency_join}
+    if strategy in shipped:
+        links, _ = written_table(links, "links")  # counted first, then read, not computed twice
+    if strategy in shipped and fits_broadcast(links, max_broadcast_rows):
+        pairs = shipped[strategy](links)
     elif strategy == "salted":
         pairs = _salted_join(links, hub_nodes(links, floor), salts)
     else:
@@ -150,13 +153,17 @@ def round_trips(links: DataFrame) -> DataFrame:
     return there.join(back, ["src", "dst"])
 
 
-def two_paths_count(edges: DataFrame) -> DataFrame:
+def two_paths_count(edges: DataFrame, wide: bool = False) -> DataFrame:
     """Number of two-hop paths with a != c, by counting instead of listing.
 
     All walks of two edges (the sum of m * n) less those that return to their start. The work
     grows with the edges, not with the paths, and both parts read one exchange of counted links.
     """
-    links = link_counts(edges)
-    returns = round_trips(links).agg(F.coalesce(F.sum(F.col("n") * F.col("back")), F.lit(0)).alias("returns"))
-    walks = link_degrees(links).agg(F.coalesce(F.sum(F.col("m") * F.col("n")), F.lit(0)).alias("walks"))
-    return walks.select((F.col("walks") - returns.scalar()).alias("n"))
+    links, zero = link_counts(edges), F.lit(0)
+
+    def products(df: DataFrame, one: str, other: str) -> DataFrame:
+        kind = product_type(wide)
+        return df.agg(F.coalesce(F.sum(F.col(one).cast(kind) * F.col(other).cast(kind)), zero).alias("total"))
+
+    returns = products(round_trips(links), "n", "back").scalar()
+    return products(link_degrees(links), "m", "n").select((F.col("total") - returns).alias("n"))

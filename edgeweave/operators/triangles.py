@@ -21,6 +21,7 @@ from edgeweave.functions.skew import (
 )
 from edgeweave.operators.edges import link_counts
 from edgeweave.operators.paths import degree_line, hub_nodes, node_degrees, parts_of
+from edgeweave.session import written_table
 
 STRATEGIES = ("auto", "merge", "shuffle_hash", "broadcast")
 KINDS = ("multi", "distinct", "semi")
@@ -30,12 +31,15 @@ def _hinted(df: DataFrame, strategy: str) -> DataFrame:
     return df if strategy == "auto" else df.hint(strategy)
 
 
-def _settle(links: DataFrame, strategy: str, max_rows: int) -> str:
+def _check(strategy: str, kind: str = "multi") -> None:
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    if strategy == "broadcast" and not fits_broadcast(links, max_rows):
-        return "auto"
-    return strategy
+    if kind not in KINDS:
+        raise ValueError(f"kind must be one of {KINDS}")
+
+
+def _settle(ranked: DataFrame, strategy: str, max_rows: int) -> str:
+    return "auto" if strategy == "broadcast" and not fits_broadcast(ranked, max_rows) else strategy
 
 
 def _ranked(links: DataFrame, floor: int) -> DataFrame:
@@ -54,6 +58,15 @@ def _ranked(links: DataFrame, floor: int) -> DataFrame:
     return out.withColumns({f"{end}_parts": parts_of(F.col(f"{end}_degree"), line) for end in ("src", "dst")})
 
 
+def ranked_links(edges: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
+    """Counted links with the degree and cell count of both ends, as a table in the shared folder.
+
+    The search reads it three times (ways out, ways in, closing links). Written once, the joins
+    that attach the degrees are not repeated, and a lost executor costs a scan.
+    """
+    return written_table(_ranked(link_counts(edges), floor), "ranked-links")[0]
+
+
 def _wedges(ranked: DataFrame, strategy: str) -> DataFrame:
     """Paths u -> v -> w around their lowest node v, with ``salts``, the cells of the pair (w, u).
 
@@ -74,34 +87,23 @@ def _wedges(ranked: DataFrame, strategy: str) -> DataFrame:
     )
 
 
-def closed_walks(
-    edges: DataFrame,
-    strategy: str = "auto",
-    floor: int = HEAVY_FLOOR,
-    max_broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def closed_walks(ranked: DataFrame, strategy: str = "auto", max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Closed walks of three edges over at least two nodes, each once: ``(v, w, u, n_vw, n_wu, n_uv)``.
 
     The closing link w -> u is looked up by both ends. A pair of hubs can end very many paths, so
     its paths are spread over cells by v; the cells of all links together stay below a small
     multiple of the links, because a pair gets no more cells than its smaller hub has.
     """
-    links = link_counts(edges)
-    strategy = _settle(links, strategy, max_broadcast_rows)
-    ranked = _ranked(links, floor)
+    strategy = _settle(ranked, strategy, max_broadcast_rows)
     wedges = _wedges(ranked, strategy)
-    if strategy == "broadcast":
-        closing = links.select(F.col("src").alias("w"), F.col("dst").alias("u"), F.col("n").alias("n_wu"))
-        found = wedges.join(F.broadcast(closing), ["w", "u"])
-    else:
-        closing = ranked.select(
-            F.col("src").alias("w"),
-            F.col("dst").alias("u"),
-            F.col("n").alias("n_wu"),
-            every_cell(F.least("src_parts", "dst_parts")).alias("salt"),
-        )
-        salted = wedges.withColumn("salt", cell_of(F.col("salts"), F.col("v")))
-        found = salted.join(_hinted(closing, strategy), ["w", "u", "salt"])
+    closing = ranked.select(
+        F.col("src").alias("w"),
+        F.col("dst").alias("u"),
+        F.col("n").alias("n_wu"),
+        every_cell(F.least("src_parts", "dst_parts")).alias("salt"),
+    )
+    salted = wedges.withColumn("salt", cell_of(F.col("salts"), F.col("v")))
+    found = salted.join(_hinted(closing, strategy), ["w", "u", "salt"])
     return found.select("v", "w", "u", "n_vw", "n_wu", "n_uv")
 
 
@@ -124,9 +126,8 @@ def triangles(
     does. ``distinct`` ignores repeated edges. ``semi`` takes a -> b from the raw edges and only
     tests whether b -> c and c -> a exist, so ``copies`` is that of a -> b and a = c may occur.
     """
-    if kind not in KINDS:
-        raise ValueError(f"kind must be one of {KINDS}")
-    walks = closed_walks(edges, strategy, floor, max_broadcast_rows)
+    _check(strategy, kind)
+    walks = closed_walks(ranked_links(edges, floor), strategy, max_broadcast_rows)
 
     def turn(a: str, b: str, c: str) -> Column:
         copies = _copies(kind, f"n_{a}{b}", f"n_{b}{c}", f"n_{c}{a}")
@@ -143,7 +144,9 @@ def triangles(
 
 def triangles_canonical(edges: DataFrame, strategy: str = "auto", floor: int = HEAVY_FLOOR) -> DataFrame:
     """Each cycle of three different nodes once, smallest id first."""
-    walks = closed_walks(edges, strategy, floor).filter((F.col("v") != F.col("u")) & (F.col("w") != F.col("u")))
+    _check(strategy)
+    walks = closed_walks(ranked_links(edges, floor), strategy)
+    walks = walks.filter((F.col("v") != F.col("u")) & (F.col("w") != F.col("u")))
     v, w, u = F.col("v"), F.col("w"), F.col("u")
     low = F.least(v, w, u)
 
@@ -178,12 +181,11 @@ def triangle_count(
     max_broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows ``triangles`` would have (copies counted) and rows div 3, without listing them."""
-    if kind not in KINDS:
-        raise ValueError(f"kind must be one of {KINDS}")
-    links = link_counts(edges)
-    strategy = _settle(links, strategy, max_broadcast_rows)
-    pairs = _pair_weights(_wedges(_ranked(links, floor), strategy), kind)
-    closing = links.select(F.col("src").alias("w"), F.col("dst").alias("u"), "n")
+    _check(strategy, kind)
+    ranked = ranked_links(edges, floor)
+    strategy = _settle(ranked, strategy, max_broadcast_rows)
+    pairs = _pair_weights(_wedges(ranked, strategy), kind)
+    closing = ranked.select(F.col("src").alias("w"), F.col("dst").alias("u"), "n")
     rows = F.sum(F.col("scaled") * F.col("n") + F.col("plain"))
     total = pairs.join(_hinted(closing, strategy), ["w", "u"]).agg(F.coalesce(rows, F.lit(0)).alias("rows"))
     if kind == "semi":

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from edgeweave.functions.skew import HEAVY_FLOOR
-from edgeweave.operators.edges import as_column, link_counts
+from edgeweave.operators.edges import as_column
 from edgeweave.operators.paths import round_trips
-from edgeweave.operators.triangles import closed_walks
+from edgeweave.operators.triangles import closed_walks, ranked_links
 
 
 def cap_profile(edges: DataFrame, caps: list[int | Column], floor: int = HEAVY_FLOOR) -> DataFrame:
@@ -23,8 +23,7 @@ def cap_profile(edges: DataFrame, caps: list[int | Column], floor: int = HEAVY_F
     def level(largest: Column) -> Column:
         return sum((F.when(as_column(cap) < largest, 1).otherwise(0) for cap in caps), F.lit(0))
 
-    links = link_counts(edges)
-
+    links = ranked_links(edges, floor)
     measures = ("edges", "walks", "returns", "rows")
 
     def at(df: DataFrame, when: Column, **values: Column) -> DataFrame:
@@ -36,7 +35,7 @@ def cap_profile(edges: DataFrame, caps: list[int | Column], floor: int = HEAVY_F
     rows = F.col("n_vw") * F.col("n_wu") * F.col("n_uv") * F.when(proper, 3).otherwise(2)
     by_edge = at(links, level(F.greatest("src", "dst")), edges=F.col("n"))
     trips = at(round_trips(links), level(F.greatest("src", "dst")), returns=F.col("n") * F.col("back"))
-    cycles = at(closed_walks(edges, floor=floor), level(F.greatest("v", "w", "u")), rows=rows)
+    cycles = at(closed_walks(links), level(F.greatest("v", "w", "u")), rows=rows)
     hops = at(_hops(links, level, k), F.col("level"), walks=F.col("walks"))
     every_cap = at(edges.sparkSession.range(k), F.col("id").cast("int"))
 

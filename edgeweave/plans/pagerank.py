@@ -35,8 +35,10 @@ from edgeweave.operators.edges import link_counts
 from edgeweave.session import cut_lineage, drop_table, written_table
 from edgeweave.sources.generate import copy_chains, one_chain
 
-# Fixed value: probability of a random jump.
+# Probability of a random jump, and the flag and separators of a step record.
 TELEPORT = 0.15
+RECORD_FLAG = "U"
+FIELD_END, NODE_END = ",", "-"
 
 
 def node_table(links: DataFrame, sink_id: int | None = None, floor: int = HEAVY_FLOOR) -> DataFrame:
@@ -216,10 +218,9 @@ def step_records(edges: DataFrame, sink_id: int | None = None, floor: int = HEAV
 
 def record_text(records: DataFrame) -> DataFrame:
     """Step records as ``node,U,contribution,a-b-`` lines."""
-    tail = F.concat_ws("", F.transform("adjacency", lambda x: F.concat(x.cast("string"), F.lit("-"))))
-    return records.select(
-        F.concat_ws(",", F.col("node").cast("string"), F.lit("U"), F.col("contribution").cast("string"), tail).alias("value")
-    )
+    tail = F.concat_ws("", F.transform("adjacency", lambda x: F.concat(x.cast("string"), F.lit(NODE_END))))
+    fields = [F.col("node").cast("string"), F.lit(RECORD_FLAG), F.col("contribution").cast("string"), tail]
+    return records.select(F.concat_ws(FIELD_END, *fields).alias("value"))
 
 
 def top_ranked(ranks: DataFrame, k: int = 20) -> DataFrame:

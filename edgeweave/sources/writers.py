@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# Folder of an iteration's ranks, and the folder of its dangling mass below that.
+ITERATION_FOLDER = "Iteration"
+MASS_FOLDER = "Dummy"
+
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "error") -> None:
     """Plain separated text without header: ``a,b``, or tab separated with ``sep='\\t'``."""
@@ -27,7 +31,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def iteration_path(root: str, iteration: int) -> str:
-    return f"{root.rstrip('/')}/Iteration{iteration}"
+    return f"{root.rstrip('/')}/{ITERATION_FOLDER}{iteration}"
 
 
 def write_ranks(ranks: DataFrame, mass: DataFrame, root: str, iteration: int, files: int | None = None) -> str:
@@ -39,5 +43,5 @@ def write_ranks(ranks: DataFrame, mass: DataFrame, root: str, iteration: int, fi
     out = ranks.select("id", "rank")
     write_tuples(out.coalesce(files) if files else out, path)
     last = mass.filter(F.col("iteration") == iteration).select(F.lit(0).cast("long").alias("id"), "mass")
-    tuple_text(last).coalesce(1).write.text(f"{path}/Dummy")
+    tuple_text(last).coalesce(1).write.text(f"{path}/{MASS_FOLDER}")
     return path
