@@ -66,6 +66,14 @@ def hub_nodes(links: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
     )
 
 
+def _first_hops(links: DataFrame) -> DataFrame:
+    return links.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("n").alias("n1"))
+
+
+def _second_hops(links: DataFrame) -> DataFrame:
+    return links.select(F.col("src").alias("b"), F.col("dst").alias("c"), F.col("n").alias("n2"))
+
+
 def _grid_join(links: DataFrame, hubs: DataFrame, hint: str | None) -> DataFrame:
     """Join first hops to second hops on the middle node, a hub spread over a grid of cells.
 
@@ -76,37 +84,29 @@ def _grid_join(links: DataFrame, hubs: DataFrame, hint: str | None) -> DataFrame
     one = F.lit(1).cast("long")
     grid = F.broadcast(hubs.select(F.col("node").alias("b"), "in_parts", "out_parts"))
     ins, outs = F.coalesce("in_parts", one), F.coalesce("out_parts", one)
-    first = links.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("n").alias("n1")).join(grid, "b", "left")
+    first = _first_hops(links).join(grid, "b", "left")
     first = first.select("a", "b", "n1", cell_of(ins, F.col("a")).alias("gx"), every_cell(outs).alias("gy"))
-    second = links.select(F.col("src").alias("b"), F.col("dst").alias("c"), F.col("n").alias("n2")).join(grid, "b", "left")
+    second = _second_hops(links).join(grid, "b", "left")
     second = second.select("b", "c", "n2", every_cell(ins).alias("gx"), cell_of(outs, F.col("c")).alias("gy"))
-    if hint:
-        second = second.hint(hint)
-    return first.join(second, ["b", "gx", "gy"])
+    return first.join(second.hint(hint) if hint else second, ["b", "gx", "gy"])
+
+
+def _with_salts(hubs: DataFrame, salts: int) -> DataFrame:
+    """Hubs with at least ``salts`` rows and columns in their grid."""
+    at_least = {c: F.greatest(F.col(c), F.lit(salts).cast("long")) for c in ("in_parts", "out_parts")}
+    return hubs.withColumns(at_least)
 
 
 def _broadcast_join(links: DataFrame) -> DataFrame:
-    first = links.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("n").alias("n1"))
-    return first.join(F.broadcast(links.select(F.col("src").alias("b"), F.col("dst").alias("c"), F.col("n").alias("n2"))), "b")
+    return _first_hops(links).join(F.broadcast(_second_hops(links)), "b")
 
 
 def _adjacency_join(links: DataFrame) -> DataFrame:
-    first = links.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("n").alias("n1"))
     lists = link_lists(links).select(F.col("node").alias("b"), F.arrays_zip("neighbours", "copies").alias("pairs"))
-    hops = first.join(F.broadcast(lists), "b").select("a", "b", "n1", F.explode("pairs").alias("hop"))
+    hops = _first_hops(links).join(F.broadcast(lists), "b").select("a", "b", "n1", F.explode("pairs").alias("hop"))
     return hops.select("a", "b", "n1", F.col("hop.neighbours").alias("c"), F.col("hop.copies").alias("n2"))
 
 
-def _salted_join(links: DataFrame, hubs: DataFrame, salts: int) -> DataFrame:
-    """First hops into a hub spread over ``salts`` cells, its second hops repeated for each."""
-    hub = F.broadcast(hubs.select(F.col("node").alias("b"), F.lit(salts).cast("long").alias("salts")))
-    count = F.coalesce("salts", F.lit(1).cast("long"))
-    first = links.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("n").alias("n1")).join(hub, "b", "left")
-    second = links.select(F.col("src").alias("b"), F.col("dst").alias("c"), F.col("n").alias("n2")).join(hub, "b", "left")
-    first = first.select("a", "b", "n1", cell_of(count, F.col("a")).alias("salt"))
-    return first.join(second.select("b", "c", "n2", every_cell(count).alias("salt")), ["b", "salt"])
-
-
 def two_paths(
     edges: DataFrame,
     strategy: str = "auto",
@@ -119,7 +119,7 @@ def two_paths(
 
     Repeated edges multiply into ``copies``, so they never multiply the rows moved; use
     ``path_rows`` for one row per path. ``merge`` and ``shuffle_hash`` name the join, ``salted``
-    sets the number of cells of a hub, ``broadcast`` and ``adjacency`` ship the edges as rows or
+    sets the least number of random buckets per side of a hub, ``broadcast`` and ``adjacency`` ship the edges as rows or
     as successor lists, if they are counted to be at most ``max_broadcast_rows``; else, and for
     ``auto``, the grid join runs with the join Spark picks.
     """
@@ -130,11 +130,10 @@ def two_paths(
         links, _ = written_table(links, "links")  # counted first, then read, not computed twice
     if strategy in shipped and fits_broadcast(links, max_broadcast_rows):
         pairs = shipped[strategy](links)
-    elif strategy == "salted":
-        pairs = _salted_join(links, hub_nodes(links, floor), salts)
     else:
+        hubs = hub_nodes(links, floor)
         hint = strategy if strategy in ("merge", "shuffle_hash") else None
-        pairs = _grid_join(links, hub_nodes(links, floor), hint)
+        pairs = _grid_join(links, _with_salts(hubs, salts) if strategy == "salted" else hubs, hint)
     open_pairs = pairs.filter(F.col("a") != F.col("c"))
     if distinct:
         return open_pairs.select("a", "b", "c")

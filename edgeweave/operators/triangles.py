@@ -107,6 +107,11 @@ def closed_walks(ranked: DataFrame, strategy: str = "auto", max_broadcast_rows:
     return found.select("v", "w", "u", "n_vw", "n_wu", "n_uv")
 
 
+def _loops(ranked: DataFrame) -> DataFrame:
+    """Links of a node to itself; three times the same loop is a closed walk on one node."""
+    return ranked.filter(F.col("src") == F.col("dst"))
+
+
 def _copies(kind: str, first: str, second: str, third: str) -> Column:
     if kind == "multi":
         return F.col(first) * F.col(second) * F.col(third)
@@ -127,7 +132,8 @@ def triangles(
     tests whether b -> c and c -> a exist, so ``copies`` is that of a -> b and a = c may occur.
     """
     _check(strategy, kind)
-    walks = closed_walks(ranked_links(edges, floor), strategy, max_broadcast_rows)
+    ranked = ranked_links(edges, floor)
+    walks = closed_walks(ranked, strategy, max_broadcast_rows)
 
     def turn(a: str, b: str, c: str) -> Column:
         copies = _copies(kind, f"n_{a}{b}", f"n_{b}{c}", f"n_{c}{a}")
@@ -136,8 +142,8 @@ def triangles(
     turns = F.array(turn("v", "w", "u"), turn("w", "u", "v"), turn("u", "v", "w"))
     rows = walks.select(F.explode(turns).alias("t")).select("t.*")
     if kind == "semi":
-        loops = link_counts(edges.filter(F.col("src") == F.col("dst")))
-        return rows.unionByName(loops.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("src").alias("c"), F.col("n").alias("copies")))
+        loop, n = F.col("src"), F.col("n").alias("copies")
+        return rows.unionByName(_loops(ranked).select(loop.alias("a"), loop.alias("b"), loop.alias("c"), n))
     rows = rows.filter(F.col("a") != F.col("c"))
     return rows.drop("copies") if kind == "distinct" else rows
 
@@ -189,6 +195,6 @@ def triangle_count(
     rows = F.sum(F.col("scaled") * F.col("n") + F.col("plain"))
     total = pairs.join(_hinted(closing, strategy), ["w", "u"]).agg(F.coalesce(rows, F.lit(0)).alias("rows"))
     if kind == "semi":
-        loops = edges.filter(F.col("src") == F.col("dst")).agg(F.count(F.lit(1)))
+        loops = _loops(ranked).agg(F.coalesce(F.sum("n"), F.lit(0)))
         total = total.select((F.col("rows") + loops.scalar()).alias("rows"))
     return total.select("rows", F.expr("rows div 3").alias("triangles"))
