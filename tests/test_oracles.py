@@ -3,6 +3,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from edgeweave import oracles, registry
 from compare import connect, spark_bag, sql_bag
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -14,13 +15,13 @@ def con():
 
 
 def test_same_keys():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracles.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_matches_sql(spark, con, name):
-    got_columns, got = spark_bag(entry.queries()[name](spark, SF_DIR))
-    want_columns, want = sql_bag(con, entry.oracle_sql()[name])
+    got_columns, got = spark_bag(registry.queries()[name](spark, SF_DIR))
+    want_columns, want = sql_bag(con, oracles.oracle_sql()[name])
     assert got_columns == want_columns
     assert sum(got.values()) == sum(want.values()) > 0
     assert got == want
