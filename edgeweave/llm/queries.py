@@ -6,18 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeweave.llm import simhash
+from edgeweave.llm import quality, simhash
 from edgeweave.sources.derived import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op3_simhash": op3_simhash}
+    return {
+        "op2_quality_classifier": op2_quality_classifier,
+        "op3_simhash": op3_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
