@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeweave.llm import quality, simhash
+from edgeweave.llm import packing, quality, simhash
 from edgeweave.sources.derived import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +20,22 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def word_vocabulary() -> str:
+    """Where the word-level BPE vocabulary of the packing query lies on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), word_vocabulary())
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_classifier": op2_quality_classifier,
         "op3_simhash": op3_simhash,
+        "op5_hilbert_packing": op5_hilbert_packing,
     }
 
 
