@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeweave.llm import packing, quality, simhash
+from edgeweave.llm import mixing, packing, quality, simhash
 from edgeweave.sources.derived import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 def word_vocabulary() -> str:
     """Where the word-level BPE vocabulary of the packing query lies on every machine."""
     import public_tokenizers
@@ -35,9 +39,10 @@ def queries() -> dict[str, Query]:
     return {
         "op2_quality_classifier": op2_quality_classifier,
         "op3_simhash": op3_simhash,
+        "op4_temperature_mixing": op4_temperature_mixing,
         "op5_hilbert_packing": op5_hilbert_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_temperature_mixing": mixing.MIXTURE_SQL}
