@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edgeweave.llm import mixing, packing, quality, simhash
+from edgeweave.llm import mixing, packing, quality, simhash, topk
 from edgeweave.sources.derived import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _every_20th() -> Column:
+    return F.col("vec_id") % 20 == 0
+
+
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), _every_20th())
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,6 +45,7 @@ def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_exact_top_k": op1_exact_top_k,
         "op2_quality_classifier": op2_quality_classifier,
         "op3_simhash": op3_simhash,
         "op4_temperature_mixing": op4_temperature_mixing,
@@ -45,4 +54,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_temperature_mixing": mixing.MIXTURE_SQL}
+    return {
+        "op1_exact_top_k": topk.TOP_K_SQL,
+        "op4_temperature_mixing": mixing.MIXTURE_SQL,
+    }
