@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edgeweave.llm import mixing, packing, quality, simhash, topk
+from edgeweave.llm import graph_index, mixing, packing, quality, simhash, topk
 from edgeweave.sources.derived import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op9_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_index.nearest(table(spark, sf_dir, "embeddings"), _every_20th())
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -50,6 +54,7 @@ def queries() -> dict[str, Query]:
         "op3_simhash": op3_simhash,
         "op4_temperature_mixing": op4_temperature_mixing,
         "op5_hilbert_packing": op5_hilbert_packing,
+        "op9_graph_neighbours": op9_graph_neighbours,
     }
 
 
