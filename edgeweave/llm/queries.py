@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edgeweave.llm import graph_index, mixing, packing, quality, simhash, topk
+from edgeweave.llm import graph_index, mixing, packing, quality, simhash, topk, url_filter
 from edgeweave.sources.derived import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op7_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
+
+
 def op9_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_index.nearest(table(spark, sf_dir, "embeddings"), _every_20th())
 
@@ -54,6 +58,7 @@ def queries() -> dict[str, Query]:
         "op3_simhash": op3_simhash,
         "op4_temperature_mixing": op4_temperature_mixing,
         "op5_hilbert_packing": op5_hilbert_packing,
+        "op7_url_verdicts": op7_url_verdicts,
         "op9_graph_neighbours": op9_graph_neighbours,
     }
 
@@ -62,4 +67,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_top_k": topk.TOP_K_SQL,
         "op4_temperature_mixing": mixing.MIXTURE_SQL,
+        "op7_url_verdicts": url_filter.url_verdicts_sql(),
     }
