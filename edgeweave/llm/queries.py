@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edgeweave.llm import graph_index, mixing, packing, quality, simhash, topk, url_filter
+from edgeweave.llm import graph_index, mixing, packing, quality, simhash, topk, url_filter, warc
 from edgeweave.sources.derived import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op7_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
 
 
+def op8_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).drop("url")
+
+
 def op9_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_index.nearest(table(spark, sf_dir, "embeddings"), _every_20th())
 
@@ -59,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op4_temperature_mixing": op4_temperature_mixing,
         "op5_hilbert_packing": op5_hilbert_packing,
         "op7_url_verdicts": op7_url_verdicts,
+        "op8_warc_members": op8_warc_members,
         "op9_graph_neighbours": op9_graph_neighbours,
     }
 
@@ -68,4 +73,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_exact_top_k": topk.TOP_K_SQL,
         "op4_temperature_mixing": mixing.MIXTURE_SQL,
         "op7_url_verdicts": url_filter.url_verdicts_sql(),
+        "op8_warc_members": warc.ARCHIVED_SQL,
     }
