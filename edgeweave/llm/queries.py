@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edgeweave.llm import graph_index, mixing, packing, quality, simhash, topk, url_filter, warc
+from edgeweave.llm import graph_index, mixing, packing, quality, simhash, suffixes, topk, url_filter, warc
 from edgeweave.sources.derived import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op9_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_index.nearest(table(spark, sf_dir, "embeddings"), _every_20th())
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeat_counts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -65,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op7_url_verdicts": op7_url_verdicts,
         "op8_warc_members": op8_warc_members,
         "op9_graph_neighbours": op9_graph_neighbours,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
