@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 HALF, LAGS, VECTOR, FILTERS, HIDDEN, PARTS = 16, 48, 4, 24, 12, 8
 PER_CLASS, MAX_BYTES, THRESHOLD = 1500, 16384, 0.3
@@ -254,8 +255,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_byte
     return found["model"] if found else _packed(_start(np.random.default_rng(SEED)))
 
 
-def scores(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` reduced to ``(doc_id, text)`` plus ``(score, predicted)``; a null text counts as empty."""
+def scored(docs: DataFrame, model: bytes) -> DataFrame:
+    """``docs`` with all its columns and ``__score``; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = _unpacked(model)
@@ -264,11 +265,9 @@ def scores(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> DataF
                 part = rows.slice(at, 256)
                 texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in part.column("text")]
                 found = pa.array(score_texts(network, texts), pa.float64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), found], ["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, "__score"])
 
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = kept.mapInArrow(run, "doc_id long, score double")
-    return found.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__score", DoubleType())]))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -277,5 +276,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Repeated rows are scored alike and stay; a null id is kept and is not held out; an empty table
     gives an empty result; columns beyond the two are ignored.
     """
-    found = scores(docs, fit(docs, labels))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = scored(kept, fit(docs, labels))
+    predicted = (F.col("__score") >= THRESHOLD).cast("int").alias("predicted")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), predicted)
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, with all their columns."""
+    return scored(docs, fit(docs, labels)).filter(F.col("__score") >= threshold).drop("__score")
