@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edgeweave.llm import graph_index, mixing, packing, quality, simhash, suffixes, topk, url_filter, warc
+from edgeweave.llm import graph_index, mixing, packing, quality, simhash, suffixes, topk, url_filter, warc, wrappers
 from edgeweave.sources.derived import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op6_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op7_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
 
@@ -66,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op3_simhash": op3_simhash,
         "op4_temperature_mixing": op4_temperature_mixing,
         "op5_hilbert_packing": op5_hilbert_packing,
+        "op6_wrapper_text": op6_wrapper_text,
         "op7_url_verdicts": op7_url_verdicts,
         "op8_warc_members": op8_warc_members,
         "op9_graph_neighbours": op9_graph_neighbours,
