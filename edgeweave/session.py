@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: dict[str, list[str]] = {}  # application id -> paths under the shared folder
+
+
+def _refuse_local(sc, folder: str) -> None:
+    """A folder of one machine is no shared folder on a cluster."""
+    if not sc.master.startswith("local") and (folder.startswith(("file:", "/")) or "://" not in folder):
+        raise ValueError(f"{folder} may be local to each machine; name a folder on a shared file system with its scheme")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    Only a local session without either gets a fresh temporary folder.
+    Only a local session without either gets a fresh temporary folder; a ``file:`` folder is refused
+    on a cluster.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if configured:
+        _refuse_local(sc, configured)
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
@@ -23,12 +36,36 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="edgeweave-"))
+    _refuse_local(sc, sc.getCheckpointDir())
     return sc.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses; ``release`` removes what is there."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession, kept: int = 0) -> None:
+    """Remove the tables and files made so far, but for the first ``kept``; results must not need them any more."""
+    made = _made.get(spark.sparkContext.applicationId, [])
+    for path in made[kept:]:
+        drop_table(spark, path)
+    del made[kept:]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Everything that is written to the shared folder inside is removed at the end.
+
+    ``with scratch(spark): triangles(edges).write.parquet(out)`` leaves nothing but ``out``.
+    """
+    before = len(_made.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, before)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

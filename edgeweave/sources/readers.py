@@ -10,6 +10,7 @@ EDGE = T.StructType([T.StructField("src", T.LongType()), T.StructField("dst", T.
 EDGE_PATTERN = r"(\d+),(\d+)"
 
 MODES = ("PERMISSIVE", "FAILFAST")
+BROKEN = "_broken"
 
 
 def _check(mode: str) -> bool:
@@ -18,20 +19,33 @@ def _check(mode: str) -> bool:
     return mode.upper() == "FAILFAST"
 
 
+def _only_whole(df: DataFrame, whole: Column, raw: Column, failfast: bool) -> DataFrame:
+    """Rows where ``whole`` holds; in FAILFAST any other row raises.
+
+    The error sits in a filter, which no plan can prune, whichever columns it reads.
+    """
+    if not failfast:
+        return df.filter(whole)
+    error = F.raise_error(F.concat(F.lit("malformed edge: "), F.coalesce(raw, F.lit("")))).cast("boolean")
+    return df.filter(F.when(whole, F.lit(True)).otherwise(error))
+
+
 def _edges_from(df: DataFrame, src: Column, dst: Column, raw: Column, failfast: bool) -> DataFrame:
     out = df.select(src.try_cast("long").alias("src"), dst.try_cast("long").alias("dst"), raw.alias("raw"))
     whole = F.col("src").isNotNull() & F.col("dst").isNotNull()
-    if failfast:
-        error = F.raise_error(F.concat(F.lit("malformed edge: "), F.col("raw"))).cast("long")
-        return out.select(F.when(whole, F.col("src")).otherwise(error).alias("src"), "dst")
-    return out.filter(whole).select("src", "dst")
+    return _only_whole(out, whole, F.col("raw"), failfast).select("src", "dst")
 
 
 def read_edges_csv(spark: SparkSession, path: str, sep: str = ",", mode: str = "PERMISSIVE") -> DataFrame:
-    """Separated edge files with the fixed schema; malformed rows are dropped, or raise in FAILFAST."""
-    _check(mode)
-    df = spark.read.schema(EDGE).csv(path, sep=sep, mode=mode.upper())
-    return df.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    """Separated edge files with the fixed schema; malformed rows are dropped, or raise in FAILFAST.
+
+    A row is malformed if it has a missing, an extra or a non-integer field.
+    """
+    failfast = _check(mode)
+    schema = T.StructType([*EDGE.fields, T.StructField(BROKEN, T.StringType())])
+    df = spark.read.schema(schema).csv(path, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN)
+    whole = F.col(BROKEN).isNull() & F.col("src").isNotNull() & F.col("dst").isNotNull()
+    return _only_whole(df, whole, F.col(BROKEN), failfast).select("src", "dst")
 
 
 def read_edges_text(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:

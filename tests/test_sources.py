@@ -46,6 +46,19 @@ def test_failfast_readers_raise(spark, text):
         readers.read_edges_csv(spark, path, mode="other")
 
 
+@pytest.mark.parametrize("line", ["x,5", "7", "1,2,3", "5,x"])
+def test_failfast_raises_whatever_is_read(spark, text, line):
+    """Both columns, one of them, or none: no plan prunes the check."""
+    path = text("1,5", line)
+    for read in (readers.read_edges_csv, readers.read_edges_text, readers.read_edges_tokens):
+        df = read(spark, path, mode="FAILFAST")
+        for use in (df, df.select("src"), df.select("dst"), df.groupBy("dst").count(), df.agg(F.count(F.lit(1)))):
+            with pytest.raises(Exception):
+                use.collect()
+        assert bag(read(spark, path)) == Counter([(1, 5)])
+        assert read(spark, path).count() == 1 and read(spark, path).select("dst").count() == 1
+
+
 def test_text_takes_exactly_two_fields(spark, text):
     assert bag(readers.read_edges_text(spark, text("1,2", "1,2,3", "4,5,", " 6,7"))) == Counter([(1, 2), (4, 5), (6, 7)])
 
@@ -165,3 +178,33 @@ def test_observed_counts_while_writing(spark, edges):
 
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_scratch_leaves_nothing(spark, edges):
+    """What an operator writes is gone after the result is written and the helper is closed."""
+    import os
+
+    from edgeweave.operators.triangles import triangles
+    from edgeweave.session import fresh_path, scratch
+
+    out = fresh_path(spark, "result")
+    before = set(os.listdir(shared_dir(spark)))
+    with scratch(spark):
+        triangles(edges([(1, 2), (2, 3), (3, 1)])).write.parquet(out)
+        assert set(os.listdir(shared_dir(spark))) - before - {os.path.basename(out)}
+    after = {x for x in os.listdir(shared_dir(spark)) if not x.count("-") == 4}  # without Spark's checkpoint folder
+    assert after - before == {os.path.basename(out)}
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_local_folders_are_refused_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from edgeweave import session
+
+    cluster = SimpleNamespace(master="spark://host:7077")
+    for folder in ("file:///tmp/x", "/tmp/x", "x"):
+        with pytest.raises(ValueError):
+            session._refuse_local(cluster, folder)
+    session._refuse_local(cluster, "hdfs://host/x")
+    session._refuse_local(SimpleNamespace(master="local-cluster[3,2,1024]"), "file:///tmp/x")
