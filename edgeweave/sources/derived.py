@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from edgeweave.functions.skew import HEAVY_FLOOR, heavy_keys, join_unique, repeat_rows
-from edgeweave.session import cut_lineage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,14 +22,10 @@ def successor_edges(rows: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
     """Edges from each ``id`` to the next one of its ``grp``, in the order ``(pos, id)``.
 
     Groups of ordinary size take one window over one shuffle. A heavy group would put a window on
-    one task, so it goes through ``_split_successors``. One combined count, taken when the edges
-    are defined, tells whether there is any; the usual answer leaves the plain window as the plan.
+    one task, so it goes through ``_split_successors``. Both are branches of one lazy plan; the list
+    of heavy groups is an aggregate in it, broadcast within the bound of ``functions.skew``.
     """
-    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("rows"))
-    total, largest = sizes.agg(F.sum("rows"), F.max("rows")).first()
-    if total is None or largest < max(floor, (2.0 * total) ** 0.5):
-        return _window_successors(rows)
-    heavy = F.broadcast(cut_lineage(heavy_keys(rows, "grp", floor).select("grp")))
+    heavy = F.broadcast(heavy_keys(rows, "grp", floor).select("grp"))
     usual = _window_successors(rows.join(heavy, "grp", "left_anti"))
     return usual.unionByName(_split_successors(rows.join(heavy, "grp", "left_semi")))
 
@@ -45,31 +40,38 @@ def _window_successors(rows: DataFrame) -> DataFrame:
 
 
 def _split_successors(rows: DataFrame) -> DataFrame:
-    """The same edges for groups too large for one task.
+    """The same edges for groups too large for one task, each row passing through once.
 
     Equal rows fold into counts. The distinct rows are range partitioned by ``(grp, pos, id)``, so
-    one group spans many ranges; each range finds its successors alone. What is left per range is
-    its first and last row, which one small window per group links to the next range. The
-    checkpoint fixes the range numbers for both uses.
+    one group spans many ranges (cells). A window per group and cell finds the successors inside.
+    Each row then goes on as its finished edges, spread by a hash, and the first and last row of a
+    cell also as an end; the ends of a group, two per cell, meet in a second window, which links
+    the last row of a cell to the first one of the next.
     """
-    counted = rows.groupBy("grp", "pos", "id").agg(F.count(F.lit(1)).alias("copies"))
-    ranged = cut_lineage(
-        counted.repartitionByRange("grp", "pos", "id").withColumn("cell", F.spark_partition_id())
-    )
+    counted = rows.groupBy("grp", "pos", "id").agg(F.count(F.lit(1)).alias("n"))
+    ranged = counted.repartitionByRange("grp", "pos", "id").withColumn("cell", F.spark_partition_id())
     inside = Window.partitionBy("grp", "cell").orderBy("pos", "id")
-    steps = ranged.select(F.col("id").alias("src"), F.lead("id").over(inside).alias("dst"))
-    ends = ranged.groupBy("grp", "cell").agg(
-        F.min(F.struct("pos", "id")).alias("first"), F.max(F.struct("pos", "id")).alias("last")
+    found = ranged.select(
+        "grp", "cell", "pos", "id", "n", F.lead("id").over(inside).alias("dst"), F.row_number().over(inside).alias("place")
     )
-    across = Window.partitionBy("grp").orderBy("cell")
-    stitches = ends.select(F.col("last.id").alias("src"), F.lead("first.id").over(across).alias("dst"))
-    repeats = repeat_rows(
-        ranged.select("grp", "pos", F.col("id").alias("src"), F.col("id").alias("dst"), (F.col("copies") - 1).alias("n")),
-        "n",
-        spread=True,
+
+    def item(holds: Column, end: int, dst: Column, n: Column) -> Column:
+        return F.when(holds, F.struct(F.lit(end).alias("end"), dst.alias("dst"), n.cast("long").alias("n")))
+
+    one, none = F.lit(1), F.lit(None).cast("long")
+    items = F.array(
+        item(F.col("dst").isNotNull(), 0, F.col("dst"), one),
+        item(F.col("n") > 1, 0, F.col("id"), F.col("n") - 1),
+        item(F.col("place") == 1, 1, none, one),
+        item(F.col("dst").isNull(), 2, none, one),
     )
-    linked = steps.unionByName(stitches).filter(F.col("dst").isNotNull())
-    return linked.unionByName(repeats.select("src", "dst"))
+    each = found.select("grp", "cell", "pos", F.col("id").alias("src"), F.explode(F.array_compact(items)).alias("item"))
+    each = each.select("grp", "cell", "src", "pos", "item.*")
+    apart = F.when(F.col("end") == 0, F.xxhash64("cell", "pos", "src")).otherwise(0)
+    across = Window.partitionBy("grp", apart).orderBy("cell", "end")
+    stitched = F.when(F.col("end") == 2, F.lead("src").over(across)).otherwise(F.col("dst"))
+    linked = each.select("src", stitched.alias("dst"), "n", "end").filter("end <> 1").drop("end")
+    return repeat_rows(linked.filter(F.col("dst").isNotNull()), "n", spread=True)
 
 
 def part_sequence_edges(spark: SparkSession, sf_dir: str, floor: int = HEAVY_FLOOR) -> DataFrame:
@@ -91,3 +93,22 @@ def supplier_customer_edges(spark: SparkSession, sf_dir: str, floor: int = HEAVY
     return served.select(
         (F.col("l_suppkey") * 2).alias("src"), (F.col("o_custkey") * 2 + 1).alias("dst")
     ).distinct()
+
+
+def trade_edges(spark: SparkSession, sf_dir: str, floor: int = HEAVY_FLOOR) -> DataFrame:
+    """Supplier -> customer served, customer -> nation, nation -> its suppliers: cycles through hubs.
+
+    Ids are three times the table's id, plus 1 for customers and 2 for nations.
+    """
+    served = supplier_customer_edges(spark, sf_dir, floor)
+    served = served.select(F.expr("src div 2 * 3").alias("src"), F.expr("(dst - 1) div 2 * 3 + 1").alias("dst"))
+
+    def homes(name: str, key: str, nation: str, from_nation: bool) -> DataFrame:
+        rows = _whole(table(spark, sf_dir, name).select(key, nation))
+        there = F.expr(f"{key} * 3 + {0 if from_nation else 1}")
+        home = F.expr(f"cast({nation} as long) * 3 + 2")
+        src, dst = (home, there) if from_nation else (there, home)
+        return rows.select(src.alias("src"), dst.alias("dst"))
+
+    customers = homes("customer", "c_custkey", "c_nationkey", False)
+    return served.unionByName(customers).unionByName(homes("supplier", "s_suppkey", "s_nationkey", True))
