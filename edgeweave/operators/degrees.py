@@ -123,40 +123,49 @@ def heavy_sources(links: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
     return heavy_keys(links, "src", floor, F.count_if(F.col("n") > 0))
 
 
-def _blocks(links: DataFrame, floor: int, width: int) -> DataFrame:
-    """Links with a block number: 0 for most nodes, target id ranges for nodes with heavy out-degree.
+def _blocks(links: DataFrame, width: int) -> DataFrame:
+    """Links with the block of each: the position among its source's successors, in order, div ``width``.
 
-    A block then holds at most ``max(floor, sqrt(2 * links), width)`` neighbours.
+    The rule is the same for every node, so a node's rows depend on its own links only. The links
+    are range partitioned by ``(src, dst)``, which spreads a hub over many ranges (the checkpoint
+    fixes them); positions count inside a range, and sources that reach over a range's edge (at most
+    one more than there are ranges) get the counts of the ranges before by a broadcast of that size.
     """
-    hubs = F.broadcast(heavy_sources(links, floor).select("src", "parts"))
-    block = F.when(F.col("parts").isNotNull(), F.floor(F.col("dst") / F.lit(width))).otherwise(0).cast("long")
-    return links.join(hubs, "src", "left").select(F.col("src").alias("node"), block.alias("block"), "dst", "n")
-
-
-def adjacency_list(edges: DataFrame, floor: int = HEAVY_FLOOR, width: int = BLOCK_WIDTH) -> DataFrame:
+    ranged = cut_lineage(links.repartitionByRange("src", "dst").withColumn("cell", F.spark_partition_id()))
+    inside = Window.partitionBy("src", "cell").orderBy("dst")
+    sizes = ranged.groupBy("src", "cell").agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.partitionBy("src").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("src", "cell", F.sum("rows").over(before).alias("offset")).filter(F.col("offset") > 0)
+    placed = ranged.withColumn("place", F.row_number().over(inside) - 1)
+    placed = placed.join(F.broadcast(offsets), ["src", "cell"], "left")
+    block = F.expr(f"(place + coalesce(offset, 0L)) div {width}")
+    return placed.select(F.col("src").alias("node"), block.alias("block"), "dst", "n")
+
+
+def adjacency_list(edges: DataFrame, width: int = BLOCK_WIDTH) -> DataFrame:
     """Successors of each node in order, repeated edges as ``copies`` beside them.
 
-    One row per node, or per block of a node with very many successors.
+    One row per node and ``width`` successors.
     """
-    return link_lists(link_counts(edges), floor, width)
+    return link_lists(link_counts(edges), width)
 
 
-def link_lists(links: DataFrame, floor: int = HEAVY_FLOOR, width: int = BLOCK_WIDTH) -> DataFrame:
+def link_lists(links: DataFrame, width: int = BLOCK_WIDTH) -> DataFrame:
     """``adjacency_list`` from counted links."""
     pairs = F.array_sort(F.collect_list(F.struct("dst", "n")))
-    grouped = _blocks(links, floor, width).groupBy("node", "block").agg(pairs.alias("pairs"))
+    grouped = _blocks(links, width).groupBy("node", "block").agg(pairs.alias("pairs"))
     return grouped.select("node", "block", F.col("pairs.dst").alias("neighbours"), F.col("pairs.n").alias("copies"))
 
 
-def adjacency_set(edges: DataFrame, floor: int = HEAVY_FLOOR, width: int = BLOCK_WIDTH) -> DataFrame:
+def adjacency_set(edges: DataFrame, width: int = BLOCK_WIDTH) -> DataFrame:
     """Distinct successors of each node in order, in the same blocks."""
-    return link_blocks(link_counts(edges), floor, width)
+    return link_blocks(link_counts(edges), width)
 
 
-def link_blocks(links: DataFrame, floor: int = HEAVY_FLOOR, width: int = BLOCK_WIDTH) -> DataFrame:
+def link_blocks(links: DataFrame, width: int = BLOCK_WIDTH) -> DataFrame:
     """``adjacency_set`` from counted links."""
     nodes = F.array_sort(F.collect_list("dst"))
-    return _blocks(links, floor, width).groupBy("node", "block").agg(nodes.alias("neighbours"))
+    return _blocks(links, width).groupBy("node", "block").agg(nodes.alias("neighbours"))
 
 
 def top_two_path_nodes(edges: DataFrame, k: int = 20) -> DataFrame:

@@ -5,31 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
-def hash_layout(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
-    """Co-locate equal keys."""
-    return df.repartition(partitions, *keys)
-
-
-def range_layout(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
-    """Ordered key ranges; name a second column to split a key with very many rows."""
-    return df.repartitionByRange(partitions, *keys)
-
-
 def modulo_layout(df: DataFrame, partitions: int, key: str) -> DataFrame:
     """Partition number = key modulo ``partitions``."""
     return df.repartitionById(partitions, F.pmod(F.col(key), F.lit(partitions)).cast("int"))
 
 
-def cached(df: DataFrame) -> DataFrame:
-    """Keep for reuse, on disk beyond memory; call ``unpersist()`` when done."""
-    return df.persist()
-
-
-def fewer_files(df: DataFrame, files: int) -> DataFrame:
-    """Merge output partitions without a shuffle."""
-    return df.coalesce(files)
-
-
 def observed(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame, Observation]:
     """Count while writing: the metrics fill when the returned frame is consumed."""
     watch = Observation(name)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from edgeweave.functions.skew import (
@@ -18,6 +20,7 @@ from edgeweave.operators.edges import link_counts
 from edgeweave.session import written_table
 
 STRATEGIES = ("auto", "merge", "shuffle_hash", "broadcast", "adjacency", "salted")
+PAIRS = 1_000_000  # pairs of a way in and a way out that one cell may hold
 
 
 def node_degrees(links: DataFrame) -> DataFrame:
@@ -51,19 +54,14 @@ def parts_of(rows: Column, line: Column) -> Column:
 
 
 def hub_nodes(links: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
-    """Nodes heavy by distinct degree: ``(node, parts, in_parts, out_parts)``.
+    """Nodes heavy by distinct degree, ``(node, parts)``.
 
     At most ``sqrt(2 * links)`` rows, so it may be broadcast.
     """
     sizes = node_degrees(links)
     line = degree_line(sizes, floor)
     degree = F.col("ins") + F.col("outs")
-    return sizes.filter(degree >= line).select(
-        "node",
-        parts_of(degree, line).alias("parts"),
-        parts_of(F.col("ins"), line).alias("in_parts"),
-        parts_of(F.col("outs"), line).alias("out_parts"),
-    )
+    return sizes.filter(degree >= line).select("node", parts_of(degree, line).alias("parts"))
 
 
 def _first_hops(links: DataFrame) -> DataFrame:
@@ -74,27 +72,41 @@ def _second_hops(links: DataFrame) -> DataFrame:
     return links.select(F.col("src").alias("b"), F.col("dst").alias("c"), F.col("n").alias("n2"))
 
 
-def _grid_join(links: DataFrame, hubs: DataFrame, hint: str | None) -> DataFrame:
-    """Join first hops to second hops on the middle node, a hub spread over a grid of cells.
+def grid_of(sizes: DataFrame, key: str, budget: int) -> DataFrame:
+    """Cells of the nodes that centre more than ``budget`` pairs: ``(key, in_parts, out_parts)``.
+
+    ``sizes`` has ``(key, ins, outs)``. A node with i ways in and o ways out gets a grid whose cells
+    hold about ``budget`` pairs whatever the size of the graph: with the side ``sqrt(budget)`` it has
+    ``i * min(o, side) / budget`` rows and ``o * min(i, side) / budget`` columns. The repeated rows of
+    both sides stay below ``2 / side`` per pair.
+    """
+    side = F.lit(max(1, isqrt(budget))).cast("long")
+    limit = F.lit(budget).cast("long")
+    ins, outs = F.col("ins"), F.col("outs")
+    parts = lambda n, other: F.greatest(F.ceil(n * F.least(other, side) / limit), F.lit(1)).cast("long")
+    crowded = sizes.filter(ins.cast("double") * outs > budget)
+    return crowded.select(key, parts(ins, outs).alias("in_parts"), parts(outs, ins).alias("out_parts"))
+
+
+def grid_join(first: DataFrame, second: DataFrame, key: str, grid: DataFrame, spread: tuple[str, str], salts: int = 1, hint: str | None = None) -> DataFrame:
+    """Join ways in (``first``) to ways out (``second``) of ``key``, crowded nodes spread over a grid of cells.
 
-    A first hop picks a row of the grid and goes to all its columns, a second hop picks a column
-    and goes to all its rows, so each pair meets in exactly one cell and no cell outgrows
-    ``line`` first hops times ``line`` second hops.
+    A way in picks a row of the grid by a hash of ``spread[0]`` and goes to all its columns, a way out
+    picks a column and goes to all its rows, so each pair meets in exactly one cell. ``grid`` comes in
+    by an ordinary join: it may be long, so Spark broadcasts it only when it finds it small, and
+    splits the rows of a hub otherwise. ``salts`` is the least number of cells per side of every key.
     """
-    one = F.lit(1).cast("long")
-    grid = F.broadcast(hubs.select(F.col("node").alias("b"), "in_parts", "out_parts"))
-    ins, outs = F.coalesce("in_parts", one), F.coalesce("out_parts", one)
-    first = _first_hops(links).join(grid, "b", "left")
-    first = first.select("a", "b", "n1", cell_of(ins, F.col("a")).alias("gx"), every_cell(outs).alias("gy"))
-    second = _second_hops(links).join(grid, "b", "left")
-    second = second.select("b", "c", "n2", every_cell(ins).alias("gx"), cell_of(outs, F.col("c")).alias("gy"))
-    return first.join(second.hint(hint) if hint else second, ["b", "gx", "gy"])
+    ins, outs = (F.greatest(F.coalesce(c, F.lit(1).cast("long")), F.lit(salts).cast("long")) for c in ("in_parts", "out_parts"))
+    left = first.join(grid, key, "left").withColumns({"gx": cell_of(ins, F.col(spread[0])), "gy": every_cell(outs)})
+    right = second.join(grid, key, "left").withColumns({"gx": every_cell(ins), "gy": cell_of(outs, F.col(spread[1]))})
+    right = right.drop("in_parts", "out_parts")
+    return left.drop("in_parts", "out_parts").join(right.hint(hint) if hint else right, [key, "gx", "gy"]).drop("gx", "gy")
 
 
-def _with_salts(hubs: DataFrame, salts: int) -> DataFrame:
-    """Hubs with at least ``salts`` rows and columns in their grid."""
-    at_least = {c: F.greatest(F.col(c), F.lit(salts).cast("long")) for c in ("in_parts", "out_parts")}
-    return hubs.withColumns(at_least)
+def _grid_join(links: DataFrame, hint: str | None, budget: int, salts: int) -> DataFrame:
+    """First hops joined to second hops on the middle node."""
+    grid = grid_of(node_degrees(links).withColumnRenamed("node", "b"), "b", budget)
+    return grid_join(_first_hops(links), _second_hops(links), "b", grid, ("a", "c"), salts, hint)
 
 
 def _broadcast_join(links: DataFrame) -> DataFrame:
@@ -111,35 +123,80 @@ def two_paths(
     edges: DataFrame,
     strategy: str = "auto",
     distinct: bool = False,
-    floor: int = HEAVY_FLOOR,
+    budget: int = PAIRS,
     salts: int = 16,
     max_broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """All two-hop paths as ``(a, b, c, copies)``; ``distinct`` ignores repeated edges.
 
     Repeated edges multiply into ``copies``, so they never multiply the rows moved; use
-    ``path_rows`` for one row per path. ``merge`` and ``shuffle_hash`` name the join, ``salted``
-    sets the least number of random buckets per side of a hub, ``broadcast`` and ``adjacency`` ship the edges as rows or
-    as successor lists, if they are counted to be at most ``max_broadcast_rows``; else, and for
-    ``auto``, the grid join runs with the join Spark picks.
+    ``path_rows`` for one row per path and ``two_path_counts`` where a count per start will do.
+    ``budget`` is the number of pairs a cell may hold; it does not change the rows. ``merge`` and
+    ``shuffle_hash`` name the join, ``salted`` deals every key into ``salts`` buckets per side at least,
+    ``broadcast`` and ``adjacency`` ship the edges as rows or as successor lists, if they are counted to
+    be at most ``max_broadcast_rows``; else, and for ``auto``, the grid join runs with the join Spark picks.
     """
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}")
+    _check(strategy)
     links, shipped = link_counts(edges), {"broadcast": _broadcast_join, "adjacency": _adjacency_join}
     if strategy in shipped:
         links, _ = written_table(links, "links")  # counted first, then read, not computed twice
     if strategy in shipped and fits_broadcast(links, max_broadcast_rows):
         pairs = shipped[strategy](links)
     else:
-        hubs = hub_nodes(links, floor)
         hint = strategy if strategy in ("merge", "shuffle_hash") else None
-        pairs = _grid_join(links, _with_salts(hubs, salts) if strategy == "salted" else hubs, hint)
+        pairs = _grid_join(links, hint, budget, salts if strategy == "salted" else 1)
     open_pairs = pairs.filter(F.col("a") != F.col("c"))
     if distinct:
         return open_pairs.select("a", "b", "c")
     return open_pairs.select("a", "b", "c", (F.col("n1") * F.col("n2")).alias("copies"))
 
 
+def _check(strategy: str) -> None:
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
+
+
+def _onward(links: DataFrame, as_list: bool) -> DataFrame:
+    """Ways on from each node, ``(b, onward)``, from its links or from its successor list."""
+    if as_list:
+        size = F.aggregate("copies", F.lit(0).cast("long"), lambda total, n: total + n)
+        lists = link_lists(links).select(F.col("node").alias("b"), size.alias("size"))
+        return lists.groupBy("b").agg(F.sum("size").alias("onward"))
+    return links.groupBy(F.col("src").alias("b")).agg(F.sum("n").alias("onward"))
+
+
+def two_path_counts(
+    edges: DataFrame,
+    strategy: str = "auto",
+    distinct: bool = False,
+    salts: int = 16,
+    max_broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Two-hop paths per start node, ``(a, paths)``, for starts that have any; linear in the edges.
+
+    Every link is joined to the number of ways on from its target by the chosen strategy (see
+    ``two_paths``), and the trips that return to their start are taken off. ``salted`` deals the links of
+    every target into ``salts`` buckets and repeats the target's number once per bucket.
+    """
+    _check(strategy)
+    links = link_counts(edges)
+    if distinct:
+        links = links.withColumn("n", F.when(F.col("n") > 0, 1).cast("long"))
+    onward = _onward(links, strategy == "adjacency")
+    hops, on = _first_hops(links), ["b"]
+    if strategy in ("broadcast", "adjacency"):
+        onward, _ = written_table(onward, "onward")
+        onward = F.broadcast(onward) if fits_broadcast(onward, max_broadcast_rows) else onward
+    elif strategy == "salted":
+        count, on = F.lit(salts).cast("long"), ["b", "salt"]
+        hops, onward = hops.withColumn("salt", cell_of(count, F.col("a"))), onward.withColumn("salt", every_cell(count))
+    elif strategy != "auto":
+        onward = onward.hint(strategy)
+    walks = hops.join(onward, on).select("a", (F.col("n1") * F.col("onward")).alias("paths"))
+    returns = round_trips(links).select(F.col("src").alias("a"), (-F.col("n") * F.col("back")).alias("paths"))
+    return walks.unionByName(returns).groupBy("a").agg(F.sum("paths").alias("paths")).filter("paths > 0")
+
+
 def path_rows(paths: DataFrame, spread: bool = True) -> DataFrame:
     """One row per path or triangle instead of a copy count."""
     return repeat_rows(paths, "copies", spread)

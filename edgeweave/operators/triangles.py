@@ -20,7 +20,7 @@ from edgeweave.functions.skew import (
     join_in_cells,
 )
 from edgeweave.operators.edges import link_counts
-from edgeweave.operators.paths import degree_line, hub_nodes, node_degrees, parts_of
+from edgeweave.operators.paths import PAIRS, degree_line, grid_join, grid_of, hub_nodes, node_degrees, parts_of
 from edgeweave.session import written_table
 
 STRATEGIES = ("auto", "merge", "shuffle_hash", "broadcast")
@@ -67,11 +67,12 @@ def ranked_links(edges: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
     return written_table(_ranked(link_counts(edges), floor), "ranked-links")[0]
 
 
-def _wedges(ranked: DataFrame, strategy: str) -> DataFrame:
+def _wedges(ranked: DataFrame, strategy: str, budget: int = PAIRS) -> DataFrame:
     """Paths u -> v -> w around their lowest node v, with ``salts``, the cells of the pair (w, u).
 
     Each link joins in on one side only: as way out of its lower end, or as way into it. A loop is
-    a way into its node, so that walks through one loop are found too.
+    a way into its node, so that walks through one loop are found too. The grid that splits a
+    crowded v is sized by the ways that are left after this choice, not by v's degree.
     """
     up = (F.col("src_degree") < F.col("dst_degree")) | (
         (F.col("src_degree") == F.col("dst_degree")) & (F.col("src") < F.col("dst"))
@@ -82,61 +83,84 @@ def _wedges(ranked: DataFrame, strategy: str) -> DataFrame:
     into = ranked.filter(~up).select(
         F.col("dst").alias("v"), F.col("src").alias("u"), F.col("n").alias("n_uv"), F.col("src_parts").alias("u_parts")
     )
-    return out.join(_hinted(into, strategy), "v").select(
-        "v", "w", "u", "n_vw", "n_uv", F.least("w_parts", "u_parts").alias("salts")
+    ways = ranked.select(
+        F.when(up, F.col("src")).otherwise(F.col("dst")).alias("v"),
+        F.when(up, 0).otherwise(1).cast("long").alias("ins"),
+        F.when(up, 1).otherwise(0).cast("long").alias("outs"),
     )
+    sizes = ways.groupBy("v").agg(F.sum("ins").alias("ins"), F.sum("outs").alias("outs"))
+    hint = None if strategy == "auto" else strategy
+    met = grid_join(into, out, "v", grid_of(sizes, "v", budget), ("u", "w"), hint=hint)
+    return met.select("v", "w", "u", "n_vw", "n_uv", F.least("w_parts", "u_parts").alias("salts"))
 
 
-def closed_walks(ranked: DataFrame, strategy: str = "auto", max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Closed walks of three edges over at least two nodes, each once: ``(v, w, u, n_vw, n_wu, n_uv)``.
+def _closed(wedges: DataFrame, ranked: DataFrame, strategy: str) -> DataFrame:
+    """Wedges with the copies of the closing link w -> u, which is looked up by both ends.
 
-    The closing link w -> u is looked up by both ends. A pair of hubs can end very many paths, so
-    its paths are spread over cells by v; the cells of all links together stay below a small
-    multiple of the links, because a pair gets no more cells than its smaller hub has.
+    A pair of hubs can end very many paths, so its paths are spread over cells by v; the cells of
+    all links together stay below a small multiple of the links, because a pair gets no more cells
+    than its smaller hub has. A broadcast ships each closing link once, without cells.
     """
-    strategy = _settle(ranked, strategy, max_broadcast_rows)
-    wedges = _wedges(ranked, strategy)
-    closing = ranked.select(
-        F.col("src").alias("w"),
-        F.col("dst").alias("u"),
-        F.col("n").alias("n_wu"),
-        every_cell(F.least("src_parts", "dst_parts")).alias("salt"),
-    )
-    salted = wedges.withColumn("salt", cell_of(F.col("salts"), F.col("v")))
-    found = salted.join(_hinted(closing, strategy), ["w", "u", "salt"])
+    closing = ranked.select(F.col("src").alias("w"), F.col("dst").alias("u"), F.col("n").alias("n_wu"), "src_parts", "dst_parts")
+    if strategy == "broadcast":
+        found = wedges.join(F.broadcast(closing), ["w", "u"])
+    else:
+        cells = closing.withColumn("salt", every_cell(F.least("src_parts", "dst_parts")))
+        found = wedges.withColumn("salt", cell_of(F.col("salts"), F.col("v"))).join(_hinted(cells, strategy), ["w", "u", "salt"])
     return found.select("v", "w", "u", "n_vw", "n_wu", "n_uv")
 
 
+def closed_walks(
+    ranked: DataFrame, strategy: str = "auto", max_broadcast_rows: int = BROADCAST_ROWS, budget: int = PAIRS
+) -> DataFrame:
+    """Closed walks of three edges over at least two nodes, each once: ``(v, w, u, n_vw, n_wu, n_uv)``."""
+    strategy = _settle(ranked, strategy, max_broadcast_rows)
+    return _closed(_wedges(ranked, strategy, budget), ranked, strategy)
+
+
 def _loops(ranked: DataFrame) -> DataFrame:
     """Links of a node to itself; three times the same loop is a closed walk on one node."""
     return ranked.filter(F.col("src") == F.col("dst"))
 
 
-def _copies(kind: str, first: str, second: str, third: str) -> Column:
+def _copies(kind: str, first: str, second: str, third: str, wide: bool = False) -> Column:
     if kind == "multi":
-        return F.col(first) * F.col(second) * F.col(third)
+        return _product([first, second, third], wide)
     return F.col(first) if kind == "semi" else F.lit(1).cast("long")
 
 
+def _product(columns: list[str], wide: bool) -> Column:
+    """Product of copy counts; beyond 63 bits it raises, ``wide`` gives up to 38 digits instead."""
+    kind = "decimal(38,0)" if wide else "long"
+    out = F.col(columns[0]).cast(kind)
+    for c in columns[1:]:
+        out = (out * F.col(c).cast("decimal(19,0)" if wide else "long")).cast(kind)
+    return out
+
+
 def triangles(
     edges: DataFrame,
     kind: str = "multi",
     strategy: str = "auto",
     floor: int = HEAVY_FLOOR,
     max_broadcast_rows: int = BROADCAST_ROWS,
+    wide: bool = False,
+    budget: int = PAIRS,
 ) -> DataFrame:
     """Every rotation of every closed walk as ``(a, b, c, copies)``.
 
     ``multi`` counts repeated edges in ``copies`` and leaves out a = c, as a chain of inner joins
     does. ``distinct`` ignores repeated edges. ``semi`` takes a -> b from the raw edges and only
-    tests whether b -> c and c -> a exist, so ``copies`` is that of a -> b and a = c may occur.
+    tests whether b -> c and c -> a exist, so ``copies`` is that of a -> b and a = c may occur. A
+    product of copies beyond 63 bits raises; ``wide`` gives decimals. ``floor`` and ``budget`` size the
+    cells and do not change the rows.
     """
     _check(strategy, kind)
     ranked = ranked_links(edges, floor)
-    walks = closed_walks(ranked, strategy, max_broadcast_rows)
+    walks = closed_walks(ranked, strategy, max_broadcast_rows, budget)
 
     def turn(a: str, b: str, c: str) -> Column:
-        copies = _copies(kind, f"n_{a}{b}", f"n_{b}{c}", f"n_{c}{a}")
+        copies = _copies(kind, f"n_{a}{b}", f"n_{b}{c}", f"n_{c}{a}", wide)
         return F.struct(F.col(a).alias("a"), F.col(b).alias("b"), F.col(c).alias("c"), copies.alias("copies"))
 
     turns = F.array(turn("v", "w", "u"), turn("w", "u", "v"), turn("u", "v", "w"))
@@ -148,10 +172,12 @@ def triangles(
     return rows.drop("copies") if kind == "distinct" else rows
 
 
-def triangles_canonical(edges: DataFrame, strategy: str = "auto", floor: int = HEAVY_FLOOR) -> DataFrame:
+def triangles_canonical(
+    edges: DataFrame, strategy: str = "auto", floor: int = HEAVY_FLOOR, budget: int = PAIRS
+) -> DataFrame:
     """Each cycle of three different nodes once, smallest id first."""
     _check(strategy)
-    walks = closed_walks(ranked_links(edges, floor), strategy)
+    walks = closed_walks(ranked_links(edges, floor), strategy, budget=budget)
     walks = walks.filter((F.col("v") != F.col("u")) & (F.col("w") != F.col("u")))
     v, w, u = F.col("v"), F.col("w"), F.col("u")
     low = F.least(v, w, u)
@@ -162,21 +188,23 @@ def triangles_canonical(edges: DataFrame, strategy: str = "auto", floor: int = H
     return walks.select(pick(v, w, u).alias("a"), pick(w, u, v).alias("b"), pick(u, v, w).alias("c"))
 
 
-def _pair_weights(wedges: DataFrame, kind: str) -> DataFrame:
+def _pair_weights(wedges: DataFrame, kind: str, wide: bool) -> DataFrame:
     """Paths u -> v -> w folded per pair into ``(w, u, scaled, plain)``.
 
     With n copies of the closing link the pair stands for ``scaled * n + plain`` triangle rows. The
     fold runs before the shuffle, so all paths between two hubs become one row per task.
     """
+    scaled, plain = _weights(kind, wide)
+    return wedges.groupBy("w", "u").agg(F.sum(scaled).alias("scaled"), F.sum(plain).alias("plain"))
+
+
+def _weights(kind: str, wide: bool) -> tuple[Column, Column]:
     proper = (F.col("v") != F.col("u")) & (F.col("w") != F.col("u"))
     turns = F.when(proper, 3).otherwise(2).cast("long")
-    n_vw, n_uv, none = F.col("n_vw"), F.col("n_uv"), F.lit(0).cast("long")
-    scaled, plain = {
-        "multi": (n_vw * n_uv * turns, none),
-        "distinct": (none, turns),
-        "semi": (F.lit(1).cast("long"), n_vw + n_uv),
-    }[kind]
-    return wedges.groupBy("w", "u").agg(F.sum(scaled).alias("scaled"), F.sum(plain).alias("plain"))
+    none = F.lit(0).cast("long")
+    if kind == "multi":
+        return _product(["n_vw", "n_uv"], wide) * turns, none
+    return (none, turns) if kind == "distinct" else (F.lit(1).cast("long"), F.col("n_vw") + F.col("n_uv"))
 
 
 def triangle_count(
@@ -185,16 +213,30 @@ def triangle_count(
     strategy: str = "auto",
     floor: int = HEAVY_FLOOR,
     max_broadcast_rows: int = BROADCAST_ROWS,
+    wide: bool = False,
+    budget: int = PAIRS,
 ) -> DataFrame:
-    """Rows ``triangles`` would have (copies counted) and rows div 3, without listing them."""
+    """Rows ``triangles`` would have (copies counted) and rows div 3, without listing them.
+
+    Paths between two hubs are folded per pair before they are closed; all others are summed straight
+    after the closing join, which moves only sums. A count beyond 63 bits raises, ``wide`` gives decimals.
+    """
     _check(strategy, kind)
     ranked = ranked_links(edges, floor)
     strategy = _settle(ranked, strategy, max_broadcast_rows)
-    pairs = _pair_weights(_wedges(ranked, strategy), kind)
-    closing = ranked.select(F.col("src").alias("w"), F.col("dst").alias("u"), "n")
-    rows = F.sum(F.col("scaled") * F.col("n") + F.col("plain"))
-    total = pairs.join(_hinted(closing, strategy), ["w", "u"]).agg(F.coalesce(rows, F.lit(0)).alias("rows"))
+    wedges = _wedges(ranked, strategy, budget)
+    total = F.sum(F.col("rows"))
+    number = "decimal(38,0)" if wide else "long"
+    rows = lambda scaled, plain, n: (scaled.cast(number) * n + plain).cast(number).alias("rows")
+    scaled, plain = _weights(kind, wide)
+    apart = _closed(wedges.filter("salts = 1"), ranked.filter("src_parts = 1 or dst_parts = 1"), strategy)
+    apart = apart.select(rows(scaled, plain, F.col("n_wu"))).agg(total.alias("rows"))
+    pairs = _pair_weights(wedges.filter("salts > 1"), kind, wide)
+    between = ranked.filter("src_parts > 1 and dst_parts > 1").select(F.col("src").alias("w"), F.col("dst").alias("u"), "n")
+    folded = pairs.join(_hinted(between, strategy), ["w", "u"]).select(rows(F.col("scaled"), F.col("plain"), F.col("n")))
+    both = apart.unionByName(folded.agg(total.alias("rows")))
     if kind == "semi":
-        loops = _loops(ranked).agg(F.coalesce(F.sum("n"), F.lit(0)))
-        total = total.select((F.col("rows") + loops.scalar()).alias("rows"))
-    return total.select("rows", F.expr("rows div 3").alias("triangles"))
+        both = both.unionByName(_loops(ranked).agg(F.sum("n").cast(number).alias("rows")))
+    both = both.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast(number).alias("rows"))
+    third = F.floor((F.col("rows") - F.col("rows") % 3) / 3).cast(number) if wide else F.expr("rows div 3")
+    return both.select("rows", third.alias("triangles"))

@@ -16,11 +16,12 @@ e as materialized (
   from lineitem join orders on l_orderkey = o_orderkey),
 l as materialized (select src, dst, count(*) as n from e group by src, dst)"""
 
-CHAIN = """
-size as materialized (select cast(floor(sqrt(count(*))) as bigint) as k from lineitem),
-chain as materialized (
-  select i as src, case when i = k then 0 else i + 1 end as dst, k
-  from (select unnest(range(1, k + 1)) as i, k from size))"""
+TRADE = """
+e as materialized (
+  select 3 * l_suppkey as src, 3 * o_custkey + 1 as dst from lineitem join orders on l_orderkey = o_orderkey group by all
+  union all select 3 * c_custkey + 1, 3 * c_nationkey::bigint + 2 from customer
+  union all select 3 * s_nationkey::bigint + 2, 3 * s_suppkey from supplier),
+l as materialized (select src, dst, count(*) as n from e group by src, dst)"""
 
 CAP = "(select max(l_partkey) // 2 from lineitem)"
 
@@ -55,15 +56,24 @@ v as materialized (
   select id, sum(o) as outw, case when sum(o) = 0 then 1.0::double else 0.0::double end as leak
   from (select src as id, n as o from l union all select dst, 0 from l) group by id)"""
 
-CHAIN_NODES = """
-l as materialized (select src, dst, 1 as n from chain where dst <> 0),
-v as materialized (select src as id, 1 as outw, case when dst = 0 then 1.0::double else 0.0::double end as leak from chain)"""
+# node 0 as sink: no node, what flows into it leaks
+SINK_NODES = """
+v as materialized (
+  select id, sum(o) as outw, case when sum(o) = 0 then 1.0::double else sum(s) / sum(o) end as leak
+  from (select src as id, n as o, case when dst = 0 then n else 0 end as s from all_l union all select dst, 0, 0 from all_l)
+  where id <> 0 group by id)"""
 
 
 def _ranked(iterations: int, edges: str = PARTS) -> str:
     return "with " + _rank_steps(iterations, f"{edges},{NODES}")
 
 
+COUNTS = """
+select a, cast(sum(paths) as bigint) as paths from (
+  select x.src as a, x.n * o.n as paths from {l} x join (select src, sum(n) as n from {l} group by src) o on o.src = x.dst
+  union all select x.src, -x.n * y.n from {l} x join {l} y on y.src = x.dst and y.dst = x.src)
+group by a having sum(paths) > 0"""
+
 PATHS = "select x.src as a, x.dst as b, y.dst as c, x.n * y.n as copies from l x join l y on y.src = x.dst where x.src <> y.dst"
 
 CYCLES = (
@@ -106,11 +116,10 @@ def _profile() -> str:
 
 
 def _blocks(columns: str) -> str:
-    """Adjacency rows; a node is split by id range only where its out-degree is heavy."""
+    """Adjacency rows of 16 successors each, in the order of their ids."""
     return (
         "select node, block, " + columns + " from (select src as node, dst, n,"
-        " case when count(*) over (partition by src) >= greatest(1000, sqrt(2.0 * (select count(*) from l)))"
-        " then dst // 65536 else 0 end as block from l) group by node, block"
+        " (row_number() over (partition by src order by dst) - 1) // 16 as block from l) group by node, block"
     )
 
 
@@ -123,13 +132,17 @@ def _count(rows: str) -> str:
 def oracle_sql() -> dict[str, str]:
     edges = _parts("select src, dst from e")
     both_ways = _parts("select src, dst from e union all select dst, src from e")
-    paths = _parts(PATHS)
     open_cycles = f"select a, b, c, copies from ({CYCLES}) where a <> c"
     semi = f"select a, b, c, count(*) as copies from ({SEMI}) group by a, b, c"
     capped = f"(select src, dst from e where src <= {CAP} and dst <= {CAP})"
     beyond = f"(select src, dst from e where src > {CAP} or dst > {CAP})"
     ranks10 = _ranked(10) + "\nselect id, round(rank, 12) as rank from r10"
-    chain10 = "with " + _rank_steps(10, f"{CHAIN},{CHAIN_NODES}", "(select k from size)")
+    sink = PARTS.replace("l as mat", "all_l as mat") + ",\nl as materialized (select * from all_l where dst <> 0)," + SINK_NODES
+    sink10 = "with " + _rank_steps(10, sink) + "\nselect id, round(rank, 12) as rank from r10"
+    few = f"(select src, dst, n from l where src <= {CAP} and dst <= {CAP})"
+    few_cycles = f"select a, b, c, copies from ({CYCLES.replace('l x', few + ' x').replace('l y', few + ' y').replace('l z', few + ' z')}) where a <> c"
+    canonical = f"select a, b, c from ({CYCLES}) where a < b and a < c and b <> c"
+    counts = COUNTS.format(l="l")
     masses = "\nunion all\n".join(f"select {t} as iteration, round(mass, 12) as mass from d{t}" for t in range(1, 11))
     step = _ranked(1) + (
         "\nselect v.id as node, round(coalesce(c.c, 0), 12) as contribution, coalesce(block, 0) as block, adjacency"
@@ -145,12 +158,6 @@ def oracle_sql() -> dict[str, str]:
         "sink_roundtrip_text": edges,
         "sink_roundtrip_csv": edges,
         "sink_roundtrip_tab": edges,
-        "gen_chains_open": f"with {CHAIN}\nselect c.src + r.c * c.k as src, c.dst + r.c * c.k as dst"
-        " from chain c join (select unnest(range(k)) as c from size) r on true where c.dst <> 0",
-        "gen_chains_sink": f"with {CHAIN}\nselect c.src + r.c * c.k as src,"
-        " case when c.dst = 0 then 0 else c.dst + r.c * c.k end as dst"
-        " from chain c join (select unnest(range(k)) as c from size) r on true",
-        "chain_heads": f"with {CHAIN}\nselect id from (select unnest(range(1, k * k + 1)) as id, k from size) where id % k = 1",
         "edges_cap": _parts(f"select src, dst from {capped}"),
         "edges_beyond_cap": _parts(f"select src, dst from {beyond}"),
         "reverse_edges": _parts("select dst as src, src as dst from e"),
@@ -169,6 +176,7 @@ def oracle_sql() -> dict[str, str]:
             _blocks("string_agg(dst, '-' order by dst) as neighbours, string_agg(n, '-' order by dst) as copies")
         ),
         "adjacency_set": _parts(_blocks("string_agg(dst, '-' order by dst) as neighbours")),
+        "adjacency_trade": f"with {TRADE}\n" + _blocks("string_agg(dst, '-' order by dst) as neighbours"),
         "in_links_sorted": _parts("select dst, src, n as copies from l order by dst, src"),
         "two_path_cardinality": _parts(_sizes("e")),
         "two_path_cardinality_cap": _parts(_sizes(capped)),
@@ -178,12 +186,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "edges_beyond_cap_by_src": _parts(f"select src, count(*) as n from {beyond} group by src"),
         "edges_beyond_cap_total": _parts(f"select count(*) as n from {beyond}"),
-        "two_paths_shuffle": paths,
-        "two_paths_merge": paths,
-        "two_paths_broadcast": paths,
-        "two_paths_adjacency": paths,
-        "two_paths_salted": paths,
-        "two_paths_distinct": _parts(f"select a, b, c from ({PATHS})"),
+        "two_paths_shuffle": _parts(counts),
+        "two_paths_merge": _parts(counts),
+        "two_paths_broadcast": _parts(counts),
+        "two_paths_adjacency": _parts(counts),
+        "two_paths_salted": _parts(counts),
+        "two_paths_distinct": _parts(COUNTS.format(l="(select src, dst, 1 as n from l)")),
+        "two_paths_trade": f"with {TRADE}\n{counts}",
         "two_paths_rows": _parts(
             "select x.src as a, x.dst as b, y.dst as c from e x join e y on y.src = x.dst where x.src <> y.dst"
         ),
@@ -201,7 +210,11 @@ def oracle_sql() -> dict[str, str]:
         "triangle_count": _count(open_cycles),
         "triangle_count_distinct": _count(f"select 1 as copies from ({open_cycles})"),
         "triangle_count_semi": _count(semi),
-        "triangles_canonical": _parts(f"select a, b, c from ({CYCLES}) where a < b and a < c and b <> c"),
+        "triangles_canonical": _parts(canonical),
+        "triangles_capped": _parts(few_cycles),
+        "triangle_count_capped": _count(few_cycles),
+        "triangles_trade": f"with {TRADE}\n{canonical}",
+        "triangle_count_trade": _count(open_cycles).replace(PARTS, TRADE),
         "cap_profile": _profile(),
         "left_join_default": _ranked(1, SERVED)
         + "\nselect v.id, round(coalesce(c.c, 0), 12) as contribution from v left join c1 c on c.id = v.id",
@@ -211,8 +224,11 @@ def oracle_sql() -> dict[str, str]:
         "pagerank_broadcast": ranks10,
         "pagerank_dangling": _ranked(10, SERVED) + "\nselect id, round(rank, 12) as rank from r10",
         "pagerank_dangling_mass": _ranked(10, SERVED) + "\n" + masses,
-        "pagerank_chain_expanded": chain10
-        + "\nselect r10.id + s.c * s.k as id, round(rank, 12) as rank from r10 join (select unnest(range(k)) as c, k from size) s on true",
+        "pagerank_sink": sink10,
+        "pagerank_trade": _ranked(10, TRADE) + "\nselect id, round(rank, 12) as rank from r10",
+        "ranks_roundtrip": _ranked(2, SERVED)
+        + "\nselect id, round(rank, 12) as rank from r2 union all select 0, round(mass, 12) from d2",
+        "nodes_without_in_links": f"with {SERVED}\nselect distinct src as id from e where src not in (select dst from e)",
         "pagerank_step_record": step,
         "top_ranked": ranks10.replace(
             "select id, round(rank, 12) as rank from r10",

@@ -6,19 +6,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from edgeweave.functions.skew import HEAVY_FLOOR
 from edgeweave.operators.edges import as_column
-from edgeweave.operators.paths import round_trips
-from edgeweave.operators.triangles import closed_walks, ranked_links
+from edgeweave.operators.paths import PAIRS, round_trips
+from edgeweave.operators.triangles import _product, closed_walks, ranked_links
 
 
-def cap_profile(edges: DataFrame, caps: list[int | Column], floor: int = HEAVY_FLOOR) -> DataFrame:
+def cap_profile(
+    edges: DataFrame, caps: list[int | Column], floor: int = HEAVY_FLOOR, wide: bool = False, budget: int = PAIRS
+) -> DataFrame:
     """``(cap, kept, beyond, two_paths, triangle_rows)`` per cap.
 
     Every edge, return trip and cycle gets the level of the first cap that admits its largest id;
     a cap then holds what has its level or a lower one. So the graph is searched once, not once
-    per cap, and two-hop paths are counted (walks less returns) instead of listed.
+    per cap, and two-hop paths are counted (walks less returns) instead of listed. A count beyond 63
+    bits raises; ``wide`` gives decimals for paths and triangles.
     """
     k = len(caps)
     ordered = F.sort_array(F.array(*[as_column(c) for c in caps]))
+    number = "decimal(38,0)" if wide else "long"
 
     def level(largest: Column) -> Column:
         return sum((F.when(as_column(cap) < largest, 1).otherwise(0) for cap in caps), F.lit(0))
@@ -27,19 +31,16 @@ def cap_profile(edges: DataFrame, caps: list[int | Column], floor: int = HEAVY_F
     measures = ("edges", "walks", "returns", "rows")
 
     def at(df: DataFrame, when: Column, **values: Column) -> DataFrame:
-        return df.select(
-            when.alias("level"), *[values.get(m, F.lit(0)).cast("long").alias(m) for m in measures]
-        )
+        kinds = {m: "long" if m == "edges" else number for m in measures}
+        return df.select(when.alias("level"), *[values.get(m, F.lit(0)).cast(kinds[m]).alias(m) for m in measures])
 
     proper = (F.col("v") != F.col("u")) & (F.col("w") != F.col("u"))
-    rows = F.col("n_vw") * F.col("n_wu") * F.col("n_uv") * F.when(proper, 3).otherwise(2)
-    by_edge = at(links, level(F.greatest("src", "dst")), edges=F.col("n"))
-    trips = at(round_trips(links), level(F.greatest("src", "dst")), returns=F.col("n") * F.col("back"))
-    cycles = at(closed_walks(links), level(F.greatest("v", "w", "u")), rows=rows)
-    hops = at(_hops(links, level, k), F.col("level"), walks=F.col("walks"))
-    every_cap = at(edges.sparkSession.range(k), F.col("id").cast("int"))
-
-    together = by_edge.unionByName(trips).unionByName(cycles).unionByName(hops).unionByName(every_cap)
+    rows = _product(["n_vw", "n_wu", "n_uv"], wide) * F.when(proper, 3).otherwise(2)
+    trips = at(round_trips(links), level(F.greatest("src", "dst")), returns=_product(["n", "back"], wide))
+    cycles = at(closed_walks(links, budget=budget), level(F.greatest("v", "w", "u")), rows=rows)
+    hops = at(_hops(links, level, k, wide), F.col("level"), edges=F.col("edges"), walks=F.col("walks"))
+
+    together = trips.unionByName(cycles).unionByName(hops)
     sums = together.groupBy("level").agg(*[F.sum(m).alias(m) for m in measures])
     # at most k + 1 levels from here on
     up_to = Window.orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
@@ -48,19 +49,21 @@ def cap_profile(edges: DataFrame, caps: list[int | Column], floor: int = HEAVY_F
         "level",
         F.sum("edges").over(up_to).alias("kept"),
         (F.sum("edges").over(every) - F.sum("edges").over(up_to)).alias("beyond"),
-        (F.col("walks") - F.sum("returns").over(up_to)).alias("two_paths"),
-        F.sum("rows").over(up_to).alias("triangle_rows"),
+        (F.col("walks") - F.sum("returns").over(up_to)).cast(number).alias("two_paths"),
+        F.sum("rows").over(up_to).cast(number).alias("triangle_rows"),
     )
     cap = F.element_at(ordered, F.col("level") + 1)
     return running.filter(F.col("level") < k).select(cap.alias("cap"), "kept", "beyond", "two_paths", "triangle_rows")
 
 
-def _hops(links: DataFrame, level, k: int) -> DataFrame:
-    """Sum of in-degree times out-degree per cap, from one aggregate with a column pair per cap."""
+def _hops(links: DataFrame, level, k: int, wide: bool) -> DataFrame:
+    """Per level the edges that belong to it, and in-degree times out-degree summed up to it.
+
+    One read of the links and one aggregate per node, with a column per level and measure.
+    """
     n, zero = F.col("n"), F.lit(0).cast("long")
-    at = level(F.greatest(F.col("src"), F.col("dst")))
     ends = links.select(
-        at.alias("level"),
+        level(F.greatest(F.col("src"), F.col("dst"))).alias("level"),
         F.explode(
             F.array(
                 F.struct(F.col("src").alias("node"), zero.alias("ins"), n.alias("outs")),
@@ -68,10 +71,23 @@ def _hops(links: DataFrame, level, k: int) -> DataFrame:
             )
         ).alias("end"),
     ).select("level", "end.*")
+
+    def counted(when: Column, what: str, name: str) -> Column:
+        return F.sum(F.when(when, F.col(what)).otherwise(0)).alias(name)
+
     per_node = ends.groupBy("node").agg(
-        *[F.sum(F.when(F.col("level") <= i, F.col("ins")).otherwise(0)).alias(f"m{i}") for i in range(k)],
-        *[F.sum(F.when(F.col("level") <= i, F.col("outs")).otherwise(0)).alias(f"n{i}") for i in range(k)],
+        *[counted(F.col("level") <= i, "ins", f"m{i}") for i in range(k)],
+        *[counted(F.col("level") <= i, "outs", f"n{i}") for i in range(k)],
+        *[counted(F.col("level") == i, "outs", f"e{i}") for i in range(k + 1)],
+    )
+    totals = per_node.agg(
+        *[F.sum(_product([f"m{i}", f"n{i}"], wide)).alias(f"w{i}") for i in range(k)],
+        *[F.sum(f"e{i}").alias(f"e{i}") for i in range(k + 1)],
     )
-    totals = per_node.agg(*[F.sum(F.col(f"m{i}") * F.col(f"n{i}")).alias(f"w{i}") for i in range(k)])
-    per_cap = F.array(*[F.coalesce(f"w{i}", zero) for i in range(k)])
-    return totals.select(F.posexplode(per_cap).alias("level", "walks"))
+
+    def measured(i: int) -> Column:
+        walks = F.coalesce(F.col(f"w{i}") if i < k else zero, zero).cast("decimal(38,0)" if wide else "long")
+        return F.struct(F.coalesce(f"e{i}", zero).alias("edges"), walks.alias("walks"))
+
+    per_level = F.array(*[measured(i) for i in range(k + 1)])
+    return totals.select(F.posexplode(per_level).alias("level", "both")).select("level", "both.*")

@@ -30,7 +30,7 @@ from edgeweave.functions.skew import (
     heavy_line,
     join_in_cells,
 )
-from edgeweave.operators.degrees import heavy_sources, link_blocks
+from edgeweave.operators.degrees import BLOCK_WIDTH, heavy_sources, link_blocks
 from edgeweave.operators.edges import link_counts
 from edgeweave.session import cut_lineage, drop_table, written_table
 from edgeweave.sources.generate import copy_chains, one_chain
@@ -199,15 +199,21 @@ def first_contributions(edges: DataFrame, sink_id: int | None = None, floor: int
 
 
 def nodes_without_in_links(edges: DataFrame, sink_id: int | None = None) -> DataFrame:
-    """Nodes that receive no contribution, such as the first of a chain."""
-    return first_contributions(edges, sink_id).filter(F.col("contribution") == 0.0).select("id")
+    """Nodes that no link leads to, such as the first of a chain."""
+    links = edges.select("src", "dst").filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    nodes = links.select(F.col("src").alias("id")).distinct()
+    if sink_id is not None:
+        nodes = nodes.filter(F.col("id") != sink_id)
+    return nodes.join(links.select(F.col("dst").alias("id")).distinct(), "id", "left_anti")
 
 
-def step_records(edges: DataFrame, sink_id: int | None = None, floor: int = HEAVY_FLOOR) -> DataFrame:
+def step_records(
+    edges: DataFrame, sink_id: int | None = None, floor: int = HEAVY_FLOOR, width: int = BLOCK_WIDTH
+) -> DataFrame:
     """One PageRank step with the out-links carried along: ``(node, contribution, block, adjacency)``."""
     links, _ = written_table(link_counts(edges), "links")
     step = _first_step(links, sink_id, floor).withColumnRenamed("id", "node")
-    lists = link_blocks(links, floor).withColumnRenamed("neighbours", "adjacency")
+    lists = link_blocks(links, width).withColumnRenamed("neighbours", "adjacency")
     hubs = heavy_sources(links, floor).withColumnRenamed("src", "node")
     linked = join_in_cells(lists, step.select("node", "contribution"), "node", ["block"], hubs)
     without = step.filter(F.col("outw") == 0).select(

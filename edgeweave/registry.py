@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -11,10 +10,12 @@ from edgeweave.operators import degrees as dg, edges as ed, paths as pa, triangl
 from edgeweave.plans import pagerank as pr
 from edgeweave.plans.cap_profile import cap_profile
 from edgeweave.session import fresh_path
-from edgeweave.sources import generate, readers, writers
-from edgeweave.sources.derived import part_sequence_edges, supplier_customer_edges, table
+from edgeweave.sources import readers, writers
+from edgeweave.sources.derived import part_sequence_edges, supplier_customer_edges, table, trade_edges
 
 DIGITS = 12
+WIDTH = 16  # successors in a row of the adjacency queries, small enough to split ordinary nodes
+TRADE_FLOOR, TRADE_PAIRS = 300, 10_000  # sizes of cells on the trade graph; they do not change rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,10 +24,14 @@ def _on_parts(operator: Callable[..., DataFrame], **options) -> Query:
     return lambda spark, sf_dir: operator(part_sequence_edges(spark, sf_dir), **options)
 
 
+def _on_trade(operator: Callable[..., DataFrame], **options) -> Query:
+    return lambda spark, sf_dir: operator(trade_edges(spark, sf_dir), **options)
+
+
 def _cap(spark: SparkSession, sf_dir: str, quarters: int = 2) -> Column:
     """An id cap that grows with the tables: so many quarters of the largest part id."""
-    top = table(spark, sf_dir, "lineitem").agg(F.max("l_partkey")).scalar()
-    return F.floor(top * quarters / 4)
+    top = table(spark, sf_dir, "lineitem").agg(F.expr(f"max(l_partkey) * {quarters} div 4").alias("cap"))
+    return top.scalar()
 
 
 def _on_capped(operator: Callable[..., DataFrame]) -> Query:
@@ -41,11 +46,6 @@ def _ranks(derive: Query, iterations: int, **options) -> Query:
     return lambda spark, sf_dir: _rounded(pr.pagerank(derive(spark, sf_dir), iterations, **options), "rank")
 
 
-def _chain_length(spark: SparkSession, sf_dir: str) -> int:
-    """k with about as many chain links (k * k) as there are line items."""
-    return isqrt(table(spark, sf_dir, "lineitem").count())
-
-
 # Round trips: the derived edges are written below the shared folder and read back.
 
 
@@ -101,14 +101,16 @@ def _roundtrip_tab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_edges_csv(spark, _csv_lines(spark, sf_dir, "\t"), sep="\t")
 
 
-def _chain_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chains = generate.chains_with_sink(spark, _chain_length(spark, sf_dir))
-    return pr.nodes_without_in_links(chains, sink_id=0)
+def _capped_scan(operator: Callable[..., DataFrame], **options) -> Query:
+    """The whole path of a program: edge file, id cap, operator."""
+    return lambda spark, sf_dir: operator(ed.cap_edges(_scan_csv(spark, sf_dir), _cap(spark, sf_dir)), **options)
 
 
-def _chain_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks, _ = pr.chain_pagerank(spark, _chain_length(spark, sf_dir), iterations=10)
-    return _rounded(ranks, "rank")
+def _ranks_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks and mass of the second iteration, written as text and read back."""
+    ranks, mass = pr.pagerank_with_mass(supplier_customer_edges(spark, sf_dir), 2)
+    path = writers.write_ranks(ranks, mass, fresh_path(spark, "ranks"), 2)
+    return _rounded(readers.read_ranks(spark, path), "rank")
 
 
 def _cap_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,11 +124,11 @@ def _joined(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _step_record(edges: DataFrame) -> DataFrame:
-    return _joined(_rounded(pr.step_records(edges), "contribution"), "adjacency")
+    return _joined(_rounded(pr.step_records(edges, width=WIDTH), "contribution"), "adjacency")
 
 
 def queries() -> dict[str, Query]:
-    parts, served = part_sequence_edges, supplier_customer_edges
+    parts, served, trade = part_sequence_edges, supplier_customer_edges, trade_edges
     every_id = {"modulus": 1}
     return {
         "scan_edges_text": _scan_text,
@@ -136,9 +138,6 @@ def queries() -> dict[str, Query]:
         "sink_roundtrip_text": _roundtrip_text,
         "sink_roundtrip_csv": _roundtrip_csv,
         "sink_roundtrip_tab": _roundtrip_tab,
-        "gen_chains_open": lambda spark, d: generate.chains_open(spark, _chain_length(spark, d)),
-        "gen_chains_sink": lambda spark, d: generate.chains_with_sink(spark, _chain_length(spark, d)),
-        "chain_heads": _chain_heads,
         "edges_cap": _on_capped(ed.cap_edges),
         "edges_beyond_cap": _on_capped(ed.edges_beyond_cap),
         "reverse_edges": _on_parts(ed.reverse_edges),
@@ -151,8 +150,9 @@ def queries() -> dict[str, Query]:
         "follower_count_grouped": _on_parts(dg.follower_count_grouped, **every_id),
         "follower_count_reduce": _on_parts(dg.follower_count_reduce, **every_id),
         "out_degree": _on_parts(dg.out_degree),
-        "adjacency_list": _on_parts(lambda e: _joined(dg.adjacency_list(e), "neighbours", "copies")),
-        "adjacency_set": _on_parts(lambda e: _joined(dg.adjacency_set(e), "neighbours")),
+        "adjacency_list": _on_parts(lambda e: _joined(dg.adjacency_list(e, WIDTH), "neighbours", "copies")),
+        "adjacency_set": _on_parts(lambda e: _joined(dg.adjacency_set(e, WIDTH), "neighbours")),
+        "adjacency_trade": _on_trade(lambda e: _joined(dg.adjacency_set(e, WIDTH), "neighbours")),
         "in_links_sorted": _on_parts(ed.in_links_sorted),
         "two_path_cardinality": _on_parts(dg.two_path_cardinality),
         "two_path_cardinality_cap": _on_capped(dg.two_path_cardinality),
@@ -160,12 +160,13 @@ def queries() -> dict[str, Query]:
         "two_path_running_total": _on_parts(dg.two_path_running_total),
         "edges_beyond_cap_by_src": _on_capped(dg.edges_beyond_cap_by_src),
         "edges_beyond_cap_total": _on_capped(dg.edges_beyond_cap_total),
-        "two_paths_shuffle": _on_parts(pa.two_paths, strategy="shuffle_hash"),
-        "two_paths_merge": _on_parts(pa.two_paths, strategy="merge"),
-        "two_paths_broadcast": _on_parts(pa.two_paths, strategy="broadcast"),
-        "two_paths_adjacency": _on_parts(pa.two_paths, strategy="adjacency"),
-        "two_paths_salted": _on_parts(pa.two_paths, strategy="salted"),
-        "two_paths_distinct": _on_parts(pa.two_paths, distinct=True),
+        "two_paths_shuffle": _on_parts(pa.two_path_counts, strategy="shuffle_hash"),
+        "two_paths_merge": _on_parts(pa.two_path_counts, strategy="merge"),
+        "two_paths_broadcast": _on_parts(pa.two_path_counts, strategy="broadcast"),
+        "two_paths_adjacency": _on_parts(pa.two_path_counts, strategy="adjacency"),
+        "two_paths_salted": _on_parts(pa.two_path_counts, strategy="salted"),
+        "two_paths_distinct": _on_parts(pa.two_path_counts, distinct=True),
+        "two_paths_trade": _on_trade(pa.two_path_counts, strategy="salted"),
         "two_paths_rows": _on_parts(lambda e: pa.path_rows(pa.two_paths(e))),
         "two_paths_count": _on_parts(pa.two_paths_count),
         "triangles": _on_parts(tr.triangles),
@@ -179,6 +180,10 @@ def queries() -> dict[str, Query]:
         "triangle_count_distinct": _on_parts(tr.triangle_count, kind="distinct"),
         "triangle_count_semi": _on_parts(tr.triangle_count, kind="semi", strategy="broadcast"),
         "triangles_canonical": _on_parts(tr.triangles_canonical),
+        "triangles_capped": _capped_scan(tr.triangles),
+        "triangle_count_capped": _capped_scan(tr.triangle_count),
+        "triangles_trade": _on_trade(tr.triangles_canonical, floor=TRADE_FLOOR, budget=TRADE_PAIRS),
+        "triangle_count_trade": _on_trade(tr.triangle_count, floor=TRADE_FLOOR, budget=TRADE_PAIRS),
         "cap_profile": _cap_profile,
         "left_join_default": lambda spark, d: _rounded(pr.first_contributions(served(spark, d)), "contribution"),
         "initial_ranks": lambda spark, d: _rounded(pr.initial_ranks(served(spark, d)), "rank"),
@@ -187,7 +192,10 @@ def queries() -> dict[str, Query]:
         "pagerank_broadcast": _ranks(parts, 10, strategy="broadcast"),
         "pagerank_dangling": _ranks(served, 10),
         "pagerank_dangling_mass": lambda spark, d: _rounded(pr.dangling_mass(served(spark, d), 10), "mass"),
-        "pagerank_chain_expanded": _chain_expanded,
+        "pagerank_sink": _ranks(parts, 10, sink_id=0),
+        "pagerank_trade": _ranks(trade, 10, floor=TRADE_FLOOR),
+        "ranks_roundtrip": _ranks_roundtrip,
+        "nodes_without_in_links": lambda spark, d: pr.nodes_without_in_links(served(spark, d)),
         "pagerank_step_record": _on_parts(_step_record),
         "top_ranked": lambda spark, d: pr.top_ranked(_ranks(parts, 10)(spark, d)),
         "top_two_path_nodes": _on_parts(dg.top_two_path_nodes),

@@ -82,3 +82,10 @@ def read_edges_regex(spark: SparkSession, path: str, whole_files: bool = False)
         ).alias("hit")
     )
     return _edges_from(found, F.col("hit.a"), F.col("hit.b"), F.col("hit.a"), failfast=False)
+
+
+def read_ranks(spark: SparkSession, path: str) -> DataFrame:
+    """``(id, rank)`` of one iteration's folder, its ``(0,mass)`` line among them."""
+    text = spark.read.option("recursiveFileLookup", "true").text(path)
+    fields = F.split(F.regexp_extract("value", r"\((.*)\)", 1), ",")
+    return text.select(fields.getItem(0).cast("long").alias("id"), fields.getItem(1).cast("double").alias("rank"))

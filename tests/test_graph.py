@@ -20,7 +20,7 @@ GRAPHS = {
     "dense": brute.random_graph(2, nodes=7, edges=80),
     "hubs": brute.hub_graph(),
 }
-FLOOR = 3
+FLOOR, BUDGET = 3, 9
 
 
 def weighted(df):
@@ -51,28 +51,28 @@ def test_hubs_are_found_and_bounded(edges):
 @pytest.mark.parametrize("strategy", pa.STRATEGIES)
 def test_two_paths(graph, strategy):
     pairs, df = graph
-    assert weighted(pa.two_paths(df, strategy, floor=FLOOR)) == brute.two_paths(pairs)
+    assert weighted(pa.two_paths(df, strategy, budget=BUDGET)) == brute.two_paths(pairs)
 
 
 @pytest.mark.parametrize("strategy", ["broadcast", "adjacency"])
 def test_two_paths_beyond_the_broadcast_bound(edges, strategy):
     pairs = GRAPHS["hubs"]
-    df = pa.two_paths(edges(pairs), strategy, floor=FLOOR, max_broadcast_rows=10)
+    df = pa.two_paths(edges(pairs), strategy, budget=BUDGET, max_broadcast_rows=10)
     assert weighted(df) == brute.two_paths(pairs)
 
 
 def test_two_path_forms(graph):
     pairs, df = graph
     want = brute.two_paths(pairs)
-    assert plain(pa.two_paths(df, distinct=True, floor=FLOOR)) == Counter(set(want))
-    assert plain(pa.path_rows(pa.two_paths(df, floor=FLOOR))) == want
+    assert plain(pa.two_paths(df, distinct=True, budget=BUDGET)) == Counter(set(want))
+    assert plain(pa.path_rows(pa.two_paths(df, budget=BUDGET))) == want
     assert pa.two_paths_count(df).first()["n"] == sum(want.values())
 
 
 @pytest.mark.parametrize("strategy", tr.STRATEGIES)
 def test_triangles(graph, strategy):
     pairs, df = graph
-    assert weighted(tr.triangles(df, "multi", strategy, FLOOR)) == brute.triangles(pairs)
+    assert weighted(tr.triangles(df, "multi", strategy, FLOOR, budget=BUDGET)) == brute.triangles(pairs)
 
 
 @pytest.mark.parametrize("kind", ["distinct", "semi"])
@@ -98,7 +98,7 @@ def test_triangle_counts(graph):
         "semi": sum(brute.semi_triangles(pairs).values()),
     }
     for kind, rows in want.items():
-        got = tr.triangle_count(df, kind, floor=FLOOR).first()
+        got = tr.triangle_count(df, kind, floor=FLOOR, budget=BUDGET).first()
         assert (got["rows"], got["triangles"]) == (rows, rows // 3)
 
 
@@ -129,7 +129,7 @@ def test_counts_of_the_hand_made_graphs(edges):
 def test_cap_profile(graph):
     pairs, df = graph
     caps = [2, 3005, 6010, 8050, 8120]
-    got = {r["cap"]: r for r in cap_profile(df, caps, FLOOR).collect()}
+    got = {r["cap"]: r for r in cap_profile(df, caps, FLOOR, budget=BUDGET).collect()}
     assert sorted(got) == caps
     for cap in caps:
         kept = [(a, b) for a, b in pairs if a <= cap and b <= cap]
@@ -188,21 +188,102 @@ def test_running_total(graph):
 
 
 def test_adjacency_blocks(edges):
+    """A row per node and block of ``width`` successors in order, by one rule for all nodes."""
     pairs = GRAPHS["hubs"]
     links = Counter(pairs)
-    rows = dg.adjacency_list(edges(pairs), floor=FLOOR, width=16).collect()
-    got = Counter()
-    for r in rows:
-        assert list(r["neighbours"]) == sorted(r["neighbours"])
-        assert len(r["neighbours"]) <= max(16, (2 * len(links)) ** 0.5)
-        for v, n in zip(r["neighbours"], r["copies"]):
-            got[(r["node"], v)] += n
-    assert got == links
-    assert len({r["block"] for r in rows if r["node"] == 5}) > 1
-    flat = Counter((r["node"], v) for r in dg.adjacency_set(edges(pairs), FLOOR, 16).collect() for v in r["neighbours"])
+    rows = {(r["node"], r["block"]): r for r in dg.adjacency_list(edges(pairs), width=4).collect()}
+    for node in {a for a, _ in pairs}:
+        after = sorted({b for a, b in pairs if a == node})
+        for block, at in enumerate(range(0, len(after), 4)):
+            r = rows.pop((node, block))
+            assert list(r["neighbours"]) == after[at : at + 4]
+            assert list(r["copies"]) == [links[node, b] for b in after[at : at + 4]]
+    assert not rows
+    flat = Counter((r["node"], v) for r in dg.adjacency_set(edges(pairs), 4).collect() for v in r["neighbours"])
     assert flat == Counter(set(pairs))
 
 
+def test_other_edges_leave_a_nodes_blocks_alone(spark, edges):
+    own = [(1, b) for b in range(300)]
+    others = spark.range(200_000).select((F.col("id") % 997 + 10).alias("src"), (F.col("id") * 7).alias("dst"))
+
+    def of_node(df):
+        return sorted((r["block"], tuple(r["neighbours"])) for r in dg.adjacency_set(df, 64).filter("node = 1").collect())
+
+    alone = of_node(edges(own))
+    assert len(alone) == 5 and of_node(edges(own).unionByName(others)) == alone
+
+
+def test_no_task_of_the_adjacency_holds_a_hub(spark):
+    """The positions of a hub's links are counted in several ranges."""
+    hub = spark.range(100_000).select(F.lit(1).cast("long").alias("src"), F.col("id").alias("dst"))
+    placed = dg._blocks(ed.link_counts(hub), 100).groupBy(F.spark_partition_id()).count()
+    assert placed.agg(F.max("count")).first()[0] < 50_000
+
+
+@pytest.mark.parametrize("ins, outs", [(499, 499), (3000, 3000), (40_000, 3), (3, 40_000)])
+def test_cells_keep_to_the_budget(spark, ins, outs):
+    """The pairs under one key and cell stay near the budget, whatever else the graph holds."""
+    budget = 10_000
+    first = spark.range(ins).select(F.col("id").alias("a"), F.lit(7).cast("long").alias("b"), F.lit(1).cast("long").alias("n1"))
+    second = spark.range(outs).select(F.lit(7).cast("long").alias("b"), F.col("id").alias("c"), F.lit(1).cast("long").alias("n2"))
+    sizes = spark.createDataFrame([(7, ins, outs)], "b long, ins long, outs long")
+    grid = pa.grid_of(sizes, "b", budget)
+    (row,) = grid.collect()
+    assert row["in_parts"] * row["out_parts"] >= ins * outs / budget
+    rows, columns = ins / row["in_parts"], outs / row["out_parts"]
+    assert rows * columns <= budget and ins * row["out_parts"] + outs * row["in_parts"] <= ins + outs + ins * outs / 20
+    if ins * outs < 300_000:
+        joined = pa.grid_join(first, second, "b", grid, ("a", "c"))
+        assert joined.count() == ins * outs and joined.select("a", "c").distinct().count() == ins * outs
+        cells = first.join(grid, "b").groupBy(pa.cell_of(F.col("in_parts"), F.col("a"))).count()
+        assert cells.agg(F.max("count")).first()[0] <= 2 * rows + 20
+
+
+@pytest.mark.parametrize("strategy", pa.STRATEGIES)
+def test_two_path_counts(graph, strategy):
+    pairs, df = graph
+    want, distinct = Counter(), Counter()
+    for (a, _, _), n in brute.two_paths(pairs).items():
+        want[a] += n
+        distinct[a] += 1
+    got = pa.two_path_counts(df, strategy)
+    assert {r["a"]: r["paths"] for r in got.collect()} == want
+    if strategy in ("auto", "adjacency"):
+        assert {r["a"]: r["paths"] for r in pa.two_path_counts(df, strategy, distinct=True).collect()} == distinct
+    names = {"merge": "SortMergeJoin", "shuffle_hash": "ShuffledHashJoin", "broadcast": "BroadcastHashJoin", "adjacency": "BroadcastHashJoin"}
+    assert names.get(strategy, "Join") in plan_of(got)
+
+
+def test_salted_deals_every_key(edges):
+    plan = pa.two_path_counts(edges(GRAPHS["cycle"]), "salted", salts=5)
+    assert "salt" in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert weighted(pa.two_paths(edges(GRAPHS["both_ways"]), "salted", salts=5)) == brute.two_paths(GRAPHS["both_ways"])
+
+
+def test_wide_triangle_counts(spark):
+    """Three links of two million copies each: the product has 19 digits, three times that too many."""
+    links = [(1, 2), (2, 3), (3, 1)]
+    many = spark.createDataFrame([(a, b, 2_500_000, 6, 6, 1, 1) for a, b in links], tr_ranked_schema())
+    with pytest.raises(Exception, match="overflow|OVERFLOW"):
+        tr.closed_walks(many).select(tr._product(["n_vw", "n_wu", "n_uv"], False)).collect()
+    got = tr.closed_walks(many).select(tr._product(["n_vw", "n_wu", "n_uv"], True).alias("p")).first()["p"]
+    assert int(got) == 2_500_000**3
+
+
+def tr_ranked_schema():
+    return "src long, dst long, n long, src_degree long, dst_degree long, src_parts long, dst_parts long"
+
+
+def test_wide_counts_match(graph):
+    pairs, df = graph
+    narrow, wide = tr.triangle_count(df, floor=FLOOR).first(), tr.triangle_count(df, floor=FLOOR, wide=True).first()
+    assert (narrow["rows"], narrow["triangles"]) == (int(wide["rows"]), int(wide["triangles"]))
+    caps = [3005, 8120]
+    rows = lambda w: sorted(tuple(map(int, r)) for r in cap_profile(df, caps, FLOOR, wide=w).collect())
+    assert rows(False) == rows(True)
+
+
 def test_in_links_are_ordered(edges):
     pairs = GRAPHS["hubs"]
     rows = [tuple(r) for r in ed.in_links_sorted(edges(pairs)).collect()]
