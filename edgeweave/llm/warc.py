@@ -26,7 +26,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 from urllib.parse import quote
 
-from edgeweave.session import cut_lineage, drop_table, fresh_path
+from edgeweave.session import cut_lineage, drop_table, fresh_path, written_table
 
 MIN_REVISIT, FILE_BYTES, CHUNK, GZIP = 100, 1 << 28, 1 << 18, 31
 # Fixed values of the format.
@@ -129,16 +129,20 @@ def fields_of(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (line.decode().partition(":") for line in lines[1:])}
 
 
-def _marked(pages: DataFrame) -> DataFrame:
-    """``(page_id, url, payload, digest, first)``; ``first`` is set where several payloads are equal."""
+def _marked(pages: DataFrame) -> tuple[DataFrame, str]:
+    """``(page_id, url, payload, digest, first)``; ``first`` is set where several payloads are equal.
+
+    The equal digests are a table of their own (the second result is its path), so Spark knows its
+    size: with few of them no page is shuffled, with many the join splits a hot digest.
+    """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     long_enough = rows.filter(F.octet_length("payload") >= MIN_REVISIT)
     equal = long_enough.groupBy(F.col("digest").alias("shared")).agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("rows"))
-    equal = equal.filter("rows > 1").select("shared", "first")
+    equal, path = written_table(equal.filter("rows > 1").select("shared", "first"), "digests")
     # short payloads match no digest of ``equal``, which has the long ones alone
-    return rows.join(equal, rows["digest"] == equal["shared"], "left").drop("shared")
+    return rows.join(equal, rows["digest"] == equal["shared"], "left").drop("shared"), path
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
@@ -170,7 +174,10 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         if out is not None:
             yield finished()
 
-    return cut_lineage(_marked(pages).mapInArrow(run, "path string, records long"))
+    marked, digests = _marked(pages)
+    files = cut_lineage(marked.mapInArrow(run, "path string, records long"))
+    drop_table(pages.sparkSession, digests)
+    return files
 
 
 def normalise(files: DataFrame, folder: str) -> DataFrame:
@@ -207,8 +214,12 @@ def normalise(files: DataFrame, folder: str) -> DataFrame:
                 where = posixpath.join(folder, name)
                 yield pa.RecordBatch.from_pydict({"path": [where], "index": [where + ".idx"], "records": pa.array([records], pa.int64())})
 
-    spread = files.select("path").repartition("path")
-    return cut_lineage(spread.mapInArrow(run, "path string, index string, records long"))
+    return cut_lineage(_one_by_one(files, "path").mapInArrow(run, "path string, index string, records long"))
+
+
+def _one_by_one(files: DataFrame, *columns: str) -> DataFrame:
+    """A partition per file, which Spark does not merge however few bytes the names have."""
+    return files.select(*columns).repartition(max(1, files.count()))
 
 
 _RECORD = pa.schema(
@@ -261,7 +272,7 @@ def read_records(files: DataFrame) -> DataFrame:
                         columns = [pa.array(c, f.type) for c, f in zip(zip(*found), _RECORD)]
                         yield pa.RecordBatch.from_arrays(columns, schema=_RECORD)
 
-    return files.select("path", "index").repartition("path").mapInArrow(run, names)
+    return _one_by_one(files, "path", "index").mapInArrow(run, names)
 
 
 def archived(pages: DataFrame) -> DataFrame:
