@@ -7,8 +7,8 @@ repeated words and lines). Learned filters over a chunk are rectified and max-po
 eighth of the text; a small dense layer reads each eighth's pooled values together with those of
 the whole text, and the mean over the eighths goes through one logistic unit: one probability.
 
-**Training.** At most ``per_class`` labelled texts per class, each of at most ``max_bytes`` bytes,
-chosen by a hash of their id among the rows that are not held out, train the network in one task.
+**Training.** At most ``per_class`` labelled ids per class are chosen by a hash of the id among the rows
+that are not held out; their texts of at most ``max_bytes`` bytes train the network in one task.
 The classes are weighted back to their shares among all labelled rows. Everything else (scores,
 shares) covers all rows.
 """
@@ -228,21 +228,19 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_byte
     labelled row the network stays as it starts.
     """
     wanted = labels.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("quality"))
-    wanted = wanted.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("label_id")))
+    wanted = wanted.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("label_id")) & F.col("label_id").isNotNull())
+    shares = {r["quality"]: r["rows"] for r in wanted.groupBy("quality").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    wanted = wanted.withColumn("place", F.xxhash64("label_id", F.lit(SEED)))
+    picked = [wanted.filter(F.col("quality") == y).orderBy("place", "label_id").limit(per_class) for y in (0, 1)]
     short = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     short = short.filter(F.octet_length("text") <= max_bytes)
-    known = short.join(wanted, short["doc_id"] == wanted["label_id"]).select(
-        F.xxhash64(F.col("doc_id"), F.lit(SEED)).alias("place"), "text", "quality"
-    )
-    shares = {r["quality"]: r["rows"] for r in wanted.groupBy("quality").agg(F.count(F.lit(1)).alias("rows")).collect()}
-    order = ("place", "text")
-    sample = known.filter("quality = 0").orderBy(*order).limit(per_class).unionByName(
-        known.filter("quality = 1").orderBy(*order).limit(per_class)
-    )
+    # at most 2 * per_class ids go to the documents, so no text is shuffled to find the sample
+    known = short.join(F.broadcast(picked[0].unionByName(picked[1])), short["doc_id"] == F.col("label_id"))
+    sample = known.select("place", "text", "quality").orderBy("place", "quality", "text").limit(2 * per_class)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat([pd.DataFrame({"place": [], "text": [], "quality": []}), *batches])
-        rows = rows.sort_values(["place", "text"], kind="stable")
+        rows = rows.sort_values(["place", "quality", "text"], kind="stable")
         texts = [t.encode("utf-8", "surrogatepass") for t in rows["text"]]
         target = rows["quality"].to_numpy(np.float32)
         weights = np.ones(len(target), np.float32)
