@@ -142,6 +142,13 @@ def window_anchors(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _spread(anchors: np.ndarray) -> np.ndarray:
+    """The least hashes lie near zero; this maps them one to one over the whole range."""
+    mixed = anchors * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(32)
+    return mixed * np.uint64(0xD6E8FEB86659FD93)
+
+
 def anchor_runs(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of neighbouring windows with one anchor: first window, number of windows, anchor, document."""
     anchors = window_anchors(chunk.data)
@@ -162,7 +169,7 @@ def anchor_runs(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         end = np.repeat(first + count, parts)
         first = np.repeat(first, parts) + step * LONGEST_RUN
         count = np.minimum(LONGEST_RUN, end - first)
-    return first, count, anchors[first], np.searchsorted(chunk.ends, first, side="right")
+    return first, count, _spread(anchors[first]), np.searchsorted(chunk.ends, first, side="right")
 
 
 def _bucket_edges(anchors: np.ndarray, buckets: int) -> np.ndarray:
