@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 import xxhash
 
+from edgeweave.session import written_table
+
 HELD_HOSTS, CONSTANT_PAGES, DEPTH = 5000, 3, 100
 
 # Elements without content, with raw content, and those that end a paragraph.
@@ -413,7 +415,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     ).withColumn("host", host)
-    wrappers = host_wrappers(rows.select("host", "html"))
+    # a table, so that Spark knows its size: with few hosts no page is shuffled, with many the join splits a hot host
+    wrappers, _ = written_table(host_wrappers(rows.select("host", "html")), "wrappers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple] = {}
