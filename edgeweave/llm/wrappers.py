@@ -2,7 +2,7 @@
 
 **Pages as token streams.** A page is read once into a tree of block elements; inline tags vanish into
 the text around them, scripts, styles and comments are skipped, missing end tags are implied. An
-element's label is its tag with the words of its class; a run of text is the label ``#``.
+element's label is its tag with the tokens of its class, without digits; a run of text is the label ``#``.
 
 **Inference.** A wrapper gives, for the children of each element, a sequence of labels in which every
 label stands once: optional (``?``) where some page has none, repeated (``+``) where some page has several;
@@ -20,13 +20,16 @@ extraction depends on nothing else.
 articles, else main elements, else elements named like content. A page is matched against these
 paths; its text comes from the best kind that it has, or from the whole page. Elements whose tag or
 class says menu, header, footer, sidebar, notice, advert, form or comment are left out, as are
-slots of the wrapper with constant text outside the containers.
+slots of the wrapper with constant text outside the containers. A class says so by a whole token
+(``sidebar``, not ``no-sidebar``), never on html, body, main or an article, nor on what holds the
+container; a form with more than half of the text is no form to fill in but the page.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 from html import unescape
 import json
 import re
@@ -58,8 +61,9 @@ IMPLIED_ENDS = {
     "option": ({"option"}, {"select"}),
 }
 SCOPES = frozenset("article aside blockquote body dd details dialog div dl fieldset footer form header html li main nav ol section table td th ul".split())
-# What is not main text, by tag and by word of a class or id.
-SIDE_TAGS = frozenset("nav footer aside form button dialog menu head".split())
+# What is not main text, by tag and by token of a class or id; where tokens and forms do not count.
+SIDE_TAGS = frozenset("nav footer aside button dialog menu head".split())
+KEPT_TAGS = frozenset("#page html body main article".split())
 SIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies discussion disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices overlay "
@@ -84,6 +88,22 @@ class Element:
         self.parts: list = []
 
 
+def _tokens(value: str) -> list[str]:
+    """The tokens of a class, each as its words joined by hyphens."""
+    return ["-".join(words) for token in value.lower().split() if (words := _WORDS.findall(token))]
+
+
+@lru_cache(10_000)
+def _says_side(token: str) -> bool:
+    return SIDE_WORDS.issuperset(token.split("-"))
+
+
+@lru_cache(10_000)
+def _says_content(token: str) -> bool:
+    words = token.split("-")
+    return not CONTENT_WORDS.isdisjoint(words) and SIDE_WORDS.isdisjoint(words) and "header" not in words
+
+
 def _named(tag: str, attributes: str) -> Element:
     """An element with its label, and the words of its class, id and role."""
     if not attributes.strip(" /\n\t"):
@@ -92,9 +112,8 @@ def _named(tag: str, attributes: str) -> Element:
     for m in _ATTRIBUTE.finditer(attributes):
         name = (m[1] or m[3]).lower()
         found.setdefault(name, (m[2] or "").strip("\"'"))
-    words = set(_WORDS.findall(found.get("class", "").lower()))
-    other = _WORDS.findall((found.get("id", "") + " " + found.get("role", "")).lower())
-    words |= {w for w in other if w in SIDE_WORDS or w in CONTENT_WORDS or w == "header"}
+    words = set(_tokens(found.get("class", "")))
+    words |= {w for w in _tokens(found.get("id", "") + " " + found.get("role", "")) if _says_side(w) or _says_content(w) or w == "header"}
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or bool(_HIDDEN.search(found.get("style", "")))
     return Element(tag, ".".join([tag, *sorted(words)]), frozenset(words), hidden)
 
@@ -134,7 +153,7 @@ def page_tree(html: str) -> Element:
             if tag == "hr":
                 stack[-1].parts.append(element)
             continue
-        side = element.hidden or bool(element.words & SIDE_WORDS) or tag in SIDE_TAGS
+        side = element.hidden or _is_side(tag, element.words, True)
         if tag not in BLOCK and not side:
             continue  # inline: its text belongs to what is around it
         ends, scope = IMPLIED_ENDS.get(tag, ({"p"}, SCOPES))
@@ -230,9 +249,15 @@ def page_expression(element: Element) -> list:
     return folded(items)
 
 
+def _is_marked(tag: str, words: frozenset, inside: bool) -> bool:
+    """Whether its class says that an element is no main text; a header is none, outside the article."""
+    if tag in KEPT_TAGS:
+        return False
+    return any(map(_says_side, words)) or (not inside and (tag == "header" or "header" in words))
+
+
 def _is_side(tag: str, words: frozenset, inside: bool) -> bool:
-    """Whether an element is no main text; a header is, inside the article."""
-    return tag in SIDE_TAGS or bool(words & SIDE_WORDS) or (not inside and (tag == "header" or "header" in words))
+    return tag in SIDE_TAGS or _is_marked(tag, words, inside)
 
 
 def page_slots(root: Element) -> dict[str, int]:
@@ -300,14 +325,16 @@ class Wrapper:
                     continue
                 tag, *words = label.split(".")
                 here = f"{path}/{label}"
-                if _is_side(tag, frozenset(words), False):
+                if tag in SIDE_TAGS:
                     continue
                 if tag == "article":
                     kinds[0].add(here)
-                elif tag == "main" or "main" in words:
-                    kinds[1].add(here)
-                elif tag not in ("body", "html") and CONTENT_WORDS.intersection(words):
-                    kinds[2].add(here)
+                elif tag not in ("body", "html"):
+                    telling = [w for w in words if _says_content(w)]
+                    if tag == "main" or any("main" in w.split("-") for w in telling):
+                        kinds[1].add(here)
+                    elif telling:
+                        kinds[2].add(here)
                 walk(children, here)
 
         walk(self.items or [], "")
@@ -315,33 +342,47 @@ class Wrapper:
         return [frozenset(k) for k in kinds], still
 
 
-def _containers(root: Element, wanted: frozenset) -> list[Element]:
-    """The outermost elements of the page that stand at one of the wrapper's paths."""
-    out = []
+def _containers(root: Element, wanted: frozenset) -> tuple[list[Element], list[Element]]:
+    """The outermost elements of the page at the wrapper's paths: in the open, and below what is marked as side matter."""
+    out: tuple[list, list] = ([], [])
 
-    def walk(element: Element, path: str) -> None:
+    def walk(element: Element, path: str, below: bool) -> None:
         for part in element.parts:
-            if isinstance(part, str) or part.hidden:
+            if isinstance(part, str) or part.hidden or part.tag in SIDE_TAGS:
                 continue
             here = f"{path}/{part.label}"
+            under = part.tag != "main" and (below or _is_marked(part.tag, part.words, False))
             if here in wanted:
-                out.append(part)
+                out[under].append(part)
             else:
-                walk(part, here)
+                walk(part, here, under)
 
     if wanted:
-        walk(root, "")
+        walk(root, "", False)
     return out
 
 
-def main_text(root: Element, kinds: list[frozenset], constants: frozenset) -> str:
-    """Blocks of the main text, joined by line breaks, by the plan of the wrapper that covers the page."""
-    found = next((f for f in (_containers(root, k) for k in kinds) if f), [])
-    inside = bool(found)
+def _length(element: Element, inside: bool) -> int:
+    """Letters of an element's text, that of its forms included."""
+    own = sum(len("".join(p.split())) for p in element.parts if isinstance(p, str))
+    below = (p for p in element.parts if not isinstance(p, str) and not p.hidden and not _is_side(p.tag, p.words, inside))
+    return own + sum(_length(p, inside) for p in below)
+
+
+def _text(elements: list[Element], constants: frozenset, inside: bool) -> str:
+    """Blocks of the text of elements without side matter, joined by line breaks."""
     blocks: list[list[str]] = [[]]
+    whole: list[int] = []
+
+    def is_form(part: Element) -> bool:
+        if part.tag != "form":
+            return False
+        if not whole:
+            whole.append(sum(_length(e, inside) for e in elements))
+        return 2 * _length(part, inside) <= whole[0]
 
     def walk(element: Element, path: str) -> None:
-        constant = not inside and path in constants
+        constant = path in constants
         for part in element.parts:
             if isinstance(part, str):
                 if not constant:
@@ -350,18 +391,30 @@ def main_text(root: Element, kinds: list[frozenset], constants: frozenset) -> st
             block = part.tag in BLOCK
             if block:
                 blocks.append([])
-            if not part.hidden and not _is_side(part.tag, part.words, inside):
+            if not part.hidden and not _is_side(part.tag, part.words, inside) and not is_form(part):
                 walk(part, "" if inside else f"{path}/{part.label}")
             if block:
                 blocks.append([])
 
-    for element in found or [root]:
+    for element in elements:
         blocks.append([])
         walk(element, "")
     texts = (" ".join("".join(b).split()) for b in blocks)
     return "\n".join(t for t in texts if t)
 
 
+def main_text(root: Element, kinds: list[frozenset], constants: frozenset) -> str:
+    """Blocks of the main text, joined by line breaks, by the plan of the wrapper that covers the page.
+
+    Marks of side matter do not count on what holds the page's only article or, if the page has no other
+    text, any container.
+    """
+    found = [_containers(root, k) for k in kinds]
+    lone = found[0][1] if len(found[0][1]) == 1 else []
+    chosen = next((f for f in (*(opened for opened, _ in found), lone) if f), [])
+    text = _text(chosen or [root], frozenset() if chosen else constants, bool(chosen))
+    marked = next((m for _, m in found if m), [])
+    return text or (_text(marked, frozenset(), True) if marked and not chosen else "")
 
 
 def host_wrappers(pages: DataFrame) -> DataFrame:

@@ -125,3 +125,25 @@ def test_odd_rows(spark):
     want = [(1, "http://a/x", "", 0), (2, None, "x", 1), (None, "no scheme", "y", 1), (3, "http://a/y", "", 0), (3, "http://a/y", "", 0)]
     assert got == sorted([*want, (4, "HTTP://A/z", long, len(long))], key=str)
     assert wrappers.main_texts(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<html class="js no-search"><body class="home no-sidebar"><article><p>a</article><footer>f</footer>', "a"),
+        ('<body class="sidebar"><p>a</p><div class="sidebar">b</div></body>', "a"),
+        ('<body><article class="post comments-open"><p>a</article><p>b</body>', "a"),
+        ('<body><article class="widget"><p>a</article></body>', "a"),
+        ('<body><main class="search"><p>a</main><p>b</body>', "a"),
+        ('<body><div class="content with-sidebar"><p>a</div><p>b</body>', "a"),
+        ('<body><form id="aspnetForm"><div class="menu">m</div><p>long text</p><input></form><p>c</body>', "long text\nc"),
+        ('<body><form><article><p>long text</p><form>Mail</form></article></form><p>b</body>', "long text"),
+        ('<body><main><form><p>long text</form></main></body>', "long text"),
+        ('<body><div class="social"><article>a</article></div>b</body>', "a"),
+        ('<body><div class="widget"><div class="entry">a</div></div></body>', "a"),
+        ('<body><p>a</p><div class="comments"><article>b</article><article>c</article></div></body>', "a"),
+        ('<body><p>long text</p><form>Mail</form><div id="cookie-notice">c</div></body>', "long text"),
+    ],
+)
+def test_marks_of_side_matter(page, text):
+    assert text_of(page) == text
