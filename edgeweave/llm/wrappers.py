@@ -17,8 +17,11 @@ The order of folding changes neither which labels a wrapper has nor which texts
 extraction depends on nothing else.
 
 **Extraction.** The wrapper names the paths at which its host's pages have containers of main text:
-articles, else main elements, else elements named like content. A page is matched against these
-paths; its text comes from the best kind that it has, or from the whole page. Elements whose tag or
+main elements, articles, elements named like content. A page is matched against these paths. Its
+text comes from the main element, if that has as much as the articles; else from an element named
+like content with more text outside articles than in them; else from the articles, or from the
+whole page if no container has text. What stands around the articles of a container counts without
+the slots whose text is constant on the host. Elements whose tag or
 class says menu, header, footer, sidebar, notice, advert, form or comment are left out, as are
 slots of the wrapper with constant text outside the containers. A class says so by a whole token
 (``sidebar``, not ``no-sidebar``), never on html, body, main or an article, nor on what holds the
@@ -315,8 +318,8 @@ class Wrapper:
         return Wrapper(*json.loads(text))
 
     def plan(self) -> tuple[list[frozenset], frozenset]:
-        """Paths of the containers of main text, the best kind first, and of the slots with constant text."""
-        kinds: list[set] = [set(), set(), set()]
+        """Paths of articles, main elements and elements named like main or content, and of slots with constant text."""
+        kinds: list[set] = [set(), set(), set(), set()]
 
         def walk(items: list, path: str) -> None:
             for label, _, _, children in items:
@@ -329,12 +332,15 @@ class Wrapper:
                     continue
                 if tag == "article":
                     kinds[0].add(here)
-                elif tag not in ("body", "html"):
+                    continue  # nothing below an article takes its place
+                if tag not in ("body", "html"):
                     telling = [w for w in words if _says_content(w)]
-                    if tag == "main" or any("main" in w.split("-") for w in telling):
+                    if tag == "main":
                         kinds[1].add(here)
-                    elif telling:
+                    elif any("main" in w.split("-") for w in telling):
                         kinds[2].add(here)
+                    elif telling:
+                        kinds[3].add(here)
                 walk(children, here)
 
         walk(self.items or [], "")
@@ -342,7 +348,10 @@ class Wrapper:
         return [frozenset(k) for k in kinds], still
 
 
-def _containers(root: Element, wanted: frozenset) -> tuple[list[Element], list[Element]]:
+Found = list[tuple[Element, str]]
+
+
+def _containers(root: Element, wanted: frozenset) -> tuple[Found, Found]:
     """The outermost elements of the page at the wrapper's paths: in the open, and below what is marked as side matter."""
     out: tuple[list, list] = ([], [])
 
@@ -353,7 +362,7 @@ def _containers(root: Element, wanted: frozenset) -> tuple[list[Element], list[E
             here = f"{path}/{part.label}"
             under = part.tag != "main" and (below or _is_marked(part.tag, part.words, False))
             if here in wanted:
-                out[under].append(part)
+                out[under].append((part, here))
             else:
                 walk(part, here, under)
 
@@ -369,8 +378,8 @@ def _length(element: Element, inside: bool) -> int:
     return own + sum(_length(p, inside) for p in below)
 
 
-def _text(elements: list[Element], constants: frozenset, inside: bool) -> str:
-    """Blocks of the text of elements without side matter, joined by line breaks."""
+def _text(elements: Found, constants: frozenset, inside: bool, articles: bool = True) -> str:
+    """Blocks of the text of elements without side matter and constant slots, joined by line breaks."""
     blocks: list[list[str]] = [[]]
     whole: list[int] = []
 
@@ -378,7 +387,7 @@ def _text(elements: list[Element], constants: frozenset, inside: bool) -> str:
         if part.tag != "form":
             return False
         if not whole:
-            whole.append(sum(_length(e, inside) for e in elements))
+            whole.append(sum(_length(e, inside) for e, _ in elements))
         return 2 * _length(part, inside) <= whole[0]
 
     def walk(element: Element, path: str) -> None:
@@ -391,14 +400,15 @@ def _text(elements: list[Element], constants: frozenset, inside: bool) -> str:
             block = part.tag in BLOCK
             if block:
                 blocks.append([])
-            if not part.hidden and not _is_side(part.tag, part.words, inside) and not is_form(part):
-                walk(part, "" if inside else f"{path}/{part.label}")
+            left = part.hidden or _is_side(part.tag, part.words, inside) or (part.tag == "article" and not articles)
+            if not left and not is_form(part):
+                walk(part, f"{path}/{part.label}")
             if block:
                 blocks.append([])
 
-    for element in elements:
+    for element, path in elements:
         blocks.append([])
-        walk(element, "")
+        walk(element, path)
     texts = (" ".join("".join(b).split()) for b in blocks)
     return "\n".join(t for t in texts if t)
 
@@ -410,11 +420,20 @@ def main_text(root: Element, kinds: list[frozenset], constants: frozenset) -> st
     text, any container.
     """
     found = [_containers(root, k) for k in kinds]
-    lone = found[0][1] if len(found[0][1]) == 1 else []
-    chosen = next((f for f in (*(opened for opened, _ in found), lone) if f), [])
-    text = _text(chosen or [root], frozenset() if chosen else constants, bool(chosen))
-    marked = next((m for _, m in found if m), [])
-    return text or (_text(marked, frozenset(), True) if marked and not chosen else "")
+    (articles, lone), (mains, _), *named = found
+    in_articles = _text(articles, frozenset(), True)
+    around = constants if articles else frozenset()
+    in_main = _text(mains, around, True)
+    if in_main and len(in_main) >= len(in_articles):
+        return in_main
+    for opened, _ in named:
+        if len(_text(opened, around, True, articles=False)) > len(in_articles):
+            return _text(opened, around, True)
+    if in_articles:
+        return in_articles
+    text = _text(lone, frozenset(), True) if len(lone) == 1 else ""
+    text = text or _text([(root, "")], constants, False)
+    return text or next((t for _, m in found if (t := _text(m, frozenset(), True))), "")
 
 
 def host_wrappers(pages: DataFrame) -> DataFrame:

@@ -147,3 +147,26 @@ def test_odd_rows(spark):
 )
 def test_marks_of_side_matter(page, text):
     assert text_of(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<main><p>long text</p><article class="teaser">x</article></main>', "long text\nx"),
+        ('<main><p>long text</p></main><article class="teaser">x</article>', "long text"),
+        ('<main>x</main><article>long text</article>', "long text"),
+        ('<article></article><div class="content">long text</div><p>b</p>', "long text"),
+        ('<div class="content"><p>long text</p><article>x</article></div><p>b</p>', "long text\nx"),
+        ('<div class="content"><p>x</p><article>long text</article></div><p>b</p>', "long text"),
+        ('<main></main><div id="main"><article> </article></div><div class="entry"></div><p>b</p>', "b"),
+        ('<article><main>a</main>b</article>', "a b"),
+    ],
+)
+def test_choice_of_the_container(page, text):
+    assert text_of(page).split() == text.split()
+
+
+def test_constant_text_around_articles_is_template():
+    pages = [f"<main><h2>Latest posts</h2><p>Of day {i}</p><article>Post {i}</article></main>" for i in range(4)]
+    assert text_of(*pages, of=2) == "Of day 2\nPost 2"
+    assert text_of(pages[0]) == "Latest posts\nOf day 0\nPost 0"
