@@ -9,7 +9,8 @@ label stands once: optional (``?``) where some page has none, repeated (``+``) w
 a span of labels that come round again is one repeated group of optional members. ``aligned`` aligns
 two such sequences by their longest common subsequence, keeps what matches, turns the rest into
 optional items and folds repetitions again. A text slot outside repetitions also keeps the hash of its
-text as long as all pages agree: text that never varies is part of the template.
+text as long as all pages agree: text that never varies is part of the template, once it stands on
+three pages whose other texts differ, so that copies of a page never make a template.
 
 Every task folds the pages that it reads into one wrapper per host, and those are folded again per
 host, so a host with a third of all pages sends one small row per task. Inference covers all pages.
@@ -79,6 +80,7 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|([^\s=/"']+)""", re.S)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORDS = re.compile(r"[a-z]+")
+_MASK = (1 << 63) - 1
 
 
 class Element:
@@ -263,24 +265,36 @@ def _is_side(tag: str, words: frozenset, inside: bool) -> bool:
     return tag in SIDE_TAGS or _is_marked(tag, words, inside)
 
 
-def page_slots(root: Element) -> dict[str, int]:
-    """Hash of the text of every slot outside articles whose path stands once on the page."""
-    found: dict[str, int | None] = {}
+def page_slots(root: Element) -> dict[str, tuple[int, int]]:
+    """Hashes of its text and of the other texts of the page, for slots outside articles whose path stands once.
 
-    def walk(element: Element, path: str) -> None:
-        text = "".join(p for p in element.parts if isinstance(p, str))
-        if text.strip():
-            found[path] = None if path in found else xxhash.xxh64_intdigest(" ".join(text.split())) >> 1
+    The other texts are those that can be main text: neither hidden nor in side matter.
+    """
+    found: dict[str, int | None] = {}
+    counted: dict[str, int] = {}
+    texts = 0
+
+    def walk(element: Element, path: str, article: bool, side: bool) -> None:
+        nonlocal texts
+        text = " ".join("".join(p for p in element.parts if isinstance(p, str)).split())
+        if text:
+            digest = xxhash.xxh64_intdigest(text) >> 1
+            if not side:
+                texts += digest
+                counted[path] = digest
+            if not article:
+                found[path] = None if path in found else digest
         for part in element.parts:
-            if not isinstance(part, str) and part.tag != "article":
-                walk(part, f"{path}/{part.label}")
+            if not isinstance(part, str):
+                below = side or part.hidden or _is_side(part.tag, part.words, False)
+                walk(part, f"{path}/{part.label}", article or part.tag == "article", below)
 
-    walk(root, "")
-    return {p: h for p, h in found.items() if h is not None}
+    walk(root, "", False, False)
+    return {p: (h, (texts - counted.get(p, 0)) & _MASK) for p, h in found.items() if h is not None}
 
 
 class Wrapper:
-    """A host's expression, how many pages it covers, and per slot its pages and its text, if always the same."""
+    """A host's expression, how many pages it covers, and per slot its text, if always the same, and hashes of other texts beside it."""
 
     def __init__(self, pages: int = 0, items: list | None = None, slots: dict | None = None) -> None:
         self.pages, self.items, self.slots = pages, items, slots or {}
@@ -293,22 +307,21 @@ class Wrapper:
             self.items = items if self.items is None else aligned(self.items, items)
             self.seen.add(shape)
         self.pages += 1
-        for path, text in page_slots(root).items():
-            self._slot(path, 1, text)
+        for path, (text, others) in page_slots(root).items():
+            self._slot(path, text, [others])
 
-    def _slot(self, path: str, pages: int, text: int | None) -> None:
-        known = self.slots.get(path)
-        if known is None:
-            self.slots[path] = [pages, text]
-        else:
-            known[0] += pages
-            known[1] = text if known[1] == text else None
+    def _slot(self, path: str, text: int | None, others: list[int]) -> None:
+        known = self.slots.setdefault(path, [text, []])
+        if text is None or known[0] != text:
+            known[:] = [None, []]
+        elif len(known[1]) < CONSTANT_PAGES:
+            known[1] = sorted({*known[1], *others})[:CONSTANT_PAGES]
 
     def add(self, other: Wrapper) -> None:
         self.items = other.items if self.items is None else aligned(self.items, other.items)
         self.pages += other.pages
-        for path, (pages, text) in other.slots.items():
-            self._slot(path, pages, text)
+        for path, (text, others) in other.slots.items():
+            self._slot(path, text, others)
 
     def dumped(self) -> str:
         return json.dumps([self.pages, self.items, self.slots])
@@ -344,7 +357,7 @@ class Wrapper:
                 walk(children, here)
 
         walk(self.items or [], "")
-        still = frozenset(p for p, (pages, text) in self.slots.items() if text is not None and pages >= CONSTANT_PAGES)
+        still = frozenset(p for p, (text, others) in self.slots.items() if text is not None and len(others) >= CONSTANT_PAGES)
         return [frozenset(k) for k in kinds], still
 
 

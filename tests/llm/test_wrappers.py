@@ -170,3 +170,24 @@ def test_constant_text_around_articles_is_template():
     pages = [f"<main><h2>Latest posts</h2><p>Of day {i}</p><article>Post {i}</article></main>" for i in range(4)]
     assert text_of(*pages, of=2) == "Of day 2\nPost 2"
     assert text_of(pages[0]) == "Latest posts\nOf day 0\nPost 0"
+
+
+def test_copies_of_a_page_are_no_template():
+    page = "<body><nav>{}</nav><h1>Title</h1><p>Text</p><div>End</div></body>"
+    for copies in (3, 50):
+        assert text_of(*[page.format("m")] * copies) == "Title\nText\nEnd"
+        assert text_of(*[page.format(i) for i in range(copies)]) == "Title\nText\nEnd"  # only side matter differs
+        assert text_of(*["<p>Text</p>"] * copies) == "Text"
+    two = ["<div>Same</div><p>One</p>", "<div>Same</div><p>Two</p>"]
+    assert text_of(*two * 5) == "Same\nOne"
+    assert text_of(*two, "<div>Same</div><p>Three</p>") == "One"
+
+
+def test_copies_in_parts_of_a_host():
+    parts = [wrappers.Wrapper() for _ in range(5)]
+    for part in parts:
+        part.add_page(wrappers.page_tree("<h1>Title</h1><p>Text</p>"))
+    whole = wrappers.Wrapper()
+    for part in parts:
+        whole.add(wrappers.Wrapper.loaded(part.dumped()))
+    assert whole.plan()[1] == frozenset()
