@@ -1,7 +1,8 @@
 """Main text of web pages by wrappers: union-free regular expressions inferred per host.
 
 **Pages as token streams.** A page is read once into a tree of block elements; inline tags vanish into
-the text around them, scripts, styles and comments are skipped, missing end tags are implied. An
+the text around them, scripts, styles, drawings, lists of choices and comments are skipped, missing
+end tags are implied. An
 element's label is its tag with the tokens of its class, without digits; a run of text is the label ``#``.
 
 **Inference.** A wrapper gives, for the children of each element, a sequence of labels in which every
@@ -48,7 +49,9 @@ HELD_HOSTS, CONSTANT_PAGES, DEPTH = 5000, 3, 100
 
 # Elements without content, with raw content, and those that end a paragraph.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math head title textarea select".split())
+RAW = frozenset("script style textarea title".split())  # their content is no markup
+TO_END = frozenset("script style textarea".split())  # without an end tag they take the rest of the page
+NESTED = frozenset("svg iframe noscript template select annotation annotation-xml".split())  # markup that is not shown as text
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol optgroup option p pre section summary table "
@@ -77,6 +80,11 @@ SIDE_WORDS = frozenset(
 CONTENT_WORDS = frozenset("article content entry post story main text body".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
+_NESTED = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(script|style|textarea)\b.*?(?:</\1\b[^>]*>|\Z)|"""
+    r"""<(/?)(svg|iframe|noscript|template|select|annotation-xml|annotation)(?=[\s/>])((?:[^"'>]|"[^"]*"|'[^']*')*)>""",
+    re.S | re.I,
+)
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|([^\s=/"']+)""", re.S)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORDS = re.compile(r"[a-z]+")
@@ -123,10 +131,28 @@ def _named(tag: str, attributes: str) -> Element:
     return Element(tag, ".".join([tag, *sorted(words)]), frozenset(words), hidden)
 
 
+def _nested_ends(html: str) -> dict[int, int]:
+    """Where elements of ``NESTED`` that have an end tag start and end."""
+    found: dict[int, int] = {}
+    opened: dict[str, list[int]] = {tag: [] for tag in NESTED}
+    for m in _NESTED.finditer(html):
+        if not m[3]:
+            continue
+        starts = opened[m[3].lower()]
+        if not m[2]:
+            if not m[4].endswith("/"):
+                starts.append(m.start())
+        elif starts:
+            found[starts.pop()] = m.end()
+    return found
+
+
 def page_tree(html: str) -> Element:
     """The page as a tree of block elements below one root."""
     root = Element("#page", "#page", frozenset())
     stack, at, end = [root], 0, len(html)
+    ends: dict[int, int] | None = None
+    unended: set[str] = set()
     while at < end:
         m = _TAG.search(html, at)
         start = m.start() if m else end
@@ -138,14 +164,26 @@ def page_tree(html: str) -> Element:
         if not m[2]:
             continue
         closing, tag = bool(m[1]), m[2].lower()
-        if not closing and tag in RAW:
-            over = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-            if tag == "head" or not over:
-                # a head without an end stops at the body, other raw content at the end of the page
-                body = re.compile(r"<body\b|</head\b[^>]*>", re.I).search(html, at) if tag == "head" else None
-                at = (body.start() if body[0].lower() == "<body" else body.end()) if body else (at if tag == "head" else end)
-            else:
-                at = over.end()
+        if not closing and tag == "head":  # without an end it stops at the body
+            body = re.compile(r"<body\b|</head\b[^>]*>", re.I).search(html, at)
+            if body:
+                at = body.start() if body[0].lower() == "<body" else body.end()
+            continue
+        if not closing and (tag in RAW or tag in NESTED):
+            if (m[3] or "").endswith("/") and tag not in TO_END:
+                continue
+            if tag in NESTED:
+                if ends is None:
+                    ends = _nested_ends(html)
+                at = ends.get(start, at)  # without an end only the tag goes
+            elif tag not in unended:
+                over = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
+                if over:
+                    at = over.end()
+                elif tag in TO_END:
+                    at = end
+                else:
+                    unended.add(tag)
             continue
         if tag == "br":
             stack[-1].parts.append(" ")
@@ -161,12 +199,12 @@ def page_tree(html: str) -> Element:
         side = element.hidden or _is_side(tag, element.words, True)
         if tag not in BLOCK and not side:
             continue  # inline: its text belongs to what is around it
-        ends, scope = IMPLIED_ENDS.get(tag, ({"p"}, SCOPES))
+        implied, scope = IMPLIED_ENDS.get(tag, ({"p"}, SCOPES))
         if tag in BLOCK:
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ends:
+                if stack[i].tag in implied:
                     del stack[i:]
-                if i < len(stack) and stack[i].tag in scope and stack[i].tag not in ends:
+                if i < len(stack) and stack[i].tag in scope and stack[i].tag not in implied:
                     break
         if len(stack) <= DEPTH:
             stack[-1].parts.append(element)

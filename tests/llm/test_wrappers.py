@@ -191,3 +191,25 @@ def test_copies_in_parts_of_a_host():
     for part in parts:
         whole.add(wrappers.Wrapper.loaded(part.dumped()))
     assert whole.plan()[1] == frozenset()
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>a <svg class='i'/> b<p>c</article><svg><text>no</text></svg>", "a b\nc"),
+        ("<article>a<object data='x'/>b<iframe src='x'/>c<math/>d<template/>e<select/>f</article>", "abcdef"),
+        ("<article>a<svg><p>b</p><svg><text>no</text></svg>c</article>", "a\nb\nc"),
+        ("<article>a<svg><svg/><g><svg><text>no</text></svg></g>no</svg>b</article>", "ab"),
+        ("<article>a<template>b</article>", "ab"),
+        ("<article>a<iframe src='x'><p>b</p><iframe>no</iframe>c</article>", "a\nb\nc"),
+        ("<article>a<select>b</article>", "ab"),
+        ("<article>a<iframe>b<noscript>c<iframe>d</article>", "abcd"),
+        ("<article>a<template><p>no</template><select><option>no</select><noscript>no</noscript><iframe>no</iframe>b</article>", "ab"),
+        ("<article>If <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> then</article>", "If x=2 then"),
+        ("<article>a <object data='x'><p>fallback</p></object> b</article>", "a\nfallback\nb"),
+        ("<article>a<svg><!-- </svg> --><script>'</svg>'</script></svg>b<script>c", "ab"),
+        ("<svg>" * 20_000 + "a", "a"),
+    ],
+)
+def test_raw_elements_take_no_text(page, text):
+    assert text_of(page) == text
