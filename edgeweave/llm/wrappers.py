@@ -3,7 +3,8 @@
 **Pages as token streams.** A page is read once into a tree of block elements; inline tags vanish into
 the text around them, scripts, styles, drawings, lists of choices and comments are skipped, missing
 end tags are implied. An
-element's label is its tag with the tokens of its class, without digits; a run of text is the label ``#``.
+element's label is its tag with the tokens of its class, without digits; a run of text is the label ``#``, or
+``@`` if only links have letters in it; ``@@`` marks several links in a row or several children of links.
 
 **Inference.** A wrapper gives, for the children of each element, a sequence of labels in which every
 label stands once: optional (``?``) where some page has none, repeated (``+``) where some page has several;
@@ -16,13 +17,15 @@ three pages whose other texts differ, so that copies of a page never make a temp
 Every task folds the pages that it reads into one wrapper per host, and those are folded again per
 host, so a host with a third of all pages sends one small row per task. Inference covers all pages.
 The order of folding changes neither which labels a wrapper has nor which texts are constant, and
-extraction depends on nothing else.
+extraction depends on nothing else: the marks ``?`` and ``+`` and the order of labels describe the host,
+but choose no text.
 
 **Extraction.** The wrapper names the paths at which its host's pages have containers of main text:
 main elements, articles, elements named like content. A page is matched against these paths. Its
 text comes from the main element, if that has as much as the articles; else from an element named
 like content with more text outside articles than in them; else from the articles, or from the
-whole page if no container has text. What stands around the articles of a container counts without
+whole page if no container has text, without link lists: elements that have repeated links (``@@``)
+and on no page of the host a text slot (``#``) in them. What stands around the articles of a container counts without
 the slots whose text is constant on the host. Elements whose tag or
 class says menu, header, footer, sidebar, notice, advert, form or comment are left out, as are
 slots of the wrapper with constant text outside the containers. A class says so by a whole token
@@ -91,6 +94,10 @@ _WORDS = re.compile(r"[a-z]+")
 _MASK = (1 << 63) - 1
 
 
+class Link(str):
+    """Text inside a link."""
+
+
 class Element:
     """A block element: ``parts`` are texts and elements in page order."""
 
@@ -153,11 +160,13 @@ def page_tree(html: str) -> Element:
     stack, at, end = [root], 0, len(html)
     ends: dict[int, int] | None = None
     unended: set[str] = set()
+    link = False
     while at < end:
         m = _TAG.search(html, at)
         start = m.start() if m else end
         if start > at:
-            stack[-1].parts.append(unescape(html[at:start]))
+            text = unescape(html[at:start])
+            stack[-1].parts.append(Link(text) if link else text)
         if not m:
             break
         at = m.end()
@@ -188,6 +197,8 @@ def page_tree(html: str) -> Element:
         if tag == "br":
             stack[-1].parts.append(" ")
             continue
+        if tag == "a":
+            link = not closing and "href" in (m[3] or "").lower()
         if closing:
             _close(stack, tag)
             continue
@@ -280,18 +291,38 @@ def aligned(a: list, b: list) -> list:
 
 def page_expression(element: Element) -> list:
     """The children of an element as a folded sequence."""
-    items, text = [], False
+    items: list = []
+    run: list[str] = []
+    links = 0
+
+    def end_of_run() -> None:
+        nonlocal links
+        if any(p.strip() for p in run):
+            told = [p for p in run if any(map(str.isalnum, p))]
+            linked = bool(told) and all(isinstance(p, Link) for p in told)
+            items.append(["@" if linked else "#", False, False, []])
+            links += len(told) if linked else 0
+        run.clear()
+
     for part in element.parts:
         if isinstance(part, str):
-            if not text and part.strip():
-                items.append(["#", False, False, []])
-                text = True
-        else:
-            items.append([part.label, False, False, page_expression(part)])
-            text = False
+            run.append(part)
+            continue
+        end_of_run()
+        items.append([part.label, False, False, page_expression(part)])
+        slots = _slot_labels(items[-1][3])
+        links += "@" in slots and "#" not in slots
+    end_of_run()
+    if links > 1:
+        items.append(["@@", False, False, []])
     return folded(items)
 
 
+def _slot_labels(items: list) -> set[str]:
+    """Which of ``#``, ``@`` and ``@@`` stand anywhere in a sequence."""
+    return {i[0] for i in items if i[0] in ("#", "@", "@@")}.union(*(_slot_labels(i[3]) for i in items))
+
+
 def _is_marked(tag: str, words: frozenset, inside: bool) -> bool:
     """Whether its class says that an element is no main text; a header is none, outside the article."""
     if tag in KEPT_TAGS:
@@ -368,8 +399,8 @@ class Wrapper:
     def loaded(text: str) -> Wrapper:
         return Wrapper(*json.loads(text))
 
-    def plan(self) -> tuple[list[frozenset], frozenset]:
-        """Paths of articles, main elements and elements named like main or content, and of slots with constant text."""
+    def plan(self) -> tuple[list[frozenset], frozenset, frozenset]:
+        """Paths of articles, main elements and elements named like main or content, of constant slots, and of link lists."""
         kinds: list[set] = [set(), set(), set(), set()]
 
         def walk(items: list, path: str) -> None:
@@ -396,7 +427,20 @@ class Wrapper:
 
         walk(self.items or [], "")
         still = frozenset(p for p, (text, others) in self.slots.items() if text is not None and len(others) >= CONSTANT_PAGES)
-        return [frozenset(k) for k in kinds], still
+        lists: set[str] = set()
+
+        def walk_lists(items: list, path: str) -> set[str]:
+            found = set()
+            for label, _, _, children in items:
+                here = path if label == "(" else f"{path}/{label}"
+                below = walk_lists(children, here)
+                if label != "(" and "@@" in below and "#" not in below:
+                    lists.add(here)
+                found |= below | ({label} if label in ("#", "@@") else set())
+            return found
+
+        walk_lists(self.items or [], "")
+        return [frozenset(k) for k in kinds], still, frozenset(lists)
 
 
 Found = list[tuple[Element, str]]
@@ -429,8 +473,8 @@ def _length(element: Element, inside: bool) -> int:
     return own + sum(_length(p, inside) for p in below)
 
 
-def _text(elements: Found, constants: frozenset, inside: bool, articles: bool = True) -> str:
-    """Blocks of the text of elements without side matter and constant slots, joined by line breaks."""
+def _text(elements: Found, constants: frozenset, inside: bool, articles: bool = True, lists: frozenset = frozenset()) -> str:
+    """Blocks of the text of elements without side matter, constant slots and link lists, joined by line breaks."""
     blocks: list[list[str]] = [[]]
     whole: list[int] = []
 
@@ -452,8 +496,9 @@ def _text(elements: Found, constants: frozenset, inside: bool, articles: bool =
             if block:
                 blocks.append([])
             left = part.hidden or _is_side(part.tag, part.words, inside) or (part.tag == "article" and not articles)
-            if not left and not is_form(part):
-                walk(part, f"{path}/{part.label}")
+            here = f"{path}/{part.label}"
+            if not left and here not in lists and not is_form(part):
+                walk(part, here)
             if block:
                 blocks.append([])
 
@@ -464,7 +509,7 @@ def _text(elements: Found, constants: frozenset, inside: bool, articles: bool =
     return "\n".join(t for t in texts if t)
 
 
-def main_text(root: Element, kinds: list[frozenset], constants: frozenset) -> str:
+def main_text(root: Element, kinds: list[frozenset], constants: frozenset, lists: frozenset = frozenset()) -> str:
     """Blocks of the main text, joined by line breaks, by the plan of the wrapper that covers the page.
 
     Marks of side matter do not count on what holds the page's only article or, if the page has no other
@@ -483,7 +528,7 @@ def main_text(root: Element, kinds: list[frozenset], constants: frozenset) -> st
     if in_articles:
         return in_articles
     text = _text(lone, frozenset(), True) if len(lone) == 1 else ""
-    text = text or _text([(root, "")], constants, False)
+    text = text or _text([(root, "")], constants, False, lists=lists) or _text([(root, "")], constants, False)
     return text or next((t for _, m in found if (t := _text(m, frozenset(), True))), "")
 
 

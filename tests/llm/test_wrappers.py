@@ -213,3 +213,16 @@ def test_copies_in_parts_of_a_host():
 )
 def test_raw_elements_take_no_text(page, text):
     assert text_of(page) == text
+
+
+def test_link_lists_that_vary():
+    page = "<body><ul>{}</ul><div><a href='/'>Home</a> | <a href='/x'>Part {}</a></div><h2><a href='#'>Title {}</a></h2>{}</body>"
+    items = lambda i: "".join(f"<li><a href='/{k}'>Link {k}</a>" for k in range(i, i + 1 + i % 3))
+    pages = [page.format(items(i), i, i, f"<p>Story {i}</p><ol><li><a href='/'>Source</a><li>Note {i}</ol>") for i in range(5)]
+    for i in range(5):  # a list of one link is known by the host's other pages, a list with text on some page is text
+        assert text_of(*pages, of=i) == f"Title {i}\nStory {i}\nSource\nNote {i}"
+    mixed = ["<ul><li><a href='/'>A</a><li><a href='/'>B</a></ul><p>c</p>", "<ul><li>Text</ul><p>d</p>"]
+    assert text_of(*mixed) == "A\nB\nc"
+    assert text_of("<ul><li><a href='/'>A</a><li><a href='/'>B</a></ul>") == "A\nB"  # nothing else: the page
+    assert text_of("<article><ul><li><a href='/'>A</a><li><a href='/'>B</a></ul>c</article>") == "A\nB\nc"
+    assert expression(pages[0]).startswith("body[ul[li[@]] div[@ @@] h2[@]")
