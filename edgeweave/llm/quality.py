@@ -8,7 +8,7 @@ eighth of the text; a small dense layer reads each eighth's pooled values togeth
 the whole text, and the mean over the eighths goes through one logistic unit: one probability.
 
 **Training.** At most ``per_class`` labelled ids per class are chosen by a hash of the id among the rows
-that are not held out; their texts of at most ``max_bytes`` bytes train the network in one task.
+that are not held out and have a text of at most ``max_bytes`` bytes; their texts train the network in one task.
 The classes are weighted back to their shares among all labelled rows. Everything else (scores,
 shares) covers all rows.
 """
@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from edgeweave.session import written_table
+
 HALF, LAGS, VECTOR, FILTERS, HIDDEN, PARTS = 16, 48, 4, 24, 12, 8
 PER_CLASS, MAX_BYTES, THRESHOLD = 1500, 16384, 0.3
 EPOCHS, BATCH, RATE, SEED = 12, 32, 0.01, 7
@@ -225,12 +227,22 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_byte
     """The trained network as bytes (some 40 KB), from labelled rows that are not held out.
 
     Rows with a null id, text or label, or a label other than 0 and 1, teach nothing. Without any
-    labelled row the network stays as it starts.
+    labelled row the network stays as it starts. A class whose labels all miss the documents, or stand
+    on texts that are too long, raises.
     """
     wanted = labels.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("quality"))
     wanted = wanted.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("label_id")) & F.col("label_id").isNotNull())
     shares = {r["quality"]: r["rows"] for r in wanted.groupBy("quality").agg(F.count(F.lit(1)).alias("rows")).collect()}
-    wanted = wanted.withColumn("place", F.xxhash64("label_id", F.lit(SEED)))
+    # ids only: labels without a text of fitting length take no place in the sample
+    fitting = docs.filter(F.octet_length(F.col("text").cast("string")) <= max_bytes).select(F.col("doc_id").alias("label_id"))
+    usable, _ = written_table(wanted.join(fitting, "label_id", "left_semi"), "labels")
+    taught = {r["quality"] for r in usable.select("quality").distinct().collect()}
+    for y in sorted(set(shares) - taught):
+        empty = docs.filter(F.col("text").isNull()).select(F.col("doc_id").alias("label_id"))
+        missed = wanted.filter(F.col("quality") == y).join(empty, "label_id", "left_anti")
+        if docs.limit(1).count() and missed.limit(1).count():
+            raise ValueError(f"no document of at most {max_bytes} bytes has one of the {shares[y]} labels of quality {y}")
+    wanted = usable.withColumn("place", F.xxhash64("label_id", F.lit(SEED)))
     picked = [wanted.filter(F.col("quality") == y).orderBy("place", "label_id").limit(per_class) for y in (0, 1)]
     short = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     short = short.filter(F.octet_length("text") <= max_bytes)

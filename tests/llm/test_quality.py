@@ -73,3 +73,17 @@ def test_odd_rows(spark):
     assert not next(r for r in rows if r.doc_id is None).held_out
     assert len({r.score for r in rows if r.doc_id in (1, 2)}) == 1  # null and empty alike
     assert quality.quality_scores(docs.limit(0), labels.limit(0)).collect() == []
+
+
+def test_training_ids_stand_in_documents_of_fitting_length(spark):
+    docs = spark.createDataFrame([(i, ("long " * 100 if i % 2 else "text ") + str(i)) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i // 2 % 2, 0) for i in range(4000)], "doc_id long, quality int, toxic int")
+    # most labels have no document, half of the texts are long
+    model = quality._unpacked(quality.fit(docs, labels, per_class=5, max_bytes=100))
+    start = quality._start(np.random.default_rng(quality.SEED))
+    assert any((model[k] != start[k]).any() for k in start)
+    with pytest.raises(ValueError, match="no document of at most 100 bytes"):
+        quality.fit(docs.filter("doc_id % 2 = 1"), labels, max_bytes=100)
+    with pytest.raises(ValueError, match="quality 1"):
+        quality.fit(docs, labels.filter("quality = 0 or doc_id >= 40"), max_bytes=100)
+    assert quality.quality_scores(docs.limit(0), labels).collect() == []
