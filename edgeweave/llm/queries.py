@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edgeweave.llm import graph_index, mixing, packing, quality, simhash, suffixes, topk, url_filter, warc, wrappers
+from edgeweave.llm import (
+    divergence,
+    graph_index,
+    mixing,
+    packing,
+    pii,
+    quality,
+    resampling,
+    simhash,
+    suffixes,
+    topk,
+    url_filter,
+    warc,
+    wrappers,
+)
 from edgeweave.sources.derived import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +77,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op12_head_tail_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_count_cell_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -75,6 +101,9 @@ def queries() -> dict[str, Query]:
         "op8_warc_members": op8_warc_members,
         "op9_graph_neighbours": op9_graph_neighbours,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op11_weak_pii": op11_weak_pii,
+        "op12_head_tail_resampling": op12_head_tail_resampling,
+        "op13_count_cell_audit": op13_count_cell_audit,
     }
 
 
@@ -84,4 +113,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_temperature_mixing": mixing.MIXTURE_SQL,
         "op7_url_verdicts": url_filter.url_verdicts_sql(),
         "op8_warc_members": warc.ARCHIVED_SQL,
+        "op12_head_tail_resampling": resampling.RESAMPLED_SQL,
+        "op13_count_cell_audit": divergence.AUDIT_SQL,
     }
