@@ -11,13 +11,12 @@ from edgeweave.functions.skew import (
     HEAVY_FLOOR,
     cell_of,
     every_cell,
-    fits_broadcast,
     heavy_line,
     repeat_rows,
 )
 from edgeweave.operators.degrees import link_degrees, link_lists, product_type
 from edgeweave.operators.edges import link_counts
-from edgeweave.session import written_table
+from edgeweave.session import counted_table
 
 STRATEGIES = ("auto", "merge", "shuffle_hash", "broadcast", "adjacency", "salted")
 PAIRS = 1_000_000  # pairs of a way in and a way out that one cell may hold
@@ -88,14 +87,22 @@ def grid_of(sizes: DataFrame, key: str, budget: int) -> DataFrame:
     return crowded.select(key, parts(ins, outs).alias("in_parts"), parts(outs, ins).alias("out_parts"))
 
 
-def grid_join(first: DataFrame, second: DataFrame, key: str, grid: DataFrame, spread: tuple[str, str], salts: int = 1, hint: str | None = None) -> DataFrame:
+def grid_join(first: DataFrame, second: DataFrame, key: str, grid: DataFrame | None, spread: tuple[str, str], salts: int = 1, hint: str | None = None) -> DataFrame:
     """Join ways in (``first``) to ways out (``second``) of ``key``, crowded nodes spread over a grid of cells.
 
     A way in picks a row of the grid by a hash of ``spread[0]`` and goes to all its columns, a way out
     picks a column and goes to all its rows, so each pair meets in exactly one cell. ``grid`` comes in
     by an ordinary join: it may be long, so Spark broadcasts it only when it finds it small, and
-    splits the rows of a hub otherwise. ``salts`` is the least number of cells per side of every key.
+    splits the rows of a hub otherwise; None stands for no crowded node. ``salts`` is the least number of
+    cells per side of every key.
     """
+    if grid is None and salts == 1:
+        return first.join(second.hint(hint) if hint else second, key)
+    if grid is None:
+        count = F.lit(salts).cast("long")
+        left = first.withColumns({"gx": cell_of(count, F.col(spread[0])), "gy": every_cell(count)})
+        right = second.withColumns({"gx": every_cell(count), "gy": cell_of(count, F.col(spread[1]))})
+        return left.join(right.hint(hint) if hint else right, [key, "gx", "gy"]).drop("gx", "gy")
     ins, outs = (F.greatest(F.coalesce(c, F.lit(1).cast("long")), F.lit(salts).cast("long")) for c in ("in_parts", "out_parts"))
     left = first.join(grid, key, "left").withColumns({"gx": cell_of(ins, F.col(spread[0])), "gy": every_cell(outs)})
     right = second.join(grid, key, "left").withColumns({"gx": every_cell(ins), "gy": cell_of(outs, F.col(spread[1]))})
@@ -103,9 +110,13 @@ def grid_join(first: DataFrame, second: DataFrame, key: str, grid: DataFrame, sp
     return left.drop("in_parts", "out_parts").join(right.hint(hint) if hint else right, [key, "gx", "gy"]).drop("gx", "gy")
 
 
-def _grid_join(links: DataFrame, hint: str | None, budget: int, salts: int) -> DataFrame:
-    """First hops joined to second hops on the middle node."""
-    grid = grid_of(node_degrees(links).withColumnRenamed("node", "b"), "b", budget)
+def _grid_join(links: DataFrame, rows: int, hint: str | None, budget: int, salts: int) -> DataFrame:
+    """First hops joined to second hops on the middle node; with r links no node centres more than r * r / 4 pairs."""
+    grid = None
+    if rows * rows > 4 * budget:
+        sizes = node_degrees(links).withColumnRenamed("node", "b")
+        grid, _, nodes = counted_table(grid_of(sizes, "b", budget), "grid")
+        grid = None if not nodes else F.broadcast(grid) if nodes <= BROADCAST_ROWS else grid
     return grid_join(_first_hops(links), _second_hops(links), "b", grid, ("a", "c"), salts, hint)
 
 
@@ -137,14 +148,13 @@ def two_paths(
     be at most ``max_broadcast_rows``; else, and for ``auto``, the grid join runs with the join Spark picks.
     """
     _check(strategy)
-    links, shipped = link_counts(edges), {"broadcast": _broadcast_join, "adjacency": _adjacency_join}
-    if strategy in shipped:
-        links, _ = written_table(links, "links")  # counted first, then read, not computed twice
-    if strategy in shipped and fits_broadcast(links, max_broadcast_rows):
+    shipped = {"broadcast": _broadcast_join, "adjacency": _adjacency_join}
+    links, _, rows = counted_table(link_counts(edges), "links")
+    if strategy in shipped and rows <= max_broadcast_rows:
         pairs = shipped[strategy](links)
     else:
         hint = strategy if strategy in ("merge", "shuffle_hash") else None
-        pairs = _grid_join(links, hint, budget, salts if strategy == "salted" else 1)
+        pairs = _grid_join(links, rows, hint, budget, salts if strategy == "salted" else 1)
     open_pairs = pairs.filter(F.col("a") != F.col("c"))
     if distinct:
         return open_pairs.select("a", "b", "c")
@@ -185,8 +195,8 @@ def two_path_counts(
     onward = _onward(links, strategy == "adjacency")
     hops, on = _first_hops(links), ["b"]
     if strategy in ("broadcast", "adjacency"):
-        onward, _ = written_table(onward, "onward")
-        onward = F.broadcast(onward) if fits_broadcast(onward, max_broadcast_rows) else onward
+        onward, _, rows = counted_table(onward, "onward")
+        onward = F.broadcast(onward) if rows <= max_broadcast_rows else onward
     elif strategy == "salted":
         count, on = F.lit(salts).cast("long"), ["b", "salt"]
         hops, onward = hops.withColumn("salt", cell_of(count, F.col("a"))), onward.withColumn("salt", every_cell(count))

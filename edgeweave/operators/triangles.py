@@ -11,19 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from edgeweave.functions.skew import (
-    BROADCAST_ROWS,
-    HEAVY_FLOOR,
-    cell_of,
-    every_cell,
-    fits_broadcast,
-    join_in_cells,
-)
+from edgeweave.functions.skew import BROADCAST_ROWS, HEAVY_FLOOR, cell_of, every_cell, join_in_cells
 from edgeweave.operators.edges import link_counts
 from edgeweave.operators.paths import PAIRS, degree_line, grid_join, grid_of, hub_nodes, node_degrees, parts_of
-from edgeweave.session import written_table
+from edgeweave.session import counted_table
 
 STRATEGIES = ("auto", "merge", "shuffle_hash", "broadcast")
+FILTER_BITS = 1 << 26  # of the membership filter: at most 2 ** 20 words of 64 bits
 KINDS = ("multi", "distinct", "semi")
 
 
@@ -38,8 +32,8 @@ def _check(strategy: str, kind: str = "multi") -> None:
         raise ValueError(f"kind must be one of {KINDS}")
 
 
-def _settle(ranked: DataFrame, strategy: str, max_rows: int) -> str:
-    return "auto" if strategy == "broadcast" and not fits_broadcast(ranked, max_rows) else strategy
+def _settle(rows: int, strategy: str, max_rows: int) -> str:
+    return "auto" if strategy == "broadcast" and rows > max_rows else strategy
 
 
 def _ranked(links: DataFrame, floor: int) -> DataFrame:
@@ -58,39 +52,59 @@ def _ranked(links: DataFrame, floor: int) -> DataFrame:
     return out.withColumns({f"{end}_parts": parts_of(F.col(f"{end}_degree"), line) for end in ("src", "dst")})
 
 
-def ranked_links(edges: DataFrame, floor: int = HEAVY_FLOOR) -> DataFrame:
-    """Counted links with the degree and cell count of both ends, as a table in the shared folder.
+def ranked_links(edges: DataFrame, floor: int = HEAVY_FLOOR) -> tuple[DataFrame, int]:
+    """Counted links with the degree and cell count of both ends, as a table in the shared folder, and their number.
 
     The search reads it three times (ways out, ways in, closing links). Written once, the joins
     that attach the degrees are not repeated, and a lost executor costs a scan.
     """
-    return written_table(_ranked(link_counts(edges), floor), "ranked-links")[0]
+    table, _, rows = counted_table(_ranked(link_counts(edges), floor), "ranked-links")
+    return table, rows
 
 
-def _wedges(ranked: DataFrame, strategy: str, budget: int = PAIRS) -> DataFrame:
+def ascending() -> Column:
+    """Whether a ranked link leads to the higher end, in the order of degree, then id; loops do not."""
+    return (F.col("src_degree") < F.col("dst_degree")) | (
+        (F.col("src_degree") == F.col("dst_degree")) & (F.col("src") < F.col("dst"))
+    )
+
+
+def _grid(ranked: DataFrame, rows: int, budget: int) -> DataFrame | None:
+    """The grid of the nodes whose ways make more than ``budget`` pairs, as a table of known size; None without any.
+
+    A node has at most ``2 * sqrt(rows)`` ways in and out together, beside a loop, so few links have none.
+    """
+    if 2 * rows <= budget:
+        return None
+    up = ascending()
+    ways = ranked.select(
+        F.when(up, F.col("src")).otherwise(F.col("dst")).alias("v"),
+        F.when(up, 0).otherwise(1).cast("long").alias("ins"),
+        F.when(up, 1).otherwise(0).cast("long").alias("outs"),
+    )
+    sizes = ways.groupBy("v").agg(F.sum("ins").alias("ins"), F.sum("outs").alias("outs"))
+    grid, _, nodes = counted_table(grid_of(sizes, "v", budget), "grid")
+    if not nodes:
+        return None
+    return F.broadcast(grid) if nodes <= BROADCAST_ROWS else grid
+
+
+def _wedges(ranked: DataFrame, rows: int, strategy: str, budget: int = PAIRS) -> DataFrame:
     """Paths u -> v -> w around their lowest node v, with ``salts``, the cells of the pair (w, u).
 
     Each link joins in on one side only: as way out of its lower end, or as way into it. A loop is
     a way into its node, so that walks through one loop are found too. The grid that splits a
     crowded v is sized by the ways that are left after this choice, not by v's degree.
     """
-    up = (F.col("src_degree") < F.col("dst_degree")) | (
-        (F.col("src_degree") == F.col("dst_degree")) & (F.col("src") < F.col("dst"))
-    )
+    up = ascending()
     out = ranked.filter(up).select(
         F.col("src").alias("v"), F.col("dst").alias("w"), F.col("n").alias("n_vw"), F.col("dst_parts").alias("w_parts")
     )
     into = ranked.filter(~up).select(
         F.col("dst").alias("v"), F.col("src").alias("u"), F.col("n").alias("n_uv"), F.col("src_parts").alias("u_parts")
     )
-    ways = ranked.select(
-        F.when(up, F.col("src")).otherwise(F.col("dst")).alias("v"),
-        F.when(up, 0).otherwise(1).cast("long").alias("ins"),
-        F.when(up, 1).otherwise(0).cast("long").alias("outs"),
-    )
-    sizes = ways.groupBy("v").agg(F.sum("ins").alias("ins"), F.sum("outs").alias("outs"))
     hint = None if strategy == "auto" else strategy
-    met = grid_join(into, out, "v", grid_of(sizes, "v", budget), ("u", "w"), hint=hint)
+    met = grid_join(into, out, "v", _grid(ranked, rows, budget), ("u", "w"), hint=hint)
     return met.select("v", "w", "u", "n_vw", "n_uv", F.least("w_parts", "u_parts").alias("salts"))
 
 
@@ -110,12 +124,42 @@ def _closed(wedges: DataFrame, ranked: DataFrame, strategy: str) -> DataFrame:
     return found.select("v", "w", "u", "n_vw", "n_wu", "n_uv")
 
 
+def _spot(first: str, second: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(first, second), F.lit(bits))
+
+
+def pair_filter(links: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """A bitmap of the hashed ``(src, dst)`` pairs, ``(word, members)``: at most ``bits / 64`` rows, whatever the links."""
+    spots = links.select(_spot("src", "dst", bits).alias("spot"))
+    words = spots.selectExpr("shiftright(spot, 6) as word", "shiftleft(1L, cast(spot & 63 as int)) as bit")
+    return words.groupBy("word").agg(F.bit_or("bit").alias("members"))
+
+
+def possible_pairs(rows: DataFrame, first: str, second: str, members: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows whose ``(first, second)`` the filter may hold: all that it holds, and some more by equal hashes."""
+    spotted = rows.withColumn("spot", _spot(first, second, bits)).withColumn("word", F.expr("shiftright(spot, 6)"))
+    met = spotted.join(F.broadcast(members), "word")  # at most bits / 64 rows
+    return met.filter("getbit(members, cast(spot & 63 as int)) = 1").select(*rows.columns)
+
+
 def closed_walks(
-    ranked: DataFrame, strategy: str = "auto", max_broadcast_rows: int = BROADCAST_ROWS, budget: int = PAIRS
+    ranked: DataFrame,
+    rows: int,
+    strategy: str = "auto",
+    max_broadcast_rows: int = BROADCAST_ROWS,
+    budget: int = PAIRS,
+    filter_bits: int | None = None,
 ) -> DataFrame:
-    """Closed walks of three edges over at least two nodes, each once: ``(v, w, u, n_vw, n_wu, n_uv)``."""
-    strategy = _settle(ranked, strategy, max_broadcast_rows)
-    return _closed(_wedges(ranked, strategy, budget), ranked, strategy)
+    """Closed walks of three edges over at least two nodes, each once: ``(v, w, u, n_vw, n_wu, n_uv)``.
+
+    ``filter_bits`` checks the ends of a path against a bitmap of that many bits of all links before the
+    path is shuffled to its closing link; the join after it decides. It pays where few paths close.
+    """
+    strategy = _settle(rows, strategy, max_broadcast_rows)
+    wedges = _wedges(ranked, rows, strategy, budget)
+    if filter_bits:
+        wedges = possible_pairs(wedges, "w", "u", pair_filter(ranked, filter_bits), filter_bits)
+    return _closed(wedges, ranked, strategy)
 
 
 def _loops(ranked: DataFrame) -> DataFrame:
@@ -146,6 +190,7 @@ def triangles(
     max_broadcast_rows: int = BROADCAST_ROWS,
     wide: bool = False,
     budget: int = PAIRS,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """Every rotation of every closed walk as ``(a, b, c, copies)``.
 
@@ -153,11 +198,16 @@ def triangles(
     does. ``distinct`` ignores repeated edges. ``semi`` takes a -> b from the raw edges and only
     tests whether b -> c and c -> a exist, so ``copies`` is that of a -> b and a = c may occur. A
     product of copies beyond 63 bits raises; ``wide`` gives decimals. ``floor`` and ``budget`` size the
-    cells and do not change the rows.
+    cells, ``filter_bits`` a membership filter before the closing join; none changes the rows.
     """
     _check(strategy, kind)
-    ranked = ranked_links(edges, floor)
-    walks = closed_walks(ranked, strategy, max_broadcast_rows, budget)
+    ranked, count = ranked_links(edges, floor)
+    walks = closed_walks(ranked, count, strategy, max_broadcast_rows, budget, filter_bits)
+    return rotated(walks, ranked, kind, wide)
+
+
+def rotated(walks: DataFrame, ranked: DataFrame, kind: str = "multi", wide: bool = False) -> DataFrame:
+    """The rows of ``triangles`` from closed walks."""
 
     def turn(a: str, b: str, c: str) -> Column:
         copies = _copies(kind, f"n_{a}{b}", f"n_{b}{c}", f"n_{c}{a}", wide)
@@ -173,11 +223,19 @@ def triangles(
 
 
 def triangles_canonical(
-    edges: DataFrame, strategy: str = "auto", floor: int = HEAVY_FLOOR, budget: int = PAIRS
+    edges: DataFrame,
+    strategy: str = "auto",
+    floor: int = HEAVY_FLOOR,
+    budget: int = PAIRS,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """Each cycle of three different nodes once, smallest id first."""
     _check(strategy)
-    walks = closed_walks(ranked_links(edges, floor), strategy, budget=budget)
+    return canonical(closed_walks(*ranked_links(edges, floor), strategy, budget=budget, filter_bits=filter_bits))
+
+
+def canonical(walks: DataFrame) -> DataFrame:
+    """The rows of ``triangles_canonical`` from closed walks."""
     walks = walks.filter((F.col("v") != F.col("u")) & (F.col("w") != F.col("u")))
     v, w, u = F.col("v"), F.col("w"), F.col("u")
     low = F.least(v, w, u)
@@ -222,9 +280,9 @@ def triangle_count(
     after the closing join, which moves only sums. A count beyond 63 bits raises, ``wide`` gives decimals.
     """
     _check(strategy, kind)
-    ranked = ranked_links(edges, floor)
-    strategy = _settle(ranked, strategy, max_broadcast_rows)
-    wedges = _wedges(ranked, strategy, budget)
+    ranked, count = ranked_links(edges, floor)
+    strategy = _settle(count, strategy, max_broadcast_rows)
+    wedges = _wedges(ranked, count, strategy, budget)
     total = F.sum(F.col("rows"))
     number = "decimal(38,0)" if wide else "long"
     rows = lambda scaled, plain, n: (scaled.cast(number) * n + plain).cast(number).alias("rows")

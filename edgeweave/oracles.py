@@ -23,6 +23,7 @@ e as materialized (
   union all select 3 * s_nationkey::bigint + 2, 3 * s_suppkey from supplier),
 l as materialized (select src, dst, count(*) as n from e group by src, dst)"""
 
+QUARTER = "(select max(l_partkey) // 4 from lineitem)"
 CAP = "(select max(l_partkey) // 2 from lineitem)"
 
 
@@ -30,7 +31,17 @@ def _parts(select: str) -> str:
     return f"with {PARTS}\n{select}"
 
 
-def _rank_steps(iterations: int, graph: str, copies: str = "1") -> str:
+def _sum(x: str, exact: bool) -> str:
+    """A floating sum, or one in multiples of 2 ** -60 and, for the rest, 2 ** -90."""
+    if not exact:
+        return f"sum({x})"
+    one, two = "1152921504606846976.0::double", "1073741824.0::double"
+    whole = f"({x} * {one})"
+    high, low = f"sum(floor({whole})::hugeint)", f"sum(floor(({whole} - floor({whole})) * {two})::hugeint)"
+    return f"({high}::double + {low}::double / {two}) / {one}"
+
+
+def _rank_steps(iterations: int, graph: str, copies: str = "1", exact: bool = False) -> str:
     """CTEs r0..rT and d1..dT over links ``l`` and nodes ``v``; ``l`` has no sink, ``v`` its leak."""
     out = [
         f"{graph},\nsize_n as materialized (select count(*) * {copies} as n from v)",
@@ -38,10 +49,10 @@ def _rank_steps(iterations: int, graph: str, copies: str = "1") -> str:
     ]
     for t in range(1, iterations + 1):
         out.append(
-            f"d{t} as materialized (select coalesce(sum(rank * leak), 0) * {copies} as mass from r{t - 1} join v using (id))"
+            f"d{t} as materialized (select coalesce({_sum('rank * leak', exact)}, 0) * {copies} as mass from r{t - 1} join v using (id))"
         )
         out.append(
-            f"c{t} as materialized (select l.dst as id, sum(r.rank / v.outw * l.n) as c"
+            f"c{t} as materialized (select l.dst as id, {_sum('r.rank / v.outw * l.n', exact)} as c"
             f" from l join r{t - 1} r on r.id = l.src join v on v.id = l.src group by l.dst)"
         )
         out.append(
@@ -139,6 +150,8 @@ def oracle_sql() -> dict[str, str]:
     ranks10 = _ranked(10) + "\nselect id, round(rank, 12) as rank from r10"
     sink = PARTS.replace("l as mat", "all_l as mat") + ",\nl as materialized (select * from all_l where dst <> 0)," + SINK_NODES
     sink10 = "with " + _rank_steps(10, sink) + "\nselect id, round(rank, 12) as rank from r10"
+    small = f"(select * from l where src <= {QUARTER} and dst <= {QUARTER})"
+    quarter = PATHS.replace("from l x join l y", f"from {small} x join {small} y")
     few = f"(select src, dst, n from l where src <= {CAP} and dst <= {CAP})"
     few_cycles = f"select a, b, c, copies from ({CYCLES.replace('l x', few + ' x').replace('l y', few + ' y').replace('l z', few + ' z')}) where a <> c"
     canonical = f"select a, b, c from ({CYCLES}) where a < b and a < c and b <> c"
@@ -159,6 +172,7 @@ def oracle_sql() -> dict[str, str]:
         "sink_roundtrip_csv": edges,
         "sink_roundtrip_tab": edges,
         "edges_cap": _parts(f"select src, dst from {capped}"),
+        "edges_cap_by_files": _parts(f"select src, dst from {capped}"),
         "edges_beyond_cap": _parts(f"select src, dst from {beyond}"),
         "reverse_edges": _parts("select dst as src, src as dst from e"),
         "edges_distinct": _parts("select distinct src, dst from e"),
@@ -196,6 +210,7 @@ def oracle_sql() -> dict[str, str]:
         "two_paths_rows": _parts(
             "select x.src as a, x.dst as b, y.dst as c from e x join e y on y.src = x.dst where x.src <> y.dst"
         ),
+        **{f"two_paths_list_{s}": _parts(quarter) for s in ("auto", "shuffle", "merge", "broadcast", "adjacency", "salted")},
         "two_paths_count": _parts(f"select cast(sum(copies) as bigint) as n from ({PATHS})"),
         "triangles": _parts(open_cycles),
         "triangles_merge": _parts(open_cycles),
@@ -213,6 +228,10 @@ def oracle_sql() -> dict[str, str]:
         "triangles_canonical": _parts(canonical),
         "triangles_capped": _parts(few_cycles),
         "triangle_count_capped": _count(few_cycles),
+        "triangles_intersect": _parts(open_cycles),
+        "triangles_intersect_trade": f"with {TRADE}\n{canonical}",
+        "triangles_filtered": _parts(open_cycles),
+        "triangles_filtered_trade": f"with {TRADE}\n{canonical}",
         "triangles_trade": f"with {TRADE}\n{canonical}",
         "triangle_count_trade": _count(open_cycles).replace(PARTS, TRADE),
         "cap_profile": _profile(),
@@ -226,6 +245,10 @@ def oracle_sql() -> dict[str, str]:
         "pagerank_dangling_mass": _ranked(10, SERVED) + "\n" + masses,
         "pagerank_sink": sink10,
         "pagerank_trade": _ranked(10, TRADE) + "\nselect id, round(rank, 12) as rank from r10",
+        "pagerank_bucketed": ranks10,
+        "pagerank_every_five": _ranked(10, SERVED) + "\nselect id, round(rank, 12) as rank from r10",
+        "pagerank_exact": "with " + _rank_steps(10, f"{PARTS},{NODES}", exact=True) + "\nselect id, rank from r10",
+        "ranks_partition": _ranked(2, SERVED) + "\nselect id, round(rank, 12) as rank from r2",
         "ranks_roundtrip": _ranked(2, SERVED)
         + "\nselect id, round(rank, 12) as rank from r2 union all select 0, round(mass, 12) from d2",
         "nodes_without_in_links": f"with {SERVED}\nselect distinct src as id from e where src not in (select dst from e)",

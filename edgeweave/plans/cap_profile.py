@@ -27,7 +27,7 @@ def cap_profile(
     def level(largest: Column) -> Column:
         return sum((F.when(as_column(cap) < largest, 1).otherwise(0) for cap in caps), F.lit(0))
 
-    links = ranked_links(edges, floor)
+    links, count = ranked_links(edges, floor)
     measures = ("edges", "walks", "returns", "rows")
 
     def at(df: DataFrame, when: Column, **values: Column) -> DataFrame:
@@ -37,7 +37,7 @@ def cap_profile(
     proper = (F.col("v") != F.col("u")) & (F.col("w") != F.col("u"))
     rows = _product(["n_vw", "n_wu", "n_uv"], wide) * F.when(proper, 3).otherwise(2)
     trips = at(round_trips(links), level(F.greatest("src", "dst")), returns=_product(["n", "back"], wide))
-    cycles = at(closed_walks(links, budget=budget), level(F.greatest("v", "w", "u")), rows=rows)
+    cycles = at(closed_walks(links, count, budget=budget), level(F.greatest("v", "w", "u")), rows=rows)
     hops = at(_hops(links, level, k, wide), F.col("level"), edges=F.col("edges"), walks=F.col("walks"))
 
     together = trips.unionByName(cycles).unionByName(hops)

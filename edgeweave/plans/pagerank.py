@@ -8,31 +8,31 @@ Per iteration, with teleport probability alpha, N nodes and dangling mass D::
 D is the rank of nodes without out-links plus what flows into the optional sink node, which is
 no node of its own. The ranks sum to 1 throughout.
 
-Plan: the links are laid out by source once and persisted over a checkpoint. An iteration moves
+Plan: the links are laid out by source once, in memory or as a bucketed table. An iteration moves
 the ranks to the links (one row per node) and the combined contributions to their targets; the
 links themselves never move again. Links of a hub are spread over cells, see
-``functions.skew``. Each iteration reads the previous ranks twice (links, dangling mass), so
-it is checkpointed: without that the plan would double at every step.
+``functions.skew``. The ranks of an iteration are written to the shared folder, which is also when their
+dangling mass is summed (it is observed, so no job of its own reads them again), and the ones before
+are removed.
+
+**Several steps a write.** With ``every`` = c only each c-th iteration is written. The steps between stay one
+linear plan: P being the step without teleport, c steps from r need only the vectors ``P^j r`` and ``P^j 1``,
+which travel side by side, and the masses follow from their sums when they are written. Each node has a
+link to itself of weight 0 that carries what it holds to the next step, so no step is read twice.
+
+**Equal bits.** Floating sums depend on the order in which tasks finish. With ``exact`` contributions are
+added as whole multiples of 2 ** -90, in two longs, which gives the same ranks in every run and partitioning.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from edgeweave.functions.skew import (
-    BROADCAST_ROWS,
-    HEAVY_FLOOR,
-    cell_of,
-    every_cell,
-    fits_broadcast,
-    heavy_line,
-    join_in_cells,
-)
+from edgeweave.functions.skew import BROADCAST_ROWS, HEAVY_FLOOR, cell_of, every_cell, heavy_line, join_in_cells
 from edgeweave.operators.degrees import BLOCK_WIDTH, heavy_sources, link_blocks
 from edgeweave.operators.edges import link_counts
-from edgeweave.session import cut_lineage, drop_table, written_table
+from edgeweave.operators.layout import bucketed_table, drop_bucketed
+from edgeweave.session import counted_table, cut_lineage, drop_table, written_table
 from edgeweave.sources.generate import copy_chains, one_chain
 
 # Probability of a random jump, and the flag and separators of a step record.
@@ -96,11 +96,29 @@ def _in_cells(links: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def link_layout(links: DataFrame, nodes: DataFrame) -> DataFrame:
     """The links by source and cell, sorted: shuffled once, joined in place by every iteration."""
+    return _by_cell(_in_cells(links, nodes))
+
+
+def _by_cell(links: DataFrame) -> DataFrame:
     partitions = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _in_cells(links, nodes).repartition(partitions, "src", "cell").sortWithinPartitions("src", "cell")
+    return links.repartition(partitions, "src", "cell").sortWithinPartitions("src", "cell")
+
+
+def _fixed_sum(x: Column) -> tuple[Column, Column]:
+    """Sums of ``x`` in multiples of 2 ** -60 and, for the rest, 2 ** -90."""
+    whole = x * F.lit(2.0**60)
+    return F.sum(F.floor(whole)), F.sum(F.floor((whole - F.floor(whole)) * F.lit(2.0**30)))
+
+
+def _float_of(high: Column, low: Column) -> Column:
+    return (high.cast("double") + low.cast("double") / F.lit(2.0**30)) / F.lit(2.0**60)
+
 
+def _summed(x: Column, exact: bool) -> Column:
+    return _float_of(*_fixed_sum(x)) if exact else F.sum(x)
 
-def _contributions(state: DataFrame, layout: DataFrame, small: bool) -> DataFrame:
+
+def _contributions(state: DataFrame, layout: DataFrame, small: bool, exact: bool = False) -> DataFrame:
     """``(dst, c)`` from ranks and links; the sum is combined before it is shuffled."""
     share = state.filter(F.col("outw") > 0)
     per_copy = (F.col("rank") / F.col("outw")).alias("share")
@@ -109,15 +127,46 @@ def _contributions(state: DataFrame, layout: DataFrame, small: bool) -> DataFram
     else:
         copies = share.select(F.col("id").alias("src"), per_copy, every_cell(F.col("parts")).alias("cell"))
         moved = layout.join(copies.hint("merge"), ["src", "cell"])
-    return moved.groupBy("dst").agg(F.sum(F.col("share") * F.col("n")).alias("c"))
+    return moved.groupBy("dst").agg(_summed(F.col("share") * F.col("n"), exact).alias("c"))
+
+
+def _next_rank(contribution: Column, mass: float, n_nodes: int, alpha: float) -> Column:
+    return (1 - alpha) * (contribution + F.lit(mass) / F.lit(float(n_nodes))) + F.lit(alpha / n_nodes)
+
+
+def _written_step(state: DataFrame, **sums: Column) -> tuple[DataFrame, str, dict[str, float]]:
+    """The ranks of a step as a table, and sums over it that are taken while it is written."""
+    watch = Observation("step")
+    table, path = written_table(state.observe(watch, *[s.alias(name) for name, s in sums.items()]), "step")
+    return table, path, {name: value or 0.0 for name, value in watch.get.items()}
 
 
-def _mass(state: DataFrame, chain_copies: int) -> DataFrame:
-    return state.agg((F.coalesce(F.sum(F.col("rank") * F.col("leak")), F.lit(0.0)) * chain_copies).alias("mass"))
+def _several_steps(state: DataFrame, layout: DataFrame, steps: int) -> DataFrame:
+    """``(id, outw, leak, parts, x0.., y0..)``: ``P^j`` of the ranks and of ones, for j up to ``steps``."""
+    state = state.withColumns({"x0": F.col("rank"), "y0": F.lit(1.0)}).drop("rank")
+    for j in range(steps):
+        held = [c for c in state.columns if c != "id"]
+        copies = state.select(F.col("id").alias("src"), *held, every_cell(F.col("parts")).alias("cell"))
+        own = F.col("n") == 0
+        sent = {f"{v}{j + 1}": F.when(~own, F.col(f"{v}{j}") / F.col("outw") * F.col("n")).otherwise(0.0) for v in "xy"}
+        rows = layout.join(copies.hint("merge"), ["src", "cell"]).select(
+            F.col("dst").alias("id"), *[c.alias(name) for name, c in sent.items()], *[F.when(own, F.col(c)).alias(c) for c in held]
+        )
+        state = rows.groupBy("id").agg(*[F.max(c).alias(c) for c in held], *[F.sum(c).alias(c) for c in sent])
+    return state
 
 
-def _next_rank(contribution: Column, mass: Column, n_nodes: int, alpha: float) -> Column:
-    return (1 - alpha) * (contribution + mass / F.lit(float(n_nodes))) + F.lit(alpha / n_nodes)
+def _unrolled(sums: dict[str, float], steps: int, n_nodes: int, alpha: float, chain_copies: int) -> tuple[list[float], Column]:
+    """The masses that ``steps`` steps read, and the rank after them, from the sums of ``leak * x_j`` and ``leak * y_j``."""
+    keep, masses, added = 1 - alpha, [], []  # added: what every node gets in a step by jumps
+    for j in range(steps):
+        mass = keep**j * sums[f"x{j}"] + sum(keep ** (j - 1 - i) * added[i] * sums[f"y{j - 1 - i}"] for i in range(j))
+        masses.append(mass * chain_copies)
+        added.append(keep * masses[j] / n_nodes + alpha / n_nodes)
+    rank = F.lit(keep**steps) * F.col(f"x{steps}")
+    for i in range(steps):
+        rank = rank + F.lit(keep ** (steps - 1 - i) * added[i]) * F.col(f"y{steps - 1 - i}")
+    return masses, rank
 
 
 def pagerank_with_mass(
@@ -129,40 +178,79 @@ def pagerank_with_mass(
     chain_copies: int = 1,
     floor: int = HEAVY_FLOOR,
     max_broadcast_rows: int = BROADCAST_ROWS,
+    every: int = 1,
+    layout: str = "memory",
+    exact: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Ranks ``(id, rank)`` after ``iterations`` and the mass log ``(iteration, mass)``.
 
     ``strategy='broadcast'`` ships the links to the ranks if they are counted to be at most
-    ``max_broadcast_rows``. With ``chain_copies = k`` the edges stand for k equal components.
+    ``max_broadcast_rows``. With ``chain_copies = k`` the edges stand for k equal components. ``every`` is the
+    number of iterations between two writes. ``layout='bucketed'`` keeps nodes and links as sorted,
+    bucketed tables instead of in the executors' memory: they are joined without an exchange, too, and
+    no executor's loss brings their shuffle back. ``exact`` makes the ranks equal in every run.
     """
-    if iterations < 1:
-        raise ValueError("iterations must be at least 1")
+    if iterations < 1 or every < 1:
+        raise ValueError("iterations and every must be at least 1")
     if strategy not in ("auto", "broadcast"):
         raise ValueError("strategy must be 'auto' or 'broadcast'")
-    links, links_path = written_table(link_counts(edges), "links")
-    nodes_kept = cut_lineage(node_table(links, sink_id, floor))
-    nodes = node_layout(nodes_kept).persist()
-    n_nodes = nodes.count() * chain_copies
+    if layout not in ("memory", "bucketed"):
+        raise ValueError("layout must be 'memory' or 'bucketed'")
+    if every > 1 and (exact or strategy == "broadcast"):
+        raise ValueError("several steps between two writes need the merge join and floating sums")
+    spark = edges.sparkSession
+    links, links_path, n_links = counted_table(link_counts(edges), "links")
+    kept, nodes_path, n_nodes = counted_table(node_table(links, sink_id, floor), "nodes")
+    n_nodes *= chain_copies
     inside = links if sink_id is None else links.filter(F.col("dst") != sink_id)
-    small = strategy == "broadcast" and fits_broadcast(inside, max_broadcast_rows)
-    layout = inside if small else link_layout(inside, nodes).persist()
+    small = strategy == "broadcast" and n_links <= max_broadcast_rows
+    tables: list[str] = []
+
+    def placed(df: DataFrame, *keys: str) -> DataFrame:
+        if layout == "memory":
+            return df.persist()
+        tables.append(name := bucketed_table(df, *keys))
+        return spark.table(name)
+
+    nodes = placed(node_layout(kept), "id")
+    if small:
+        laid = inside
+    elif every == 1:
+        laid = placed(link_layout(inside, kept), "src", "cell")
+    else:
+        zero = F.lit(0).cast("long")
+        own = kept.select(F.col("id").alias("src"), zero.alias("cell"), F.col("id").alias("dst"), zero.alias("n"))
+        laid = placed(_by_cell(_in_cells(inside, kept).unionByName(own)), "src", "cell")
 
-    state = nodes_kept.withColumn("rank", F.lit(1.0 / max(n_nodes, 1)))
-    masses = []
+    start = F.lit(1.0 / max(n_nodes, 1))
+    leaked = _summed(F.col("rank") * F.col("leak"), exact)
+    masses: list[float] = []
     try:
-        for step in range(1, iterations + 1):
-            mass = _mass(state, chain_copies)
-            masses.append(mass.select(F.lit(step).alias("iteration"), "mass"))
-            sums = _contributions(state, layout, small).withColumnRenamed("dst", "id")
-            new = _next_rank(F.coalesce("c", F.lit(0.0)), mass.scalar(), n_nodes, alpha)
-            moved = nodes.join(sums.hint("merge"), "id", "left")
-            state = cut_lineage(moved.select("id", "outw", "leak", "parts", new.alias("rank")))
+        state, path, sums = _written_step(kept.withColumn("rank", start), mass=leaked)
+        while len(masses) < iterations:
+            steps, before = min(every, iterations - len(masses)), path
+            if every == 1:
+                masses.append(sums["mass"] * chain_copies)
+                found = _contributions(state, laid, small, exact).withColumnRenamed("dst", "id")
+                new = _next_rank(F.coalesce("c", F.lit(0.0)), masses[-1], n_nodes, alpha)
+                moved = nodes.join(found.hint("merge"), "id", "left")
+                state, path, sums = _written_step(moved.select("id", "outw", "leak", "parts", new.alias("rank")), mass=leaked)
+            else:
+                vectors = {f"{v}{j}": F.sum(F.col(f"{v}{j}") * F.col("leak")) for v in "xy" for j in range(steps)}
+                table, path, sums = _written_step(_several_steps(state, laid, steps), **vectors)
+                read, rank = _unrolled(sums, steps, n_nodes, alpha, chain_copies)
+                masses += read
+                state = table.select("id", "outw", "leak", "parts", rank.alias("rank"))
+            drop_table(spark, before)
     finally:
-        nodes.unpersist()
-        if not small:
-            layout.unpersist()
-        drop_table(edges.sparkSession, links_path)  # ranks and log rest on checkpoints of their own
-    return state.select("id", "rank"), reduce(DataFrame.unionByName, masses)
+        for df in (nodes, laid) if layout == "memory" else ():
+            df.unpersist()
+        for name in tables:
+            drop_bucketed(spark, name)
+        drop_table(spark, links_path)  # the ranks are a table of their own
+        drop_table(spark, nodes_path)
+    log = spark.createDataFrame([(i, m) for i, m in enumerate(masses, 1)], "iteration int, mass double")
+    return state.select("id", "rank"), log
 
 
 def pagerank(edges: DataFrame, iterations: int = 10, **options) -> DataFrame:

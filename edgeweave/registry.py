@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edgeweave.operators import degrees as dg, edges as ed, paths as pa, triangles as tr
+from edgeweave.operators import degrees as dg, edges as ed, intersections as ix, layout as lo, paths as pa, triangles as tr
 from edgeweave.plans import pagerank as pr
 from edgeweave.plans.cap_profile import cap_profile
 from edgeweave.session import fresh_path
@@ -16,6 +16,7 @@ from edgeweave.sources.derived import part_sequence_edges, supplier_customer_edg
 DIGITS = 12
 WIDTH = 16  # successors in a row of the adjacency queries, small enough to split ordinary nodes
 TRADE_FLOOR, TRADE_PAIRS = 300, 10_000  # sizes of cells on the trade graph; they do not change rows
+BITS = 1 << 22  # of the membership filter, which does not change rows either
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,16 @@ def _on_capped(operator: Callable[..., DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(part_sequence_edges(spark, sf_dir), _cap(spark, sf_dir))
 
 
+def _listed(strategy: str) -> Query:
+    """Two-hop paths one by one, each join by name, among the ids up to a quarter of the largest."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        few = ed.cap_edges(part_sequence_edges(spark, sf_dir), _cap(spark, sf_dir, 1))
+        return pa.two_paths(few, strategy)
+
+    return query
+
+
 def _rounded(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.round(column, DIGITS))
 
@@ -113,6 +124,21 @@ def _ranks_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(readers.read_ranks(spark, path), "rank")
 
 
+def _cap_by_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capped edges from a store that skips the files beyond the cap."""
+    path = fresh_path(spark, "edges-by-top")
+    lo.write_by_top(part_sequence_edges(spark, sf_dir), path)
+    return lo.read_capped(spark, path, _cap(spark, sf_dir))
+
+
+def _iteration_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two iterations in one partitioned table, the second read back."""
+    path = fresh_path(spark, "iterations")
+    for i in (1, 2):
+        writers.write_iteration(pr.pagerank(supplier_customer_edges(spark, sf_dir), i), path, i)
+    return _rounded(readers.read_iteration(spark, path, 2), "rank")
+
+
 def _cap_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     caps = [_cap(spark, sf_dir, quarters) for quarters in (1, 2, 3, 4)]
     return cap_profile(part_sequence_edges(spark, sf_dir), caps)
@@ -139,6 +165,7 @@ def queries() -> dict[str, Query]:
         "sink_roundtrip_csv": _roundtrip_csv,
         "sink_roundtrip_tab": _roundtrip_tab,
         "edges_cap": _on_capped(ed.cap_edges),
+        "edges_cap_by_files": _cap_by_files,
         "edges_beyond_cap": _on_capped(ed.edges_beyond_cap),
         "reverse_edges": _on_parts(ed.reverse_edges),
         "edges_distinct": _on_parts(ed.distinct_edges),
@@ -169,6 +196,12 @@ def queries() -> dict[str, Query]:
         "two_paths_trade": _on_trade(pa.two_path_counts, strategy="salted"),
         "two_paths_rows": _on_parts(lambda e: pa.path_rows(pa.two_paths(e))),
         "two_paths_count": _on_parts(pa.two_paths_count),
+        "two_paths_list_auto": _listed("auto"),
+        "two_paths_list_shuffle": _listed("shuffle_hash"),
+        "two_paths_list_merge": _listed("merge"),
+        "two_paths_list_broadcast": _listed("broadcast"),
+        "two_paths_list_adjacency": _listed("adjacency"),
+        "two_paths_list_salted": _listed("salted"),
         "triangles": _on_parts(tr.triangles),
         "triangles_merge": _on_parts(tr.triangles, strategy="merge"),
         "triangles_shuffle": _on_parts(tr.triangles, strategy="shuffle_hash"),
@@ -182,6 +215,10 @@ def queries() -> dict[str, Query]:
         "triangles_canonical": _on_parts(tr.triangles_canonical),
         "triangles_capped": _capped_scan(tr.triangles),
         "triangle_count_capped": _capped_scan(tr.triangle_count),
+        "triangles_intersect": _on_parts(ix.intersected_triangles),
+        "triangles_intersect_trade": _on_trade(ix.intersected_canonical, floor=TRADE_FLOOR, width=WIDTH),
+        "triangles_filtered": _on_parts(tr.triangles, filter_bits=BITS),
+        "triangles_filtered_trade": _on_trade(tr.triangles_canonical, floor=TRADE_FLOOR, budget=TRADE_PAIRS, filter_bits=BITS),
         "triangles_trade": _on_trade(tr.triangles_canonical, floor=TRADE_FLOOR, budget=TRADE_PAIRS),
         "triangle_count_trade": _on_trade(tr.triangle_count, floor=TRADE_FLOOR, budget=TRADE_PAIRS),
         "cap_profile": _cap_profile,
@@ -194,7 +231,11 @@ def queries() -> dict[str, Query]:
         "pagerank_dangling_mass": lambda spark, d: _rounded(pr.dangling_mass(served(spark, d), 10), "mass"),
         "pagerank_sink": _ranks(parts, 10, sink_id=0),
         "pagerank_trade": _ranks(trade, 10, floor=TRADE_FLOOR),
+        "pagerank_bucketed": _ranks(parts, 10, layout="bucketed"),
+        "pagerank_every_five": _ranks(served, 10, every=5),
+        "pagerank_exact": lambda spark, d: pr.pagerank(parts(spark, d), 10, exact=True),
         "ranks_roundtrip": _ranks_roundtrip,
+        "ranks_partition": _iteration_partition,
         "nodes_without_in_links": lambda spark, d: pr.nodes_without_in_links(served(spark, d)),
         "pagerank_step_record": _on_parts(_step_record),
         "top_ranked": lambda spark, d: pr.top_ranked(_ranks(parts, 10)(spark, d)),

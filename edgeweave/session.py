@@ -7,7 +7,7 @@ from contextlib import contextmanager
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 _made: dict[str, list[str]] = {}  # application id -> paths under the shared folder
@@ -81,6 +81,13 @@ def written_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def counted_table(df: DataFrame, name: str) -> tuple[DataFrame, str, int]:
+    """``written_table`` and its number of rows, observed while it is written: no job of its own counts them."""
+    watch = Observation(name)
+    table, path = written_table(df.observe(watch, F.count(F.lit(1)).alias("rows")), name)
+    return table, path, watch.get["rows"]
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """Remove a table that ``written_table`` made."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

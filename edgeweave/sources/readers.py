@@ -89,3 +89,9 @@ def read_ranks(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.option("recursiveFileLookup", "true").text(path)
     fields = F.split(F.regexp_extract("value", r"\((.*)\)", 1), ",")
     return text.select(fields.getItem(0).cast("long").alias("id"), fields.getItem(1).cast("double").alias("rank"))
+
+
+def read_iteration(spark: SparkSession, root: str, iteration: int | Column) -> DataFrame:
+    """``(id, rank)`` of one iteration of ``write_iteration``; no other iteration's files are read."""
+    table = spark.read.schema("id long, rank double, iteration int").parquet(root)
+    return table.filter(F.col("iteration") == iteration).select("id", "rank")

@@ -30,6 +30,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def write_iteration(ranks: DataFrame, root: str, iteration: int) -> None:
+    """Ranks as a partition ``iteration=<n>`` of one columnar table; a repeated write replaces that partition only."""
+    rows = ranks.select("id", "rank", F.lit(iteration).alias("iteration"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("iteration").parquet(root)
+
+
 def iteration_path(root: str, iteration: int) -> str:
     return f"{root.rstrip('/')}/{ITERATION_FOLDER}{iteration}"
 

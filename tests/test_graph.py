@@ -266,8 +266,8 @@ def test_wide_triangle_counts(spark):
     links = [(1, 2), (2, 3), (3, 1)]
     many = spark.createDataFrame([(a, b, 2_500_000, 6, 6, 1, 1) for a, b in links], tr_ranked_schema())
     with pytest.raises(Exception, match="overflow|OVERFLOW"):
-        tr.closed_walks(many).select(tr._product(["n_vw", "n_wu", "n_uv"], False)).collect()
-    got = tr.closed_walks(many).select(tr._product(["n_vw", "n_wu", "n_uv"], True).alias("p")).first()["p"]
+        tr.closed_walks(many, 3).select(tr._product(["n_vw", "n_wu", "n_uv"], False)).collect()
+    got = tr.closed_walks(many, 3).select(tr._product(["n_vw", "n_wu", "n_uv"], True).alias("p")).first()["p"]
     assert int(got) == 2_500_000**3
 
 
@@ -333,7 +333,7 @@ def test_counted_links_are_exchanged_once(spark):
 
 def test_a_hub_centres_few_wedges(edges):
     """The hubs of the star graph are searched from their small neighbours."""
-    wedges = tr._wedges(tr.ranked_links(edges(GRAPHS["hubs"]), FLOOR), "auto").collect()
+    wedges = tr._wedges(*tr.ranked_links(edges(GRAPHS["hubs"]), FLOOR), "auto").collect()
     walks = sum(brute.two_paths(set(GRAPHS["hubs"])).values())
     assert len(wedges) < walks / 4
     assert sum(r["v"] in (5, 50) for r in wedges) < 10
