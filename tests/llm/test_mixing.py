@@ -101,3 +101,38 @@ def test_query_matches_sql(spark):
 def test_no_python_in_the_plan(spark):
     plan = mixing.mixture(frame(spark, ROWS))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian"))
+
+
+def test_tiny_source_without_a_limit_runs_in_pieces(spark):
+    """One document of a token beside very many tokens: its epochs are far more than an array should hold."""
+    docs = spark.createDataFrame([(1, "tiny", "a"), (2, "large", "w " * 60_000)], "doc_id long, source string, text string")
+    free = mixing.mixture(docs, entropy=1.0, repeats=None).filter("source = 'tiny'")
+    assert free.agg(mixing.F.count("*"), mixing.F.countDistinct("epoch"), mixing.F.max("epoch")).first()[:] == (30_000, 30_000, 29_999)
+    held = mixing.mixture(docs, entropy=1.0).filter("source = 'tiny'").count()
+    assert mixing.REPEATS - 1 <= held <= mixing.REPEATS + 1
+
+
+@pytest.mark.parametrize("block_docs", [4096, 3])
+def test_copies_and_null_ids_fold(spark, block_docs):
+    """A third of the rows are copies of one document or have no id; they are placed one after the other."""
+    rows = [(1, "big", "a b c")] * 500 + [(None, "big", "x " * (i % 5)) for i in range(500)] + [(i, "big", "a b") for i in range(10, 500)]
+    rows += [(i, "small", "a b c") for i in range(1000, 1030)]
+    a = found_exponent(spark, rows, ratio=1.7, entropy=0.9, repeats=None)
+    got = mixing.mixture(frame(spark, rows), ratio=1.7, block_docs=block_docs, repeats=None)
+    assert Counter(tuple(r) for r in got.collect()) == plain_mixture(rows, a, 1.7)
+
+
+def test_unrolling(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PIECE", 3)
+    counts = {1: 0, 2: 1, 3: 3, 4: 4, 5: 26}
+    rows = spark.createDataFrame(list(counts.items()), "k long, n long")
+    for apart in (None, ["k"]):
+        got = Counter(r.k for r in mixing._unrolled(rows, mixing.F.col("n"), "i", apart).collect())
+        assert got == {k: n for k, n in counts.items() if n}
+    assert sorted(r.i for r in mixing._unrolled(rows, mixing.F.col("n"), "i", ["k"]).filter("k = 5").collect()) == list(range(26))
+
+
+def test_clashing_names(spark):
+    names = ["__size", "__turn", "__rows", "__copies", "__share", "__copy", "__doc_id", "row", "size", "rows", "mixed", "share", "copy"]
+    docs = spark.createDataFrame([(1, "s", "a b", *range(len(names)))], ["doc_id", "source", "text", *names])
+    assert [tuple(r) for r in mixing.mixed_documents(docs).collect()] == [(1, "s", "a b", *range(len(names)))]
