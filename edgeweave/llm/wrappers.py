@@ -16,9 +16,7 @@ three pages whose other texts differ, so that copies of a page never make a temp
 
 Every task folds the pages that it reads into one wrapper per host, and those are folded again per
 host, so a host with a third of all pages sends one small row per task. Inference covers all pages.
-The order of folding changes neither which labels a wrapper has nor which texts are constant, and
-extraction depends on nothing else: the marks ``?`` and ``+`` and the order of labels describe the host,
-but choose no text.
+Wrappers of a host are folded in the order of their texts.
 
 **Extraction.** The wrapper names the paths at which its host's pages have containers of main text:
 main elements, articles, elements named like content. A page is matched against these paths. Its
@@ -28,9 +26,15 @@ whole page if no container has text, without link lists: elements that have repe
 and on no page of the host a text slot (``#``) in them. What stands around the articles of a container counts without
 the slots whose text is constant on the host. Elements whose tag or
 class says menu, header, footer, sidebar, notice, advert, form or comment are left out, as are
-slots of the wrapper with constant text outside the containers. A class says so by a whole token
-(``sidebar``, not ``no-sidebar``), never on html, body, main or an article, nor on what holds the
-container; a form with more than half of the text is no form to fill in but the page.
+slots of the wrapper with constant text outside the containers. A class says so by a token that begins or
+ends with a side word at a hyphen (``sidebar``, ``comment-list``, ``site-footer``, not ``no-sidebar``), never on
+html, body, main or an article, nor on what holds the container; a paragraph is left out only as an
+advert. A form with more than half of the text is no form to fill in but the page.
+
+On hosts without named containers the marks of the expression choose: a *trunk* is an element in which text
+blocks are repeated (``+``). An optional element (``?``) outside every trunk, that holds no trunk itself and is
+no group's member, comes and goes around the text, as notices and adverts do; it goes if
+at least three pages told of the host and the rest of the page has four times its text.
 """
 
 from __future__ import annotations
@@ -73,12 +77,15 @@ IMPLIED_ENDS = {
 SCOPES = frozenset("article aside blockquote body dd details dialog div dl fieldset footer form header html li main nav ol section table td th ul".split())
 # What is not main text, by tag and by token of a class or id; where tokens and forms do not count.
 SIDE_TAGS = frozenset("nav footer aside button dialog menu head".split())
+ADVERT_WORDS = frozenset("ad ads advert adverts advertisement advertising promo promoted promotion sponsor sponsored".split())
+NEGATIONS = frozenset("no not with without has is non".split())
 KEPT_TAGS = frozenset("#page html body main article".split())
 SIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies discussion disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices overlay "
     "pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar "
-    "signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
+    "signup skip social sponsor sponsored subscribe subscription toolbar widget "
+    "kommentar kommentare comentarios commentaires anzeige werbung publicidad publicite".split()
 )
 CONTENT_WORDS = frozenset("article content entry post story main text body".split())
 
@@ -115,13 +122,14 @@ def _tokens(value: str) -> list[str]:
 
 @lru_cache(10_000)
 def _says_side(token: str) -> bool:
-    return SIDE_WORDS.issuperset(token.split("-"))
+    words = token.split("-")
+    return NEGATIONS.isdisjoint(words) and (words[0] in SIDE_WORDS or words[-1] in SIDE_WORDS)
 
 
 @lru_cache(10_000)
 def _says_content(token: str) -> bool:
     words = token.split("-")
-    return not CONTENT_WORDS.isdisjoint(words) and SIDE_WORDS.isdisjoint(words) and "header" not in words
+    return not CONTENT_WORDS.isdisjoint(words) and not _says_side(token) and "header" not in words
 
 
 def _named(tag: str, attributes: str) -> Element:
@@ -327,6 +335,8 @@ def _is_marked(tag: str, words: frozenset, inside: bool) -> bool:
     """Whether its class says that an element is no main text; a header is none, outside the article."""
     if tag in KEPT_TAGS:
         return False
+    if tag == "p":
+        return any(not ADVERT_WORDS.isdisjoint(w.split("-")) and _says_side(w) for w in words)
     return any(map(_says_side, words)) or (not inside and (tag == "header" or "header" in words))
 
 
@@ -399,8 +409,8 @@ class Wrapper:
     def loaded(text: str) -> Wrapper:
         return Wrapper(*json.loads(text))
 
-    def plan(self) -> tuple[list[frozenset], frozenset, frozenset]:
-        """Paths of articles, main elements and elements named like main or content, of constant slots, and of link lists."""
+    def plan(self) -> tuple[list[frozenset], frozenset, frozenset, frozenset]:
+        """Paths of articles, main elements and elements named like main or content, of constant slots, link lists and passing elements."""
         kinds: list[set] = [set(), set(), set(), set()]
 
         def walk(items: list, path: str) -> None:
@@ -440,7 +450,25 @@ class Wrapper:
             return found
 
         walk_lists(self.items or [], "")
-        return [frozenset(k) for k in kinds], still, frozenset(lists)
+        passing = _passing(self.items or [], "")[1] if self.pages >= CONSTANT_PAGES else set()
+        return [frozenset(k) for k in kinds], still, frozenset(lists), frozenset(passing)
+
+
+def _passing(items: list, path: str) -> tuple[bool, set[str]]:
+    """Whether a sequence is a trunk or holds one, and the paths of optional elements with text that neither are nor hold one."""
+    slots = lambda item: "#" in _slot_labels([item])
+    if any(item[2] and item[0] != "#" and slots(item) for item in items):
+        return True, set()  # blocks of text are repeated here: all of it belongs together
+    trunk, out, held = False, set(), []
+    for label, optional, _, children in items:
+        if label in ("#", "@", "@@"):
+            continue
+        inside, below = _passing(children, f"{path}/{label}")
+        trunk |= inside
+        out |= below
+        if optional and not inside and slots([label, optional, False, children]):
+            held.append(f"{path}/{label}")
+    return trunk, out | set(held)
 
 
 Found = list[tuple[Element, str]]
@@ -509,7 +537,9 @@ def _text(elements: Found, constants: frozenset, inside: bool, articles: bool =
     return "\n".join(t for t in texts if t)
 
 
-def main_text(root: Element, kinds: list[frozenset], constants: frozenset, lists: frozenset = frozenset()) -> str:
+def main_text(
+    root: Element, kinds: list[frozenset], constants: frozenset, lists: frozenset = frozenset(), passing: frozenset = frozenset()
+) -> str:
     """Blocks of the main text, joined by line breaks, by the plan of the wrapper that covers the page.
 
     Marks of side matter do not count on what holds the page's only article or, if the page has no other
@@ -529,6 +559,9 @@ def main_text(root: Element, kinds: list[frozenset], constants: frozenset, lists
         return in_articles
     text = _text(lone, frozenset(), True) if len(lone) == 1 else ""
     text = text or _text([(root, "")], constants, False, lists=lists) or _text([(root, "")], constants, False)
+    if passing and not any(kinds):
+        rest = _text([(root, "")], constants, False, lists=lists | passing)
+        text = rest if len(rest) * 5 >= len(text) * 4 else text
     return text or next((t for _, m in found if (t := _text(m, frozenset(), True))), "")
 
 
@@ -564,7 +597,28 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"host": [host], "wrapper": [wrapper.dumped()]}, _WRAPPER)
 
     parts = pages.mapInArrow(fold_pages, "host string, wrapper string")
-    return parts.repartition("host").sortWithinPartitions("host").mapInArrow(fold_wrappers, "host string, wrapper string")
+    return parts.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(fold_wrappers, "host string, wrapper string")
+
+
+def host_plans(wrappers: DataFrame) -> DataFrame:
+    """``(host, plan)``: of a wrapper only the paths that extraction asks for, which go to every page of the host."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            plans = [_packed_plan(Wrapper.loaded(text).plan()) for text in rows.column("wrapper").to_pylist()]
+            yield pa.RecordBatch.from_arrays([rows.column("host"), pa.array(plans, pa.string())], ["host", "plan"])
+
+    return wrappers.mapInArrow(run, "host string, plan string")
+
+
+def _packed_plan(plan: tuple) -> str:
+    kinds, *others = plan
+    return json.dumps([[sorted(k) for k in kinds], *map(sorted, others)])
+
+
+def _opened_plan(text: str) -> tuple:
+    kinds, *others = json.loads(text)
+    return ([frozenset(k) for k in kinds], *map(frozenset, others))
 
 
 _WRAPPER = pa.schema([("host", pa.string()), ("wrapper", pa.string())])
@@ -584,7 +638,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     ).withColumn("host", host)
     # a table, so that Spark knows its size: with few hosts no page is shuffled, with many the join splits a hot host
-    wrappers, _ = written_table(host_wrappers(rows.select("host", "html")), "wrappers")
+    plans, _ = written_table(host_plans(host_wrappers(rows.select("host", "html"))), "plans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple] = {}
@@ -592,13 +646,13 @@ def main_texts(pages: DataFrame) -> DataFrame:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
                 texts = []
-                for html, text in zip(part.column("html"), part.column("wrapper").to_pylist()):
+                for html, text in zip(part.column("html"), part.column("plan").to_pylist()):
                     if text not in known:
                         if len(known) > 1000:
                             known.clear()
-                        known[text] = Wrapper.loaded(text).plan()
+                        known[text] = _opened_plan(text)
                     texts.append(main_text(page_tree(html.as_py() or ""), *known[text]))
                 columns = [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, schema=_TEXT)
 
-    return rows.join(wrappers, "host").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return rows.join(plans, "host").mapInArrow(run, "page_id long, url string, text string, n_chars long")

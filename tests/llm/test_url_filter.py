@@ -103,3 +103,8 @@ def test_no_python_in_the_plan(spark, weights):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     plan = url_filter.judged(pages, weights, url_filter.RULES)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Exchange"))
+
+
+def test_empty_table(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert url_filter.url_verdicts(pages).collect() == []

@@ -226,3 +226,135 @@ def test_link_lists_that_vary():
     assert text_of("<ul><li><a href='/'>A</a><li><a href='/'>B</a></ul>") == "A\nB"  # nothing else: the page
     assert text_of("<article><ul><li><a href='/'>A</a><li><a href='/'>B</a></ul>c</article>") == "A\nB\nc"
     assert expression(pages[0]).startswith("body[ul[li[@]] div[@ @@] h2[@]")
+
+
+ARTICLE = "<article><p>First words of the story.</p>{}<p>Last words of the story.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "side",
+    [
+        '<ol class="comment-list"><li>Nice</ol>',
+        '<div class="comments-area"><p>Nice</p></div>',
+        '<section class="user-comments">Nice</section>',
+        '<div id="kommentare">Gut</div>',
+        '<div class="ad-container"><p>Buy</p></div>',
+        '<div class="x ad-slot">Buy</div>',
+        '<div class="cookie-bar">We use cookies</div>',
+        '<div class="related-posts"><a href="/a">Other</a></div>',
+        '<div class="site-footer">Imprint</div>',
+        '<p class="ad">Buy</p>',
+    ],
+)
+def test_hyphenated_side_matter(side):
+    want = "First words of the story.\nLast words of the story."
+    assert text_of(f"<body>{ARTICLE.format(side)}</body>") == want
+    assert text_of(f"<body><div class='content'><p>Words around.</p>{side}<p>More of them.</p></div></body>") == "Words around.\nMore of them."
+
+
+def test_paragraphs_and_negations_stay():
+    page = f"<body class='no-sidebar'>{ARTICLE.format('<p class=alert>Mind the gap.</p><div class=with-sidebar>Kept.</div>')}</body>"
+    assert text_of(page) == "First words of the story.\nMind the gap.\nKept.\nLast words of the story."
+
+
+STORY = "<body><div class=a><h1>Title {i}</h1></div>{notice}<div class=b>{blocks}</div></body>"
+
+
+def stories():
+    """A host without telling names: a notice that comes and goes, and a story of one to four paragraphs."""
+    out = []
+    for i in range(6):
+        notice = f"<div class=c>Offer of day {i} only</div>" if i % 2 else ""
+        blocks = "".join(f"<p>Paragraph {j} of the long story number {i}, with words enough to weigh.</p>" for j in range(1 + i % 4))
+        out.append(STORY.format(i=i, notice=notice, blocks=blocks))
+    return out
+
+
+def test_marks_of_the_aligned_expression_choose():
+    pages = stories()
+    want = "Title 3\n" + "\n".join(f"Paragraph {j} of the long story number 3, with words enough to weigh." for j in range(4))
+    assert text_of(*pages, of=3) == want  # the optional element is none of the story, the repeated ones are
+    assert "Offer" in text_of(*pages[:2], of=1)  # two pages tell nothing
+
+
+def test_a_union_of_labels_is_no_alignment(monkeypatch):
+    """Without aligning and folding, no mark tells what comes and goes, and the notice stays."""
+    pages = stories()
+    aligned_text = text_of(*pages, of=3)
+
+    def union(a, b):
+        known = {i[0]: list(i) for i in a}
+        for item in b:
+            known[item[0]] = [item[0], False, False, union(known[item[0]][3], item[3])] if item[0] in known else list(item)
+        return list(known.values())
+
+    monkeypatch.setattr(wrappers, "aligned", union)
+    monkeypatch.setattr(wrappers, "folded", lambda items: union([], items))
+    assert "Offer" in text_of(*pages, of=3) and "Offer" not in aligned_text
+
+
+def covers(expression, items):
+    """Brute force: whether a page's unfolded children match an expression, by trying all ways."""
+
+    def match(e, i):
+        if e == len(expression):
+            return i == len(items)
+        label, optional, repeated, children = expression[e]
+        if optional and match(e + 1, i):
+            return True
+        ends = {i}
+        first = True
+        while ends and (first or repeated):
+            step = set()
+            for at in ends:
+                if label == "(":
+                    step |= {end for end in prefixes(children, items, at) if end > at}
+                elif at < len(items) and items[at][0] == label and covers(children, items[at][1]):
+                    step.add(at + 1)
+            first = False
+            ends = step
+            if any(match(e + 1, end) for end in ends):
+                return True
+        return label == "(" and match(e + 1, i)
+
+    return match(0, 0)
+
+
+def prefixes(members, items, at):
+    """Where a run of optional members in order may end."""
+    ends = {at}
+    for label, _, repeated, children in members:
+        step = set(ends)
+        for end in ends:
+            while end < len(items) and items[end][0] == label and covers(children, items[end][1]):
+                end += 1
+                step.add(end)
+                if not repeated:
+                    break
+        ends = step
+    return ends
+
+
+def test_wrappers_cover_their_pages():
+    """Every page of a host matches the expression that was inferred from all of them."""
+    rng = random.Random(5)
+
+    def some(depth):
+        out = []
+        for _ in range(rng.randrange(4)):
+            tag = rng.choice("abc")
+            out.append(f"<div class={tag}>{some(depth - 1) if depth else 'text'}</div>")
+        return "".join(out)
+
+    def children(element):
+        return [(p.label, children(p)) for p in element.parts if not isinstance(p, str)]
+
+    def bare(items):
+        return [[i[0], i[1], i[2], bare(i[3])] for i in items if i[0] not in ("#", "@", "@@")]
+
+    for _ in range(60):
+        pages = [f"<body>{some(2)}</body>" for _ in range(4)]
+        wrapper = wrappers.Wrapper()
+        for page in pages:
+            wrapper.add_page(wrappers.page_tree(page))
+        assert all(covers(bare(wrapper.items), children(wrappers.page_tree(p))) for p in pages)
