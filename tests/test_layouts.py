@@ -207,3 +207,20 @@ def test_counting_while_writing_saves_the_job(spark, edges):
     table, _, rows = counted_table(ed.link_counts(edges(GRAPH)), "links")
     assert rows == len(set(GRAPH)) == table.count()
     assert counted_table(ed.link_counts(edges([])), "links")[2] == 0
+
+
+def test_counting_while_writing_is_no_job(spark, edges):
+    """What is written and counted takes one job less than what is written and then counted."""
+    from edgeweave.session import counted_table, written_table
+
+    def jobs(name, action):
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            action()
+        finally:
+            spark.sparkContext.setJobGroup("other", "other")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    links = ed.link_counts(edges(GRAPH))
+    apart = jobs("apart", lambda: written_table(links, "links")[0].count())
+    assert jobs("together", lambda: counted_table(links, "links")) < apart
