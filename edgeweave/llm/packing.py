@@ -22,11 +22,12 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from edgeweave.llm.memory import returning
 from edgeweave.session import cut_lineage
 
 LENGTH, END_ID = 2048, 1
 CLASSES, DIMENSIONS, BITS, SEED = 64, 3, 10, 11
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 250_000  # and as many pieces: some 100 MB in a worker
 # Latin letters without the dotted capital I, whose lower case has two characters; then printable
 # ASCII marks but the apostrophe, which begins pieces such as 's.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ſ]+)?([!-&(-/:-@[-`{-~]*)")
@@ -156,7 +157,7 @@ def tokens(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
                 )
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = kept.mapInArrow(run, "doc_id long, curve long, tie long, ids binary")
+    found = kept.mapInArrow(returning(run), "doc_id long, curve long, tie long, ids binary")
     return found.withColumn("tie", F.xxhash64("doc_id", "tie"))
 
 
@@ -232,4 +233,4 @@ def packed(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int =
         yield current.taken()
 
     columns = ", ".join(f"{c} long" for c in _PIECE.names)
-    return ranged.mapInArrow(run, columns)
+    return ranged.mapInArrow(returning(run), columns)

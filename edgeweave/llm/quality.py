@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from edgeweave.llm.memory import free_names, returning
 from edgeweave.session import written_table
 
 HALF, LAGS, VECTOR, FILTERS, HIDDEN, PARTS = 16, 48, 4, 24, 12, 8
@@ -261,12 +262,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_byte
                 weights[target == label] = shares.get(label, 0) / (target == label).mean() / max(1, sum(shares.values()))
         yield pd.DataFrame({"model": [_packed(train(texts, target, weights))]})
 
-    found = sample.coalesce(1).mapInPandas(run, "model binary").first()
+    found = sample.coalesce(1).mapInPandas(returning(run), "model binary").first()
     return found["model"] if found else _packed(_start(np.random.default_rng(SEED)))
 
 
-def scored(docs: DataFrame, model: bytes) -> DataFrame:
-    """``docs`` with all its columns and ``__score``; a null text counts as empty."""
+def scored(docs: DataFrame, model: bytes, score: str = "__score") -> DataFrame:
+    """``docs`` with all its columns and one named by ``score``; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = _unpacked(model)
@@ -275,9 +276,9 @@ def scored(docs: DataFrame, model: bytes) -> DataFrame:
                 part = rows.slice(at, 256)
                 texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in part.column("text")]
                 found = pa.array(score_texts(network, texts), pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, "__score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, score])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__score", DoubleType())]))
+    return docs.mapInArrow(returning(run), StructType([*docs.schema.fields, StructField(score, DoubleType())]))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -293,5 +294,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose score reaches the threshold, with all their columns."""
-    return scored(docs, fit(docs, labels)).filter(F.col("__score") >= threshold).drop("__score")
+    """The rows of ``docs`` whose score reaches the threshold, with all their columns, whatever their names.
+
+    A null or empty text is scored as empty and stays or goes by its score; repeated rows do so together; an
+    empty table gives an empty result.
+    """
+    (score,) = free_names(docs.columns, "__score")
+    return scored(docs, fit(docs, labels), score).filter(F.col(score) >= threshold).drop(score)

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 import xxhash
 import zstandard
 
+from edgeweave.llm.memory import returning, returning_table
 from edgeweave.session import cut_lineage, drop_table, fresh_path
 
 LENGTH, GRAM, CROWD = 50, 20, 50_000
@@ -225,7 +226,7 @@ def _chunked(docs: DataFrame, folder: str, buckets: int) -> DataFrame:
         if held:
             yield finished()
 
-    return docs.mapInArrow(run, "chunk string, bucket int, payload binary")
+    return docs.mapInArrow(returning(run), "chunk string, bucket int, payload binary")
 
 
 # Step 2
@@ -507,15 +508,15 @@ def remove_repeats(docs: DataFrame, folder: str, extra: tuple[str, ...] = (), wi
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
     heard = _chunked(kept, folder, parts)
-    known = heard.groupBy("bucket").applyInArrow(_answer_anchors(crowd), "chunk string, bucket int, kinds binary")
+    known = heard.groupBy("bucket").applyInArrow(returning_table(_answer_anchors(crowd)), "chunk string, bucket int, kinds binary")
     # the rows of a chunk are few bytes and much work, so their partitions must not be merged by size
-    sent = known.repartition(parts, "chunk").groupBy("chunk").applyInArrow(_cut_pieces(4 * parts), "shard int, chunk string, pieces binary")
-    answers = sent.groupBy("shard").applyInArrow(_answer_pieces, "chunk string, runs binary")
+    sent = known.repartition(parts, "chunk").groupBy("chunk").applyInArrow(returning_table(_cut_pieces(4 * parts)), "shard int, chunk string, pieces binary")
+    answers = sent.groupBy("shard").applyInArrow(returning_table(_answer_pieces), "chunk string, runs binary")
     columns = ["doc_id"] + (["text"] if with_text else []) + list(extra)
     types = {f.name: f.dataType.simpleString() for f in kept.schema}
     schema = ", ".join(f"`{c}` {types[c]}" for c in columns)
     schema += ", n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return answers.repartition(parts, "chunk").groupBy("chunk").applyInArrow(_removed([c for c in columns if c != "text"], with_text), schema)
+    return answers.repartition(parts, "chunk").groupBy("chunk").applyInArrow(returning_table(_removed([c for c in columns if c != "text"], with_text)), schema)
 
 
 def repeat_counts(docs: DataFrame) -> DataFrame:

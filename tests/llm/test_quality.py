@@ -87,3 +87,11 @@ def test_training_ids_stand_in_documents_of_fitting_length(spark):
     with pytest.raises(ValueError, match="quality 1"):
         quality.fit(docs, labels.filter("quality = 0 or doc_id >= 40"), max_bytes=100)
     assert quality.quality_scores(docs.limit(0), labels).collect() == []
+
+
+def test_good_documents_keep_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "some text", 5.0, "x")], "doc_id long, text string, __score double, __SCORE_ string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    got = quality.good_documents(docs, labels, threshold=0.0)
+    assert got.columns == docs.columns
+    assert [tuple(r) for r in got.collect()] == [(1, "some text", 5.0, "x")]
