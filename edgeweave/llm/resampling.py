@@ -26,11 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from edgeweave.llm.words import DIGITS, HELD, LETTERS, term_counts, word_blocks, word_table
+from edgeweave.llm.words import DIGITS, LETTERS, term_pieces, word_blocks, word_table
 from edgeweave.session import cut_lineage
 
 RUNS, BUCKETS, SEED, MIN_WORDS, PERCENT = 1, 10_000, 2024, 20, 10
 HEAD, HEAD_BYTES = 20_000, 32
+HELD = 200_000  # pairs that a task counts before it passes them on
 TABLE = word_table(LETTERS + DIGITS)
 
 
@@ -112,8 +113,8 @@ def _pair_counts(docs: DataFrame, head: object) -> DataFrame:
 def frequent(docs: DataFrame, runs: int, head: int, buckets: int) -> object:
     """A broadcast ``Head`` of the ``head`` most frequent words and, for longer runs, pairs of them."""
     context = docs.sparkSession.sparkContext
-    short = (F.octet_length("term") <= HEAD_BYTES) & F.col("term").isNotNull()
-    most = term_counts(docs, TABLE).filter(short).orderBy(F.desc("n"), "term").limit(head)
+    counts = term_pieces(docs, TABLE).filter(F.octet_length("term") <= HEAD_BYTES).groupBy("term").agg(F.sum("n").alias("n"))
+    most = counts.orderBy(F.desc("n"), "term").limit(head)
     words = [r.term.encode() for r in most.select("term").collect()]
     found = context.broadcast(Head(words, [], buckets))
     if runs < 2:

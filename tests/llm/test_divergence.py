@@ -88,25 +88,49 @@ def test_large_cells_and_ties(spark, top):
     assert got(divergence.audit(docs, top=top)) == plain_audit(rows, top=top)
 
 
-def test_task_tables_pass_on_when_full(spark, monkeypatch):
-    monkeypatch.setattr(words, "HELD", 5)
-    docs = spark.createDataFrame(ODD[:-3], SCHEMA).coalesce(1)
-    assert got(divergence.audit(docs)) == plain_audit([r[:3] for r in ODD[:-3]])
+@pytest.mark.parametrize("size", [1, 7, 60])
+def test_small_blocks(spark, size):
+    """Pieces of text, blocks of rows, pairs and held cells of any size give the same rows."""
+    rows = [r[:3] for r in ODD[:-3]] + [(" ".join(f"w{i % k}" for i in range(k)).replace("1", "a").replace("2", "b"), "en", f"s{k}") for k in range(2, 12)] * 2
+    docs = spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1)
+    pieces = words.term_pieces(docs, words.word_table(words.LETTERS), ("lang", "source"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        small = divergence.counted_cells(pieces.unionByName(pieces), 3, size, size, 2 * size).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    usual = divergence.counted_cells(pieces.unionByName(pieces), 3).collect()
+
+    def totals(found):
+        out = Counter()
+        for r in found:
+            out[r[:7]] += 1 if r.kind == "term" else r.many
+        return out
+
+    def whole(found):
+        """Totals with the language's rows, whose other numbers are partial, by name only."""
+        out = Counter()
+        for key, many in totals(found).items():
+            out[key if key[0] != "lang" else key[:2]] += many
+        return out
+
+    assert whole(small) == whole(usual)
 
 
 def test_counts_beyond_64_bits(spark):
     """A count of some billions times a thousand million needs more than a long."""
     big = 1 << 40
-    kept = spark.createDataFrame(
-        [("en", "a", "x", big, big + 5, 1), ("en", "b", "x", 5, big + 5, 0), ("en", "b", "y", 7, 7, 1)],
-        "lang string, source string, term string, n long, lang_n long, first long",
+    pairs = spark.createDataFrame([("en", "a", "b", big, 5, 1)], "lang string, s string, o string, a long, b long, many long")
+    cells = spark.createDataFrame(
+        [("en", "a", big, big + 5, 1), ("en", "b", 5, big + 5, 1), ("en", "b", 7, 7, 1)],
+        "lang string, source string, n long, lang_n long, many long",
     )
     groups = spark.createDataFrame([("en", "a", big, big + 12, 2), ("en", "b", 12, big + 12, 2)], "lang string, source string, total long, lang_total long, terms long")
     share = lambda c, n: 1 + 10**9 * (c + 1) // (n + 2)
     f = lambda p, q: (p - q) ** 2 // q
     a, b = [share(big, big), share(0, big)], [share(5, 12), share(7, 12)]
     want = {("a", "b"): sum(map(f, a, b)), ("b", "a"): sum(map(f, b, a))}
-    assert {(r.source, r.item): r.value for r in divergence.source_divergence(kept, groups).collect()} == want
+    assert {(r.source, r.item): r.value for r in divergence.source_divergence(pairs, cells, groups).collect()} == want
 
 
 def test_query_matches_sql(spark):
