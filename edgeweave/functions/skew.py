@@ -66,11 +66,6 @@ def join_unique(
     return join_in_cells(rows, lookup, key, spread_on, heavy_keys(rows, key, floor))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` (a few long columns) is small enough to broadcast; counted, not estimated."""
-    return df.count() <= max_rows
-
-
 def repeat_rows(df: DataFrame, copies: str, spread: bool = False) -> DataFrame:
     """Turn a copy count into that many rows.
 
