@@ -9,6 +9,7 @@ from edgeweave import oracles, registry, session
 
 QUERIES = [
     "adjacency_list",
+    "adjacency_set",
 ]
 
 
