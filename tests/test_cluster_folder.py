@@ -10,6 +10,7 @@ from edgeweave import oracles, registry, session
 QUERIES = [
     "adjacency_list",
     "adjacency_set",
+    "adjacency_trade",
 ]
 
 
