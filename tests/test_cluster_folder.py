@@ -11,6 +11,7 @@ QUERIES = [
     "adjacency_list",
     "adjacency_set",
     "adjacency_trade",
+    "cap_profile",
 ]
 
 
