@@ -12,6 +12,7 @@ QUERIES = [
     "adjacency_set",
     "adjacency_trade",
     "cap_profile",
+    "edges_cap_by_files",
 ]
 
 
