@@ -13,6 +13,7 @@ QUERIES = [
     "adjacency_trade",
     "cap_profile",
     "edges_cap_by_files",
+    "extract_edges_regex",
 ]
 
 
