@@ -14,6 +14,7 @@ QUERIES = [
     "cap_profile",
     "edges_cap_by_files",
     "extract_edges_regex",
+    "left_join_default",
 ]
 
 
