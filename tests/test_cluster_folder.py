@@ -15,6 +15,7 @@ QUERIES = [
     "edges_cap_by_files",
     "extract_edges_regex",
     "left_join_default",
+    "pagerank",
 ]
 
 
