@@ -17,6 +17,7 @@ QUERIES = [
     "left_join_default",
     "pagerank",
     "pagerank_broadcast",
+    "pagerank_bucketed",
 ]
 
 
