@@ -19,6 +19,7 @@ QUERIES = [
     "pagerank_broadcast",
     "pagerank_bucketed",
     "pagerank_dangling",
+    "pagerank_dangling_mass",
 ]
 
 
