@@ -20,6 +20,7 @@ QUERIES = [
     "pagerank_bucketed",
     "pagerank_dangling",
     "pagerank_dangling_mass",
+    "pagerank_every_five",
 ]
 
 
