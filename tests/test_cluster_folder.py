@@ -21,6 +21,7 @@ QUERIES = [
     "pagerank_dangling",
     "pagerank_dangling_mass",
     "pagerank_every_five",
+    "pagerank_exact",
 ]
 
 
