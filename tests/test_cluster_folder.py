@@ -22,6 +22,7 @@ QUERIES = [
     "pagerank_dangling_mass",
     "pagerank_every_five",
     "pagerank_exact",
+    "pagerank_iter1",
 ]
 
 
