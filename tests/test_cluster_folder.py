@@ -23,6 +23,7 @@ QUERIES = [
     "pagerank_every_five",
     "pagerank_exact",
     "pagerank_iter1",
+    "pagerank_sink",
 ]
 
 
