@@ -24,6 +24,7 @@ QUERIES = [
     "pagerank_exact",
     "pagerank_iter1",
     "pagerank_sink",
+    "pagerank_step_record",
 ]
 
 
