@@ -25,6 +25,7 @@ QUERIES = [
     "pagerank_iter1",
     "pagerank_sink",
     "pagerank_step_record",
+    "pagerank_trade",
 ]
 
 
