@@ -26,6 +26,7 @@ QUERIES = [
     "pagerank_sink",
     "pagerank_step_record",
     "pagerank_trade",
+    "ranks_partition",
 ]
 
 
