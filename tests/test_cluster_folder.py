@@ -27,6 +27,7 @@ QUERIES = [
     "pagerank_step_record",
     "pagerank_trade",
     "ranks_partition",
+    "ranks_roundtrip",
 ]
 
 
