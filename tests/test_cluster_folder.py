@@ -28,6 +28,7 @@ QUERIES = [
     "pagerank_trade",
     "ranks_partition",
     "ranks_roundtrip",
+    "scan_edges_csv",
 ]
 
 
