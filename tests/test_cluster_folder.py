@@ -29,6 +29,7 @@ QUERIES = [
     "ranks_partition",
     "ranks_roundtrip",
     "scan_edges_csv",
+    "scan_edges_text",
 ]
 
 
