@@ -30,6 +30,7 @@ QUERIES = [
     "ranks_roundtrip",
     "scan_edges_csv",
     "scan_edges_text",
+    "scan_edges_tokens",
 ]
 
 
