@@ -31,6 +31,7 @@ QUERIES = [
     "scan_edges_csv",
     "scan_edges_text",
     "scan_edges_tokens",
+    "sink_roundtrip_csv",
 ]
 
 
