@@ -34,6 +34,11 @@ QUERIES = [
     "sink_roundtrip_csv",
 ]
 
+# Tables and checkpoints of these have to lie in the warehouse where executors have temporary folders of their own.
+IN_WAREHOUSE = [
+    "adjacency_set",
+]
+
 
 @pytest.fixture
 def cluster(spark, monkeypatch):
@@ -103,3 +108,50 @@ def test_cluster_without_a_folder_uses_the_warehouse(cluster, tmp_path, monkeypa
     found = session.shared_dir(cluster)
     assert [found] == chosen
     assert found.startswith(f"{tmp_path}/edgeweave-")
+
+
+@pytest.fixture
+def local_cluster(cluster, monkeypatch, tmp_path):
+    """Executors beside the driver, each with a temporary folder of its own, and no checkpoint folder named."""
+    context, chosen = cluster.sparkContext, []
+    real, set_folder, get = context.getCheckpointDir(), context.setCheckpointDir, type(cluster.conf).get
+    named = {"spark.checkpoint.dir": None, "spark.sql.warehouse.dir": str(tmp_path)}
+    monkeypatch.setattr(context, "master", "local-cluster[3,2,3000]")
+    monkeypatch.setattr(type(cluster.conf), "get", lambda self, key, *rest: named[key] if key in named else get(self, key, *rest))
+    monkeypatch.setattr(type(context), "getCheckpointDir", lambda self: chosen[-1] if chosen else None)
+    monkeypatch.setattr(type(context), "setCheckpointDir", lambda self, folder: (chosen.append(folder), set_folder(folder)))
+    yield cluster
+    set_folder(real or cluster.conf._jconf.get("spark.checkpoint.dir"))
+
+
+@pytest.mark.parametrize("master, inside", [("local", True), ("local[*]", True), ("local[4]", True), ("local-cluster[3,2,3000]", False), ("yarn", False)])
+def test_only_a_local_master_runs_tasks_in_the_driver(cluster, monkeypatch, master, inside):
+    monkeypatch.setattr(cluster.sparkContext, "master", master)
+    assert session._one_process(cluster.sparkContext) is inside
+
+
+def test_local_cluster_keeps_tables_and_checkpoints_in_the_warehouse(local_cluster, tmp_path):
+    rows = local_cluster.range(0, 20, 1, 4)
+    kept, path = session.written_table(rows, "kept")
+    cut = session.cut_lineage(rows)
+    (folder,) = tmp_path.iterdir()
+    assert path.startswith(f"{folder}/kept-")
+    assert any(x.startswith("rdd-") for _, inside, _ in os.walk(folder) for x in inside)
+    assert kept.count() == cut.count() == 20
+
+
+def test_local_cluster_refuses_a_folder_that_loses_rows(local_cluster, tmp_path, monkeypatch):
+    whole = type(local_cluster).range
+    monkeypatch.setattr(type(local_cluster), "range", lambda self, *bounds: whole(self, *bounds).filter("id <> 1"))
+    with pytest.raises(ValueError, match="may be local"):
+        session.shared_dir(local_cluster)
+
+
+@pytest.mark.parametrize("name", IN_WAREHOUSE)
+def test_query_on_a_local_cluster_without_a_folder(local_cluster, tables, tmp_path, name):
+    got_columns, got = spark_bag(registry.queries()[name](local_cluster, tables))
+    want_columns, want = sql_bag(connect(tables), oracles.oracle_sql()[name])
+    assert list(tmp_path.iterdir())
+    assert got_columns == want_columns
+    assert sum(got.values()) > 0
+    assert got == want
