@@ -37,6 +37,7 @@ QUERIES = [
 # Tables and checkpoints of these have to lie in the warehouse where executors have temporary folders of their own.
 IN_WAREHOUSE = [
     "adjacency_set",
+    "adjacency_trade",
 ]
 
 
