@@ -38,6 +38,7 @@ QUERIES = [
 IN_WAREHOUSE = [
     "adjacency_set",
     "adjacency_trade",
+    "cap_profile",
 ]
 
 
