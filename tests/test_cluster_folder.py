@@ -42,6 +42,7 @@ IN_WAREHOUSE = [
     "edges_cap_by_files",
     "extract_edges_regex",
     "left_join_default",
+    "pagerank",
 ]
 
 
