@@ -48,6 +48,7 @@ IN_WAREHOUSE = [
     "pagerank_dangling",
     "pagerank_dangling_mass",
     "pagerank_every_five",
+    "pagerank_exact",
 ]
 
 
