@@ -49,6 +49,7 @@ IN_WAREHOUSE = [
     "pagerank_dangling_mass",
     "pagerank_every_five",
     "pagerank_exact",
+    "pagerank_iter1",
 ]
 
 
