@@ -50,6 +50,7 @@ IN_WAREHOUSE = [
     "pagerank_every_five",
     "pagerank_exact",
     "pagerank_iter1",
+    "pagerank_sink",
 ]
 
 
