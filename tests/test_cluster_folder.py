@@ -52,6 +52,7 @@ IN_WAREHOUSE = [
     "pagerank_iter1",
     "pagerank_sink",
     "pagerank_step_record",
+    "pagerank_trade",
 ]
 
 
