@@ -53,6 +53,7 @@ IN_WAREHOUSE = [
     "pagerank_sink",
     "pagerank_step_record",
     "pagerank_trade",
+    "ranks_partition",
 ]
 
 
