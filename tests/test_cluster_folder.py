@@ -54,6 +54,7 @@ IN_WAREHOUSE = [
     "pagerank_step_record",
     "pagerank_trade",
     "ranks_partition",
+    "ranks_roundtrip",
 ]
 
 
