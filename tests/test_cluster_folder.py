@@ -55,6 +55,7 @@ IN_WAREHOUSE = [
     "pagerank_trade",
     "ranks_partition",
     "ranks_roundtrip",
+    "scan_edges_csv",
 ]
 
 
