@@ -56,6 +56,7 @@ IN_WAREHOUSE = [
     "ranks_partition",
     "ranks_roundtrip",
     "scan_edges_csv",
+    "scan_edges_text",
 ]
 
 
