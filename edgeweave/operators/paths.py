@@ -20,6 +20,7 @@ from edgeweave.session import counted_table
 
 STRATEGIES = ("auto", "merge", "shuffle_hash", "broadcast", "adjacency", "salted")
 PAIRS = 1_000_000  # pairs of a way in and a way out that one cell may hold
+FEW_COPIES = 16  # a row with more is repeated in pieces that are shuffled apart
 
 
 def node_degrees(links: DataFrame) -> DataFrame:
@@ -208,8 +209,17 @@ def two_path_counts(
 
 
 def path_rows(paths: DataFrame, spread: bool = True) -> DataFrame:
-    """One row per path or triangle instead of a copy count."""
-    return repeat_rows(paths, "copies", spread)
+    """One row per path or triangle instead of a copy count.
+
+    A row with few copies is repeated where it stands, so the listing itself is not shuffled; with ``spread`` the
+    others become pieces, which are dealt out. Both read the same exchanges, and a piece stands for more
+    than ``FEW_COPIES`` rows, but for the last one of its row.
+    """
+    if not spread:
+        return repeat_rows(paths, "copies")
+    few = F.col("copies") <= FEW_COPIES
+    usual = repeat_rows(paths.filter(few), "copies")
+    return usual.unionByName(repeat_rows(paths.filter(~few), "copies", spread=True))
 
 
 def round_trips(links: DataFrame) -> DataFrame:

@@ -54,6 +54,19 @@ def test_two_paths(graph, strategy):
     assert weighted(pa.two_paths(df, strategy, budget=BUDGET)) == brute.two_paths(pairs)
 
 
+def test_rows_with_few_copies_are_not_shuffled(edges):
+    pairs = [(1, 2)] * 5 + [(2, 3)] * 4 + [(2, 4)] * 2 + [(4, 5), (5, 4)]
+    rows = pa.path_rows(pa.two_paths(edges(pairs)))
+    assert plain(rows) == brute.two_paths(pairs)
+    rows.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = pa.path_rows(pa.two_paths(edges(pairs)))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        rows.sparkSession.conf.unset("spark.sql.adaptive.enabled")
+    assert "Exchange" not in plan[: plan.index("Join")]  # the first branch has the rows with few copies
+    assert "hashpartitioning(a#" in plan  # the other one is dealt out
+
+
 @pytest.mark.parametrize("strategy", ["broadcast", "adjacency"])
 def test_two_paths_beyond_the_broadcast_bound(edges, strategy):
     pairs = GRAPHS["hubs"]
