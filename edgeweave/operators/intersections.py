@@ -8,7 +8,7 @@ is lowest and one in the middle, and the link between these two finds the third
 * middle -> lowest: the predecessors above the middle that are successors above the lowest.
 
 **Blocks.** A set is cut into blocks by a hash of its members, a power of two of them, so that a block has
-about ``width / 2`` members. The block of a small set meets every block of a large one whose
+about ``width / 2`` members; successors and predecessors of a node are two sets, each with its own number of blocks. The block of a small set meets every block of a large one whose
 number ends in its own bits; a link so becomes as many rows as the larger of its two sets has blocks. A row
 carries one block to the other, both of bounded size. Links of a hub are spread over cells,
 which each get a copy of the hub's few blocks.
@@ -28,10 +28,10 @@ WIDTH = 128
 
 
 def _oriented(ranked: DataFrame, width: int) -> DataFrame:
-    """``(node, other, n, out, parts, other_parts, bits)``: every link but loops, from its lower end.
+    """``(node, other, n, out, parts, other_parts, own_bits, far_bits)``: every link but loops, from its lower end.
 
-    ``out`` tells the direction, ``parts`` are the cells of either end as a hub, and ``bits`` say how many
-    blocks the sets of ``node`` have.
+    ``out`` tells the direction, ``parts`` are the cells of either end as a hub. ``own_bits`` say how many blocks
+    the set that the link belongs to has, successors or predecessors, and ``far_bits`` the other set of ``node``.
     """
     up = ascending()
     low = lambda name: F.when(up, F.col(f"src{name}")).otherwise(F.col(f"dst{name}"))
@@ -40,47 +40,58 @@ def _oriented(ranked: DataFrame, width: int) -> DataFrame:
         low("").alias("node"), high("").alias("other"), "n", up.alias("out"), low("_parts").alias("parts"), high("_parts").alias("other_parts")
     )
     own = Window.partitionBy("node")
-    larger = F.greatest(F.count_if("out").over(own), F.count_if(~F.col("out")).over(own))
-    bits = F.greatest(F.ceil(F.log2(larger * 2 / width)), F.lit(0)).cast("int")
-    return links.withColumn("bits", bits)
+    out = F.col("out")
+    bits = lambda size: F.greatest(F.ceil(F.log2(size * 2 / width)), F.lit(0)).cast("int")
+    links = links.withColumns({"outs": F.count_if(out).over(own), "ins": F.count_if(~out).over(own)})
+    pick = lambda if_out, if_in: F.when(out, F.col(if_out)).otherwise(F.col(if_in))
+    links = links.withColumns({"own_bits": bits(pick("outs", "ins")), "far_bits": F.when(pick("ins", "outs") > 0, bits(pick("ins", "outs")))})
+    return links.drop("outs", "ins")
 
 
 def neighbour_blocks(oriented: DataFrame) -> DataFrame:
-    """``(node, block, bits, parts, succ, pred)``: members above the node with their copies, in order of id."""
-    member = F.struct(F.col("other").alias("id"), "n")
-    blocked = oriented.withColumn("block", F.expr("xxhash64(other) & (shiftleft(1L, bits) - 1)"))
-    return blocked.groupBy("node", "block").agg(
-        F.first("bits").alias("bits"),
+    """``(node, out, block, bits, parts, succ, pred, ns)``: members above the node in order of id, and their copies.
+
+    ``out`` tells blocks of successors from those of predecessors; the column of the others is empty.
+    """
+    blocked = oriented.withColumn("block", F.expr("xxhash64(other) & (shiftleft(1L, own_bits) - 1)"))
+    found = blocked.groupBy("node", "out", "block").agg(
+        F.first("own_bits").alias("bits"),
         F.first("parts").alias("parts"),
-        F.array_sort(F.collect_list(F.when(F.col("out"), member))).alias("succ"),
-        F.array_sort(F.collect_list(F.when(~F.col("out"), member))).alias("pred"),
+        F.array_sort(F.collect_list(F.struct(F.col("other").alias("id"), "n"))).alias("members"),
     )
+    ids, none = F.col("members.id"), F.array().cast("array<long>")
+    succ, pred = F.when(F.col("out"), ids).otherwise(none), F.when(F.col("out"), none).otherwise(ids)
+    return found.select("node", "out", "block", "bits", "parts", succ.alias("succ"), pred.alias("pred"), F.col("members.n").alias("ns"))
 
 
 def _meetings(oriented: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Each link with one block of either end's set: ``(node, other, n, out, near, far)``, near the middle node's."""
+    """Each link with one block of either end's set: ``(node, other, n, out, near, near_n, far, far_n)``, near the middle node's.
+
+    A link to the middle meets the middle's successors with the node's predecessors, a link from it the others. Its
+    node may have none of these; then nothing can meet, and the link stays behind.
+    """
+    ids = F.when(F.col("out"), F.col("succ")).otherwise(F.col("pred"))
     middle = blocks.select(
-        F.col("node").alias("other"), F.col("block").alias("near_block"), F.col("bits").alias("near_bits"),
-        "succ", "pred", every_cell(F.col("parts")).alias("cell"),
+        F.col("node").alias("other"), "out", F.col("block").alias("near_block"), F.col("bits").alias("near_bits"),
+        ids.alias("near"), F.col("ns").alias("near_n"), every_cell(F.col("parts")).alias("cell"),
     )
-    links = oriented.select("node", "other", "n", "out", "bits", cell_of(F.col("other_parts"), F.col("node")).alias("cell"))
-    near = F.when(F.col("out"), F.col("succ")).otherwise(F.col("pred"))
-    met = links.join(middle, ["other", "cell"]).withColumn("near", near).filter(F.size("near") > 0)
+    links = oriented.filter(F.col("far_bits").isNotNull())
+    links = links.select("node", "other", "n", "out", "far_bits", cell_of(F.col("other_parts"), F.col("node")).alias("cell"))
+    met = links.join(middle, ["other", "out", "cell"])
     # the lower end's blocks whose number agrees with the middle's block in the bits that both have
-    first = "(near_block & (shiftleft(1L, least(bits, near_bits)) - 1))"
-    step = "shiftleft(1L, least(bits, near_bits))"
-    numbers = f"explode(sequence({first}, {first} + (shiftleft(1L, greatest(bits - near_bits, 0)) - 1) * {step}, {step}))"
-    placed = met.select("node", "other", "n", "out", "near", F.expr(numbers).alias("block"))
-    lowest = blocks.select("node", "block", F.col("succ").alias("low_succ"), F.col("pred").alias("low_pred"))
-    far = F.when(F.col("out"), F.col("low_pred")).otherwise(F.col("low_succ"))
-    return placed.join(lowest, ["node", "block"]).select("node", "other", "n", "out", "near", far.alias("far"))
+    first = "(near_block & (shiftleft(1L, least(far_bits, near_bits)) - 1))"
+    step = "shiftleft(1L, least(far_bits, near_bits))"
+    numbers = f"explode(sequence({first}, {first} + (shiftleft(1L, greatest(far_bits - near_bits, 0)) - 1) * {step}, {step}))"
+    placed = met.select("node", "other", "n", "out", "near", "near_n", F.expr(numbers).alias("block"))
+    lowest = blocks.select("node", (~F.col("out")).alias("out"), "block", ids.alias("far"), F.col("ns").alias("far_n"))
+    return placed.join(lowest, ["node", "out", "block"]).drop("block")
 
 
 def _intersected(meetings: DataFrame) -> DataFrame:
     """Cycles over three nodes, from the members that both blocks have."""
-    common = F.array_intersect("near.id", "far.id")
+    common = F.array_intersect("near", "far")
     found = meetings.withColumn("common", common).filter(F.size("common") > 0)
-    copies = lambda block, x: F.get(F.col(f"{block}.n"), F.array_position(F.col(f"{block}.id"), x).cast("int") - 1)
+    copies = lambda block, x: F.get(F.col(f"{block}_n"), F.array_position(F.col(block), x).cast("int") - 1)
     thirds = F.transform("common", lambda x: F.struct(x.alias("third"), copies("near", x).alias("near_n"), copies("far", x).alias("far_n")))
     rows = found.select("node", "other", "n", "out", F.inline(thirds))
     out = F.col("out")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from edgeweave.functions.skew import BROADCAST_ROWS, HEAVY_FLOOR, cell_of, every_cell, join_in_cells
 from edgeweave.operators.edges import link_counts
 from edgeweave.operators.paths import PAIRS, degree_line, grid_join, grid_of, hub_nodes, node_degrees, parts_of
-from edgeweave.session import counted_table
+from edgeweave.session import counted_table, drop_table, written_table
 
 STRATEGIES = ("auto", "merge", "shuffle_hash", "broadcast")
 FILTER_BITS = 1 << 26  # of the membership filter: at most 2 ** 20 words of 64 bits
@@ -56,9 +56,12 @@ def ranked_links(edges: DataFrame, floor: int = HEAVY_FLOOR) -> tuple[DataFrame,
     """Counted links with the degree and cell count of both ends, as a table in the shared folder, and their number.
 
     The search reads it three times (ways out, ways in, closing links). Written once, the joins
-    that attach the degrees are not repeated, and a lost executor costs a scan.
+    that attach the degrees are not repeated, and a lost executor costs a scan. So are the counted links that
+    they read, until then: what makes the edges is done once, and its shuffle files go first.
     """
-    table, _, rows = counted_table(_ranked(link_counts(edges), floor), "ranked-links")
+    links, path = written_table(link_counts(edges), "links")
+    table, _, rows = counted_table(_ranked(links, floor), "ranked-links")
+    drop_table(links.sparkSession, path)
     return table, rows
 
 

@@ -2,6 +2,7 @@
 
 from collections import Counter
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 import brute
 from edgeweave.operators import edges as ed, intersections as ix, layout as lo, triangles as tr
 from edgeweave.plans import pagerank as pr
-from edgeweave.session import fresh_path, scratch, shared_dir
+from edgeweave.session import CLEANUP, fresh_path, scratch, shared_dir, written_table
 from edgeweave.sources import readers, writers
 from test_graph import BUDGET, FLOOR, GRAPHS, TOGETHER, plan_of, plain, weighted
 
@@ -48,6 +49,32 @@ def test_blocks_are_bounded_and_no_wedges_are_listed(edges):
     assert tr._wedges(ranked, rows, "auto").count() > 2 * links
 
 
+def test_a_large_set_does_not_cut_the_small_one_that_a_link_meets(edges):
+    """Customers have many predecessors and one successor; only the set that closes the cycle counts."""
+    served = [(s, c) for s in range(30) for c in range(100, 160)]
+    pairs = [*served, *((c, 1000) for c in range(100, 160)), *((1000, s) for s in range(30))]
+    ranked, _ = tr.ranked_links(edges(pairs), FLOOR)
+    oriented = ix._oriented(ranked, 4)
+    blocks = ix.neighbour_blocks(oriented)
+    assert blocks.agg(F.max("bits")).first()[0] > 2
+    assert ix._meetings(oriented, blocks).count() <= len(pairs)
+    assert plain(ix.intersected_canonical(edges(pairs), FLOOR, 4)) == Counter(brute.canonical(pairs))
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def files():
+        return sum(n.startswith("shuffle_") and n.endswith(".data") for _, _, names in os.walk(spark.conf.get("spark.local.dir")) for n in names)
+
+    before, deadline = files(), time.time() + 20
+    with scratch(spark):
+        table, _ = written_table(spark.range(1000).groupBy(F.col("id") % 7).count(), "sevenths")
+        while files() > before and time.time() < deadline:  # they go in the background
+            time.sleep(0.2)
+        assert files() <= before
+        assert table.count() == 7
+    assert spark.conf.get(CLEANUP) == "false"
+
+
 @pytest.mark.parametrize("bits", [64, 1 << 16])
 def test_filtered_triangles(edges, bits):
     df = edges(TOGETHER)
