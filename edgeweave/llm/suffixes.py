@@ -44,6 +44,7 @@ from edgeweave.session import cut_lineage, drop_table, fresh_path
 
 LENGTH, GRAM, CROWD = 50, 20, 50_000
 CHUNK_BYTES, BLOCK, SHARD_BYTES, LONGEST_RUN = 8 << 20, 1 << 14, 1 << 20, 1024
+SHARDS = 400  # few partitions get up to four shards each to even them out, many get one
 LAST = np.iinfo(np.int64).max  # the rank of a null id
 
 
@@ -260,7 +261,7 @@ _OCCURRENCES = ("piece", "doc", "first")
 def _pieces_of(chunk: Chunk, kinds: np.ndarray) -> tuple[list[bytes], np.ndarray, dict[str, np.ndarray]]:
     """Distinct pieces in the order they appear, their keys, and where each occurs."""
     first, count, anchors, doc = anchor_runs(chunk)
-    kind = kinds[np.searchsorted(np.unique(anchors), anchors)] if len(anchors) else np.zeros(0, np.uint8)
+    kind = kinds[np.unique(anchors, return_inverse=True)[1]] if len(anchors) else np.zeros(0, np.uint8)
     usual, crowded = np.flatnonzero(kind == 1), np.flatnonzero(kind > 1)
     windows = count[crowded]
     inner = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -326,6 +327,11 @@ def _dense(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def bounded_suffix_order(text: np.ndarray) -> np.ndarray:
     """Places of ``text``, read as a ring, sorted by the LENGTH bytes from there on."""
+    return _suffix_order(text)[0]
+
+
+def _suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same, and which of them have the same LENGTH bytes as the one before."""
     n = len(text)
     padded = np.resize(text, n + LENGTH + 8).astype(np.uint64)
     eight = padded[: n + LENGTH].copy()
@@ -339,12 +345,17 @@ def bounded_suffix_order(text: np.ndarray) -> np.ndarray:
         tail = np.concatenate((ranks[shift:], np.zeros(shift, np.int64)))
         ranks, order = _dense(ranks * np.int64(len(ranks)) + tail)
         size += shift
-    return order[order < n]
+    order = order[order < n]
+    same = np.zeros(n, bool)
+    same[1:] = ranks[order[1:]] == ranks[order[:-1]]
+    return order, same
 
 
-def bounded_prefixes(transform: np.ndarray) -> np.ndarray:
+def bounded_prefixes(transform: np.ndarray, same: np.ndarray | None = None) -> np.ndarray:
     """Common prefixes of neighbouring suffixes, in order, as far as they are below LENGTH; -1 for the rest.
 
+    ``same`` may tell neighbours that are known to agree in LENGTH bytes; no level looks at them.
+
     Intervals are expanded level by level. The intervals of strings of ``l`` bytes are those between
     the boundaries found up to level ``l``. Backward extension of an interval by a byte gives the
     interval of the longer string, and the place between two neighbouring occurrences of a byte in the
@@ -359,7 +370,7 @@ def bounded_prefixes(transform: np.ndarray) -> np.ndarray:
     begins[1:] = byte[1:] != byte[:-1]
     prefixes[begins] = 0
     fresh = np.flatnonzero(begins)
-    still = np.flatnonzero(~begins).astype(np.int32)
+    still = np.flatnonzero(~begins if same is None else ~(begins | same)).astype(np.int32)
     low, high = came_from[still - 1], came_from[still]
     passed = np.empty(n, np.int32)
     for level in range(1, LENGTH):
@@ -384,8 +395,8 @@ def _least_ids(texts: list[bytes], least: np.ndarray) -> tuple[np.ndarray, np.nd
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     ends = np.cumsum(lengths)
     piece = np.repeat(np.arange(len(texts)), lengths)
-    order = bounded_suffix_order(body)
-    prefixes = bounded_prefixes(body[order - 1])
+    order, same = _suffix_order(body)
+    prefixes = bounded_prefixes(body[order - 1], same)
     valid = np.arange(len(body)) + LENGTH < ends[piece]
     ids = np.where(valid, least[piece], LAST)[order]
     begin = np.flatnonzero(prefixes >= 0)
@@ -395,6 +406,24 @@ def _least_ids(texts: list[bytes], least: np.ndarray) -> tuple[np.ndarray, np.nd
     return out[valid], np.cumsum(lengths - LENGTH)
 
 
+def _window_ids(texts: list[bytes], low: np.ndarray, of: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same, told the key of every row and the piece that it holds.
+
+    Equal windows have equal keys. So a piece without another one under its key shares no window with any: its own
+    least id holds for all of them, and only the others are compared.
+    """
+    key = np.empty(len(texts), np.uint64)
+    key[of] = keys
+    _, place, pieces = np.unique(key, return_inverse=True, return_counts=True)
+    several = pieces[place] > 1
+    count = np.fromiter(map(len, texts), np.int64, len(texts)) - (LENGTH - 1)
+    windows = np.repeat(low, count)
+    if several.any():
+        compared = np.flatnonzero(several)
+        windows[np.repeat(several, count)] = _least_ids([texts[i] for i in compared], low[compared])[0]
+    return windows, np.cumsum(count)
+
+
 _RUNS = [np.uint32, np.uint32, np.uint32, np.int64]  # piece number in the chunk, first window, end window, least id
 
 
@@ -422,7 +451,7 @@ def _answer_pieces(table: pa.Table) -> pa.Table:
         of = np.array([known.setdefault(body[ends[i] - length[i] : ends[i]], len(known)) for i in rows])
         low = np.full(len(known), LAST)
         np.minimum.at(low, of, least[rows])
-        windows, stops = _least_ids(list(known), low)
+        windows, stops = _window_ids(list(known), low, of, keys[at:end])
         starts = stops - np.diff(np.append(0, stops))
         new = np.ones(len(windows), bool)
         new[1:] = windows[1:] != windows[:-1]
@@ -495,6 +524,11 @@ def _removed(columns: list[str], with_text: bool):
     return run
 
 
+def shard_count(parts: int) -> int:
+    """Shards of the pieces; every chunk sends each of them a row, so they are no more than needed."""
+    return max(parts, min(4 * parts, SHARDS))
+
+
 def remove_repeats(docs: DataFrame, folder: str, extra: tuple[str, ...] = (), with_text: bool = True, crowd: int = CROWD) -> DataFrame:
     """``(doc_id, text, *extra, n_bytes, n_removed, n_spans, kept_sha256)`` for every row of ``docs``.
 
@@ -510,7 +544,7 @@ def remove_repeats(docs: DataFrame, folder: str, extra: tuple[str, ...] = (), wi
     heard = _chunked(kept, folder, parts)
     known = heard.groupBy("bucket").applyInArrow(returning_table(_answer_anchors(crowd)), "chunk string, bucket int, kinds binary")
     # the rows of a chunk are few bytes and much work, so their partitions must not be merged by size
-    sent = known.repartition(parts, "chunk").groupBy("chunk").applyInArrow(returning_table(_cut_pieces(4 * parts)), "shard int, chunk string, pieces binary")
+    sent = known.repartition(parts, "chunk").groupBy("chunk").applyInArrow(returning_table(_cut_pieces(shard_count(parts))), "shard int, chunk string, pieces binary")
     answers = sent.groupBy("shard").applyInArrow(returning_table(_answer_pieces), "chunk string, runs binary")
     columns = ["doc_id"] + (["text"] if with_text else []) + list(extra)
     types = {f.name: f.dataType.simpleString() for f in kept.schema}

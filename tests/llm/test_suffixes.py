@@ -104,3 +104,33 @@ def test_query_matches_brute_force(spark):
     got = sorted((tuple(r) for r in queries.op10_suffix_dedup(spark, sf).collect()), key=str)
     assert got == sorted((r[:5] for r in plain_counts(rows)), key=str)
     assert sum(r[2] for r in got) > 10_000
+
+
+def test_pieces_are_compared_only_under_a_common_key(monkeypatch):
+    rng = np.random.default_rng(6)
+    body = rng.integers(97, 100, 400, dtype=np.uint8).tobytes()
+    texts = [body[:90], body[20:120], body[200:260], body[300:400], b"a" * 130]
+    keys, of, low = np.array([7, 7, 8, 9, 10, 7], np.uint64), np.array([0, 1, 2, 3, 4, 0]), np.array([5, 3, 8, 2, 6])
+    asked = []
+    least = suffixes._least_ids
+    monkeypatch.setattr(suffixes, "_least_ids", lambda some, ids: asked.append(some) or least(some, ids))
+    got, stops = suffixes._window_ids(texts, low, of, keys)
+    windows = [[t[i : i + 50] for i in range(len(t) - 49)] for t in texts]
+    want = [min(int(l) for l, other in zip(low, windows) if w in other) for own in windows for w in own]
+    assert got.tolist() == want
+    assert stops.tolist() == np.cumsum([len(w) for w in windows]).tolist()
+    assert asked == [texts[:2]]
+
+
+def test_levels_leave_out_neighbours_known_to_agree():
+    rng = np.random.default_rng(7)
+    text = np.frombuffer(rng.integers(97, 99, 3000, dtype=np.uint8).tobytes() * 2 + b"\0", np.uint8)
+    order, same = suffixes._suffix_order(text)
+    assert same.any() and not same.all()
+    plain = suffixes.bounded_prefixes(text[order - 1])
+    assert ((plain < 0) == same).all()
+    assert (suffixes.bounded_prefixes(text[order - 1], same) == plain).all()
+
+
+def test_many_partitions_do_not_multiply_the_rows_of_a_chunk():
+    assert [suffixes.shard_count(n) for n in (1, 12, 51, 100, 600, 3000)] == [4, 48, 204, 400, 600, 3000]
